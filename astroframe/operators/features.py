@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from astroframe.constants import A_JUPITER, NUMERIC_COLUMNS, V_INF_SCALE
 from astroframe.functions import columns as C
+from astroframe.functions.columns import rounded
 from astroframe.functions import orbital as O
 from astroframe.operators import classify as K
 from astroframe.operators.clean import available, require_columns
@@ -33,9 +34,9 @@ def add_q_over_a(df: DataFrame, q="q", a="a", out="q_over_a") -> DataFrame:
 def derive_orbital(df: DataFrame, a="a", e="e", moid="moid", neo="neo") -> DataFrame:
     """q = a(1-e), ad = a(1+e), per_y = a^1.5 (rounded 6/6/4); pha = NEO and moid < 0.05."""
     return df.withColumns({
-        "q": F.round(O.perihelion(a, e), 6),
-        "ad": F.round(O.aphelion(a, e), 6),
-        "per_y": F.round(O.period_years(a), 4),
+        "q": rounded(O.perihelion(a, e), 6),
+        "ad": rounded(O.aphelion(a, e), 6),
+        "per_y": rounded(O.period_years(a), 4),
         "pha": F.when((F.col(neo) == "Y") & (F.col(moid) < 0.05), "Y").otherwise("N"),
     })
 
@@ -51,13 +52,13 @@ def derive_visibility(df: DataFrame, date_col: str, event_col: str,
     """
     days = F.datediff(F.col(date_col), F.col(event_col)).cast("double")
     r = F.lit(r0) + F.lit(k1) * F.abs(days) + F.lit(k2) * days * days
-    return (df.withColumn("days", days)
-              .withColumn("r", F.round(r, 4))
-              .withColumn("V", F.round(F.lit(mag0) - F.lit(2.5) * F.log10(
-                  F.greatest(F.lit(0.01), F.lit(1.0) / (r * r))), 2))
-              .withColumn("RA", F.round(F.pmod(F.lit(ra0) + days * F.lit(ra_rate), F.lit(360.0)), 4))
-              .withColumn("alpha", F.round(F.greatest(F.lit(0.0),
-                                                      F.lit(alpha0) - F.abs(days) * F.lit(alpha_rate)), 2)))
+    return df.withColumns({
+        "days": days,
+        "r": rounded(r, 4),
+        "V": rounded(F.lit(mag0) - F.lit(2.5) * F.log10(F.greatest(F.lit(0.01), F.lit(1.0) / (r * r))), 2),
+        "RA": rounded(F.pmod(F.lit(ra0) + days * F.lit(ra_rate), F.lit(360.0)), 4),
+        "alpha": rounded(F.greatest(F.lit(0.0), F.lit(alpha0) - F.abs(days) * F.lit(alpha_rate)), 2),
+    })
 
 
 def color_index(df: DataFrame, mags: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:

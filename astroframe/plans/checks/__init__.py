@@ -1,3 +1,6 @@
 """Checked queries, one module per operator family (imported for registration)."""
 
 from astroframe.plans.checks import etl  # noqa: F401
+from astroframe.plans.checks import clean  # noqa: F401
+from astroframe.plans.checks import features  # noqa: F401
+from astroframe.plans.checks import classify  # noqa: F401
