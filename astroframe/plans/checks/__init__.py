@@ -4,3 +4,4 @@ from astroframe.plans.checks import etl  # noqa: F401
 from astroframe.plans.checks import clean  # noqa: F401
 from astroframe.plans.checks import features  # noqa: F401
 from astroframe.plans.checks import classify  # noqa: F401
+from astroframe.plans.checks import aggregate  # noqa: F401
