@@ -6,3 +6,4 @@ from astroframe.plans.checks import features  # noqa: F401
 from astroframe.plans.checks import classify  # noqa: F401
 from astroframe.plans.checks import aggregate  # noqa: F401
 from astroframe.plans.checks import windows  # noqa: F401
+from astroframe.plans.checks import joins_orbits  # noqa: F401
