@@ -7,3 +7,5 @@ from astroframe.plans.checks import classify  # noqa: F401
 from astroframe.plans.checks import aggregate  # noqa: F401
 from astroframe.plans.checks import windows  # noqa: F401
 from astroframe.plans.checks import joins_orbits  # noqa: F401
+from astroframe.plans.checks import reshape  # noqa: F401
+from astroframe.plans.checks import functions  # noqa: F401

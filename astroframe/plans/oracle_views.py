@@ -62,4 +62,7 @@ def with_views(names, body: str) -> str:
     if not order:
         return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][0]})" for n in order)
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
