@@ -9,3 +9,4 @@ from astroframe.plans.checks import windows  # noqa: F401
 from astroframe.plans.checks import joins_orbits  # noqa: F401
 from astroframe.plans.checks import reshape  # noqa: F401
 from astroframe.plans.checks import functions  # noqa: F401
+from astroframe.plans.checks import sources  # noqa: F401
