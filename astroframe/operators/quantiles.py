@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,9 +45,24 @@ def _bucket(x: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(b, F.lit(0)), F.lit(BUCKETS - 1))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], p: float) -> dict[str, float | None]:
-    """Exact linear-interpolated quantile ``p`` of every column (NULL/NaN ignored)."""
+def exact_quantiles(df: DataFrame, cols: Sequence[str], p: float, persist: bool = True) -> dict[str, float | None]:
+    """Exact linear-interpolated quantile ``p`` of every column (NULL/NaN ignored).
+
+    With ``persist`` the projected columns are kept (memory, spilling to
+    disk) for the few passes and released afterwards; a lost executor's
+    blocks are recomputed from lineage.
+    """
     df = df.select(*[F.when(~F.isnan(F.col(c)), F.col(c).cast("double")).alias(c) for c in cols])
+    if persist:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _quantiles(df, cols, p)
+    finally:
+        if persist:
+            df.unpersist()
+
+
+def _quantiles(df: DataFrame, cols: Sequence[str], p: float) -> dict[str, float | None]:
     first = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"n_{c}"), F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]).first()
     probes: list[_Probe] = []

@@ -22,6 +22,7 @@ from collections.abc import Callable
 from fractions import Fraction
 from itertools import chain
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,7 +52,14 @@ def kth_thresholds(df: DataFrame, id_col: str, k_of_n: Callable[[int], int],
     """Per group: None (take nothing), True (take all) or the (key, id) of the k-th row."""
     g = F.col(group) if group else F.lit(_ALL)
     base = df.select(g.alias("g"), hash_key(id_col, seed).alias("key"), F.col(id_col).alias("id")) \
-             .where(F.col("g").isNotNull())
+             .where(F.col("g").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _thresholds(base, k_of_n)
+    finally:
+        base.unpersist()
+
+
+def _thresholds(base: DataFrame, k_of_n: Callable[[int], int]) -> dict:
     counts = base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
     if len(counts) > MAX_GROUPS:
         raise ValueError("too many groups for threshold selection; use select_first_k_window")
