@@ -100,12 +100,20 @@ def _quantiles(df: DataFrame, cols: Sequence[str], p: float) -> dict[str, float
 
 
 def _one_pass(df: DataFrame, probes: list[_Probe]) -> None:
-    """Histogram (large brackets) or gather (small brackets) for all probes at once."""
+    """Histogram (large brackets) or gather (small brackets) for all probes at once.
+
+    Probes sharing a column and bracket (the two ranks around one quantile)
+    share one histogram.
+    """
+    groups: dict[tuple, list[_Probe]] = {}
+    for q in probes:
+        groups.setdefault((q.col, q.lo, q.hi, q.below, q.count), []).append(q)
+    keys = list(groups)
     items = []
-    for pid, q in enumerate(probes):
-        x = F.col(q.col)
-        inside = (x >= F.lit(q.lo)) & (x <= F.lit(q.hi))
-        key = F.lit(-1) if q.count <= GATHER else _bucket(x, q.lo, q.hi)
+    for pid, (col, lo, hi, _below, count) in enumerate(keys):
+        x = F.col(col)
+        inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
+        key = F.lit(-1) if count <= GATHER else _bucket(x, lo, hi)
         items.append(F.when(inside, F.struct(F.lit(pid).alias("pid"), key.alias("b"), x.alias("v"))))
     rows = (df.select(F.explode(F.array(*items)).alias("s"))
               .where(F.col("s").isNotNull())
@@ -114,21 +122,22 @@ def _one_pass(df: DataFrame, probes: list[_Probe]) -> None:
               .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
                    F.collect_list(F.when(F.col("b") == -1, F.col("v"))).alias("vals"))
               .collect())
-    by_probe: dict[int, list] = {}
+    by_group: dict[int, list] = {}
     for r in rows:
-        by_probe.setdefault(r["pid"], []).append(r)
-    for pid, q in enumerate(probes):
-        got = sorted(by_probe.get(pid, []), key=lambda r: r["b"])
-        if q.count <= GATHER:
-            vals = sorted(got[0]["vals"]) if got else []
-            q.value = vals[q.rank - q.below]
-            continue
-        below = q.below
-        for r in got:
-            if q.rank < below + r["n"]:
-                q.lo, q.hi, q.below, q.count = r["lo"], r["hi"], below, r["n"]
-                break
-            below += r["n"]
+        by_group.setdefault(r["pid"], []).append(r)
+    for pid, gk in enumerate(keys):
+        got = sorted(by_group.get(pid, []), key=lambda r: r["b"])
+        for q in groups[gk]:
+            if q.count <= GATHER:
+                vals = sorted(got[0]["vals"]) if got else []
+                q.value = vals[q.rank - q.below]
+                continue
+            below = q.below
+            for r in got:
+                if q.rank < below + r["n"]:
+                    q.lo, q.hi, q.below, q.count = r["lo"], r["hi"], below, r["n"]
+                    break
+                below += r["n"]
 
 
 def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:

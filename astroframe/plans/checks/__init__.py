@@ -11,3 +11,4 @@ from astroframe.plans.checks import reshape  # noqa: F401
 from astroframe.plans.checks import functions  # noqa: F401
 from astroframe.plans.checks import sources  # noqa: F401
 from astroframe.plans.checks import ml_exact  # noqa: F401
+from astroframe.plans.checks import ml_models  # noqa: F401
