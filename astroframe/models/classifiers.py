@@ -74,9 +74,14 @@ def svm_classify(train: DataFrame, test: DataFrame, id_col: str, cols: Sequence[
     Training rows are capped at ``cap`` (hash order), as the reference caps
     its kernel solver; regParam = 1 / (C n).
     """
+    from astroframe.session import checkpoint_dir
+
     tr = cap_rows(train, id_col, cap, seed)
+    # the capped, transformed training set (<= cap rows) is written once so the
+    # solver's many passes do not recompute the Fourier projection
+    checkpoint_dir(train.sparkSession)
+    tr = fourier_features(tr.select(id_col, "label", *cols), cols, n_fourier, seed=seed).checkpoint(eager=True)
     n = tr.count()
-    tr = fourier_features(tr, cols, n_fourier, seed=seed)
     te = fourier_features(test, cols, n_fourier, seed=seed)
     svc = LinearSVC(regParam=1.0 / (c * max(n, 1)), maxIter=iters, labelCol="label", featuresCol="features")
     model = OneVsRest(classifier=svc, labelCol="label", featuresCol="features", parallelism=4).fit(tr)
