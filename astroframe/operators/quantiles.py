@@ -100,44 +100,50 @@ def _quantiles(df: DataFrame, cols: Sequence[str], p: float) -> dict[str, float
 
 
 def _one_pass(df: DataFrame, probes: list[_Probe]) -> None:
-    """Histogram (large brackets) or gather (small brackets) for all probes at once.
+    """One histogram job for the large brackets, one gather job for the small ones.
 
     Probes sharing a column and bracket (the two ranks around one quantile)
-    share one histogram.
+    share the work.  The histogram is count/min/max only -- a codegen'd hash
+    aggregate; gathered values are bounded by ``GATHER`` per bracket.
     """
     groups: dict[tuple, list[_Probe]] = {}
     for q in probes:
         groups.setdefault((q.col, q.lo, q.hi, q.below, q.count), []).append(q)
-    keys = list(groups)
-    items = []
-    for pid, (col, lo, hi, _below, count) in enumerate(keys):
-        x = F.col(col)
-        inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
-        key = F.lit(-1) if count <= GATHER else _bucket(x, lo, hi)
-        items.append(F.when(inside, F.struct(F.lit(pid).alias("pid"), key.alias("b"), x.alias("v"))))
-    rows = (df.select(F.explode(F.array(*items)).alias("s"))
-              .where(F.col("s").isNotNull())
-              .select("s.*")
-              .groupBy("pid", "b")
-              .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-                   F.collect_list(F.when(F.col("b") == -1, F.col("v"))).alias("vals"))
-              .collect())
-    by_group: dict[int, list] = {}
-    for r in rows:
-        by_group.setdefault(r["pid"], []).append(r)
-    for pid, gk in enumerate(keys):
-        got = sorted(by_group.get(pid, []), key=lambda r: r["b"])
-        for q in groups[gk]:
-            if q.count <= GATHER:
-                vals = sorted(got[0]["vals"]) if got else []
-                q.value = vals[q.rank - q.below]
-                continue
-            below = q.below
-            for r in got:
-                if q.rank < below + r["n"]:
-                    q.lo, q.hi, q.below, q.count = r["lo"], r["hi"], below, r["n"]
-                    break
-                below += r["n"]
+    hist = [k for k in groups if k[4] > GATHER]
+    small = [k for k in groups if k[4] <= GATHER]
+    if hist:
+        items = [F.when((F.col(col) >= F.lit(lo)) & (F.col(col) <= F.lit(hi)),
+                        F.struct(F.lit(pid).alias("pid"), _bucket(F.col(col), lo, hi).alias("b"),
+                                 F.col(col).alias("v")))
+                 for pid, (col, lo, hi, _b, _n) in enumerate(hist)]
+        rows = (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull()).select("s.*")
+                  .groupBy("pid", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+                                           F.max("v").alias("hi"))
+                  .collect())
+        by_group: dict[int, list] = {}
+        for r in rows:
+            by_group.setdefault(r["pid"], []).append(r)
+        for pid, gk in enumerate(hist):
+            got = sorted(by_group.get(pid, []), key=lambda r: r["b"])
+            for q in groups[gk]:
+                below = q.below
+                for r in got:
+                    if q.rank < below + r["n"]:
+                        q.lo, q.hi, q.below, q.count = r["lo"], r["hi"], below, r["n"]
+                        break
+                    below += r["n"]
+    if small:
+        items = [F.when((F.col(col) >= F.lit(lo)) & (F.col(col) <= F.lit(hi)),
+                        F.struct(F.lit(pid).alias("pid"), F.col(col).alias("v")))
+                 for pid, (col, lo, hi, _b, _n) in enumerate(small)]
+        vals: dict[int, list] = {}
+        for r in (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
+                    .select("s.*").collect()):
+            vals.setdefault(r["pid"], []).append(r["v"])
+        for pid, gk in enumerate(small):
+            v = sorted(vals.get(pid, []))
+            for q in groups[gk]:
+                q.value = v[q.rank - q.below]
 
 
 def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:

@@ -74,34 +74,33 @@ def _thresholds(base: DataFrame, k_of_n: Callable[[int], int]) -> dict:
         else:
             state[r["g"]] = {"prefix": "", "below": 0, "count": n, "k": k}
     while state:
-        prefixes = {gk: s["prefix"] for gk, s in state.items()}
-        gather = {gk: s["count"] <= GATHER for gk, s in state.items()}
-        pref = F.element_at(_lit_map(prefixes), F.col("g"))
-        is_gather = F.element_at(_lit_map(gather), F.col("g"))
-        plen = F.length(pref)
-        sub = base.where(F.col("g").isin(list(state)) & F.startswith(F.col("key"), pref))
-        bucket = F.when(is_gather, F.lit("")).otherwise(F.col("key").substr(F.lit(1), plen + F.lit(STEP)))
-        rows = (sub.groupBy(F.col("g"), bucket.alias("b"))
-                   .agg(F.count(F.lit(1)).alias("n"),
-                        F.collect_list(F.when(is_gather, F.struct("key", "id"))).alias("vals"))
-                   .collect())
-        by_group: dict = {}
-        for r in rows:
-            by_group.setdefault(r["g"], []).append(r)
-        for gk in list(state):
-            s = state[gk]
-            got = sorted(by_group.get(gk, []), key=lambda r: r["b"])
-            if gather[gk]:
-                vals = sorted((v["key"], v["id"]) for v in got[0]["vals"])
-                out[gk] = vals[s["k"] - s["below"] - 1]
+        hist = {gk: st for gk, st in state.items() if st["count"] > GATHER}
+        small = {gk: st for gk, st in state.items() if st["count"] <= GATHER}
+        if hist:
+            pref = F.element_at(_lit_map({gk: st["prefix"] for gk, st in hist.items()}), F.col("g"))
+            sub = base.where(F.col("g").isin(list(hist)) & F.startswith(F.col("key"), pref))
+            bucket = F.col("key").substr(F.lit(1), F.length(pref) + F.lit(STEP))
+            counts_b: dict = {}
+            for r in sub.groupBy("g", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():
+                counts_b.setdefault(r["g"], []).append((r["b"], r["n"]))
+            for gk, st in hist.items():
+                below = st["below"]
+                for b_, n_ in sorted(counts_b.get(gk, [])):
+                    if st["k"] <= below + n_:
+                        st.update(prefix=b_, below=below, count=n_)
+                        break
+                    below += n_
+        if small:
+            pref = F.element_at(_lit_map({gk: st["prefix"] for gk, st in small.items()}), F.col("g"))
+            rows = base.where(F.col("g").isin(list(small)) & F.startswith(F.col("key"), pref)) \
+                       .select("g", "key", "id").collect()
+            vals: dict = {}
+            for r in rows:
+                vals.setdefault(r["g"], []).append((r["key"], r["id"]))
+            for gk, st in small.items():
+                v = sorted(vals.get(gk, []))
+                out[gk] = v[st["k"] - st["below"] - 1]
                 del state[gk]
-                continue
-            below = s["below"]
-            for r in got:
-                if s["k"] <= below + r["n"]:
-                    s.update(prefix=r["b"], below=below, count=r["n"])
-                    break
-                below += r["n"]
     return out
 
 
