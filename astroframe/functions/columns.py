@@ -36,8 +36,8 @@ def null_nonpositive(c: str | Column) -> Column:
 
 
 def nan_to_null(c: str | Column) -> Column:
-    x = col_(c)
-    return F.when(F.isnan(x), F.lit(None)).otherwise(x)
+    """NaN -> NULL (``nanvl`` keeps the generated code small)."""
+    return F.nanvl(col_(c), F.lit(None).cast("double"))
 
 
 def to_double(c: str | Column) -> Column:

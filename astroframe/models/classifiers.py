@@ -31,8 +31,12 @@ def _predictions(model, test: DataFrame, id_col: str) -> DataFrame:
 def rf_classify(train: DataFrame, test: DataFrame, id_col: str, trees: int = ML_PARAMS["rf_n_estimators"],
                 depth: int = ML_PARAMS["rf_max_depth"], seed: int = ML_PARAMS["random_state"]):
     """Random forest; returns (predictions, feature importances as a list)."""
+    from astroframe.session import checkpoint_dir
+
+    checkpoint_dir(train.sparkSession)
     rf = RandomForestClassifier(numTrees=trees, maxDepth=min(depth, 30), seed=seed, labelCol="label",
-                                featuresCol="features")
+                                featuresCol="features", cacheNodeIds=True, maxMemoryInMB=1024,
+                                checkpointInterval=10)
     model = rf.fit(train)
     return _predictions(model, test, id_col), list(model.featureImportances.toArray())
 

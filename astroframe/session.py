@@ -22,6 +22,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # HotSpot does not JIT methods over 8000 bytes of bytecode; above that
+        # Spark should fall back for the subtree (Spark's own advice on HotSpot)
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )
