@@ -48,13 +48,18 @@ def q_cut_bins(spark, sf):
 
 
 @query("phase_label",
-       "SELECT object, datetime, CASE WHEN p < 0.4 THEN 'Aproximacion' WHEN p < 0.6 THEN 'PERIHELIO' "
-       "ELSE 'Salida' END AS phase FROM (SELECT object, datetime, "
-       "percent_rank() OVER (PARTITION BY object ORDER BY datetime) AS p FROM ephemeris) t",
+       "WITH b AS (SELECT object, min(datetime) AS t0, max(datetime) AS t1 FROM ephemeris GROUP BY object) "
+       "SELECT e.object, e.datetime, CASE WHEN p < 0.4 THEN 'Aproximacion' WHEN p < 0.6 THEN 'PERIHELIO' "
+       "ELSE 'Salida' END AS phase FROM (SELECT e.object, e.datetime, CASE WHEN b.t1 > b.t0 THEN "
+       "CAST(date_diff('microsecond', b.t0, e.datetime) AS DOUBLE) / CAST(date_diff('microsecond', b.t0, b.t1) "
+       "AS DOUBLE) ELSE 0.0e0 END AS p FROM ephemeris e JOIN b ON e.object = b.object) e",
        views=["ephemeris"])
 def q_phase_label(spark, sf):
-    w = Window.partitionBy("object").orderBy("datetime")
-    e = ephemeris(spark, sf).withColumn("progress", F.percent_rank().over(w))
+    e = ephemeris(spark, sf)
+    span = e.groupBy("object").agg(F.min("datetime").alias("t0"), F.max("datetime").alias("t1"))
+    us = lambda a, b: F.timestamp_diff("MICROSECOND", F.col(a), F.col(b)).cast("double")
+    prog = F.when(F.col("t1") > F.col("t0"), us("t0", "datetime") / us("t0", "t1")).otherwise(F.lit(0.0))
+    e = e.join(span, "object").withColumn("progress", prog)
     return K.phase_label(e, "progress").select("object", "datetime", "phase")
 
 

@@ -19,10 +19,12 @@ _MD5 = "md5(CAST(spkid AS VARCHAR) || '-42')"
        "WINDOW w AS (PARTITION BY object ORDER BY datetime, r ROWS BETWEEN 30 PRECEDING AND CURRENT ROW)",
        views=["ephemeris"], round_cols=["r_trail"])
 def q_trailing_window(spark, sf):
-    w = S.trailing_window(ephemeris(spark, sf), "object", ["datetime", "r"], 30)
-    return ephemeris(spark, sf).select(
-        "object", "datetime", F.count(F.lit(1)).over(w).alias("n_trail"),
-        F.avg("r").over(w).alias("r_trail"), F.min("r").over(w).alias("r_min"))
+    from astroframe.operators.windows import trailing_aggregates
+
+    e = ephemeris(spark, sf).select("object", "datetime", "r")
+    out = trailing_aggregates(e, "object", ["datetime", "r"], "r", 30, ("count", "mean", "min"))
+    return out.select("object", "datetime", F.col("r_count").alias("n_trail"),
+                      F.col("r_mean").alias("r_trail"), F.col("r_min"))
 
 
 @query("stratified_split",

@@ -93,3 +93,23 @@ def test_histogram_density_integrates_to_one(spark):
     h = histogram(df, "x", 50).toPandas()
     assert h["count"].sum() == 1000
     assert ((h["hi"] - h["lo"]) * h["density"]).sum() == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("n,parts", [(5, 13), (30, 4)])
+def test_trailing_aggregates_hot_key_matches_brute_force(spark, n, parts):
+    from astroframe.operators.windows import trailing_aggregates
+
+    rng = np.random.default_rng(11)
+    m = 3000
+    keys = np.where(rng.random(m) < 0.8, "hot", rng.choice(["a", "b", "c", "d"], m))
+    pdf = pd.DataFrame({"k": keys, "t": rng.permutation(m).astype("int64"), "v": rng.normal(size=m)})
+    pdf.loc[::17, "v"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None).cast("double")))
+    got = trailing_aggregates(df, "k", ["t"], "v", n, ("count", "sum", "mean", "min", "max"), parts).toPandas()
+    got = got.sort_values(["k", "t"]).reset_index(drop=True)
+    exp = pdf.sort_values(["k", "t"]).reset_index(drop=True)
+    r = exp.groupby("k")["v"].rolling(n + 1, min_periods=1)
+    for a in ("sum", "mean", "min", "max"):
+        e = getattr(r, a)().reset_index(level=0, drop=True).sort_index().to_numpy()
+        np.testing.assert_allclose(got[f"v_{a}"].to_numpy(dtype=float), e, rtol=1e-12, atol=1e-12)
+    assert (got["v_count"].to_numpy() == np.minimum(exp.groupby("k").cumcount() + 1, n + 1)).all()
