@@ -103,7 +103,7 @@ def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
     return df.agg(F.avg(F.when(F.col(label) == F.col(pred), 1.0).otherwise(0.0)).alias("accuracy"))
 
 
-def weighted_prf(df: DataFrame, label: str, pred: str) -> DataFrame:
+def weighted_prf(df: DataFrame, label: str, pred: str, with_accuracy: bool = False) -> DataFrame:
     """Support-weighted precision / recall / F1 with zero-division -> 0.
 
     Built from the confusion counts (k^2 rows at most), so the row data is
@@ -121,9 +121,12 @@ def weighted_prf(df: DataFrame, label: str, pred: str) -> DataFrame:
     f1 = F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0)
     per = per.withColumn("f", f1)
     tot = F.sum("support")
-    return per.agg((F.sum(F.col("p") * F.col("support")) / tot).alias("precision"),
-                   (F.sum(F.col("r") * F.col("support")) / tot).alias("recall"),
-                   (F.sum(F.col("f") * F.col("support")) / tot).alias("f1"))
+    metrics = [(F.sum(F.col("p") * F.col("support")) / tot).alias("precision"),
+               (F.sum(F.col("r") * F.col("support")) / tot).alias("recall"),
+               (F.sum(F.col("f") * F.col("support")) / tot).alias("f1")]
+    if with_accuracy:
+        metrics.insert(0, (F.sum("tp") / tot).alias("accuracy"))
+    return per.agg(*metrics)
 
 
 def best_by(df: DataFrame, group: str, value: str, name: str, highest: bool = True,

@@ -51,9 +51,17 @@ def class_dimension(spark: SparkSession, mapping: Mapping[str, str] = OBJECT_CLA
     return spark.createDataFrame(list(mapping.items()), f"{key} string, {value} string")
 
 
+MAX_BROADCAST_ROWS = 100_000
+
+
 def label_dim(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Left join to a dimension of fixed, small size (broadcast is size-proven)."""
-    return df.join(F.broadcast(dim), key, "left")
+    """Left join to a code -> description dimension.
+
+    Broadcast only after checking the dimension's size (a bounded probe);
+    a larger table falls back to an ordinary join planned by AQE.
+    """
+    small = dim.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    return df.join(F.broadcast(dim) if small else dim, key, "left")
 
 
 def cut_bins(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence[str],
