@@ -52,7 +52,7 @@ def q_fn_string(spark, sf):
 @query("fn_datetime",
        "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, strftime(o_orderdate, '%Y-%m-%d') AS d_txt, "
        "CAST(strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d') AS TIMESTAMP) AS parsed, "
-       "datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS days, "
+       "CAST(datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS days, "
        "CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(month(o_orderdate) AS INTEGER) AS mon, "
        "CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS DATE) AS plus30 FROM orders")
 def q_fn_datetime(spark, sf):

@@ -20,7 +20,7 @@ def _lin(lo: str, hi: str, n: int) -> str:
 
 _HYP = f"""
 WITH h AS (SELECT spkid, e, q, i, acos(-1.0e0 / e) - 0.1e0 AS nu_max FROM processed WHERE e > 1.0),
- p AS (SELECT spkid, e, q, i, j, {_lin('-nu_max', 'nu_max', N_PATH)} AS nu FROM h CROSS JOIN range({N_PATH}) AS t(j)),
+ p AS (SELECT spkid, e, q, i, j, {_lin('-nu_max', 'nu_max', N_PATH)} AS nu FROM h CROSS JOIN (SELECT CAST(range AS INTEGER) AS j FROM range({N_PATH})) AS t),
  r AS (SELECT *, q / (e - 1.0e0) * (e * e - 1.0e0) / (1.0e0 + e * cos(nu)) AS r FROM p)
 """
 
@@ -60,7 +60,7 @@ def q_scalar_threshold(spark, sf):
 
 @query("frame_sample",
        _HYP + " SELECT r.spkid, f.frame, r.j, r.r FROM r JOIN (SELECT DISTINCT spkid FROM h) k ON true "
-       "JOIN range(60) AS f(frame) ON true "
+       "JOIN (SELECT CAST(range AS INTEGER) AS frame FROM range(60)) AS f ON true "
        f"WHERE r.spkid = k.spkid AND r.j = CAST(floor(f.frame / 60.0e0 * {N_PATH - 1}) AS INTEGER)",
        views=["processed"], round_cols=["r"])
 def q_frame_sample(spark, sf):
@@ -77,7 +77,7 @@ def q_hyperbolic_path(spark, sf):
 
 _HYP3 = f"""
 WITH h AS (SELECT spkid, e, q, i, om, w, acos(-1.0e0 / e) * 0.95e0 AS vmax FROM processed WHERE e > 1.0),
- p AS (SELECT *, {_lin('-vmax', 'vmax', N_PATH)} AS nu FROM h CROSS JOIN range({N_PATH}) AS t(j)),
+ p AS (SELECT *, {_lin('-vmax', 'vmax', N_PATH)} AS nu FROM h CROSS JOIN (SELECT CAST(range AS INTEGER) AS j FROM range({N_PATH})) AS t),
  r AS (SELECT *, q * (1.0e0 + e) / (1.0e0 + e * cos(nu)) AS r FROM p),
  o AS (SELECT *, r * cos(nu) AS xo, r * sin(nu) AS yo FROM r)
 SELECT spkid, j,
@@ -94,7 +94,7 @@ def q_hyperbolic_path_3d(spark, sf):
 
 _POLAR = f"""
 WITH p AS (SELECT spkid, e, a, i, j, {_lin('-pi() / 2', 'pi() / 2', 100)} AS theta
-           FROM processed CROSS JOIN range(100) AS t(j) WHERE object_type = 'ISO'),
+           FROM processed CROSS JOIN (SELECT CAST(range AS INTEGER) AS j FROM range(100)) AS t WHERE object_type = 'ISO'),
  r0 AS (SELECT *, abs(a) * (e * e - 1.0e0) / (1.0e0 + e * cos(theta)) AS r1 FROM p),
  r AS (SELECT *, CASE WHEN r1 > 50.0 THEN 50.0e0 WHEN r1 < 0 THEN 0.0e0 ELSE r1 END AS r FROM r0)
 SELECT spkid, j, r * cos(theta) AS x, r * sin(theta) * cos(radians(i)) AS y, r * sin(theta) * sin(radians(i)) AS z
@@ -111,7 +111,7 @@ def q_polar_path(spark, sf):
 @query("circular_path",
        f"WITH t AS (SELECT object_type, avg(a) AS radius FROM processed WHERE a > 0 AND object_type IS NOT NULL "
        f"GROUP BY object_type), p AS (SELECT *, {_lin('0.0e0', '2 * pi()', 200)} AS theta FROM t "
-       f"CROSS JOIN range(200) AS s(j)) SELECT object_type, j, radius * cos(theta) AS x, radius * sin(theta) AS y, "
+       f"CROSS JOIN (SELECT CAST(range AS INTEGER) AS j FROM range(200)) AS s) SELECT object_type, j, radius * cos(theta) AS x, radius * sin(theta) AS y, "
        f"0.0e0 AS z FROM p", views=["processed"], round_cols=XYZ)
 def q_circular_path(spark, sf):
     t = processed(spark, sf).where((F.col("a") > 0) & F.col("object_type").isNotNull()) \

@@ -9,6 +9,8 @@ resumes where it stopped.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ def bodies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_type_counts(spark: SparkSession, sf_dir: str, name: str = "type_counts") -> DataFrame:
     """Run the streaming ETL + type count to completion; return the result table."""
     counts = etl_full(bodies_stream(spark, sf_dir)).groupBy("object_type").agg(F.count(F.lit(1)).alias("count"))
-    table = f"{name}_{abs(hash(sf_dir)) % 10_000_000}"
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
     q = (counts.writeStream.outputMode("complete").format("memory").queryName(table)
          .option("checkpointLocation", scratch_path(spark, f"stream-{name}")).start())
     try:

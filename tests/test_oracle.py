@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from astroframe.sources.tables import TABLES
 from tests.conftest import SF_SMALL
-from tools.oracle_check import digest
+from tools.oracle_check import digest, type_diffs
 
 SQLS = E.oracle_sql()
 QUERIES = E.queries()
@@ -42,6 +42,7 @@ def test_query_matches_oracle(spark, con, name):
     srows = [tuple(r) for r in sdf.collect()]
     assert sorted(c.lower() for c in sdf.columns) == sorted(c.lower() for c in dcols)
     assert len(srows) == len(drows)
+    assert type_diffs(sdf.dtypes, dcols, con.sql(SQLS[name]).types) == []
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
 
 
