@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from astroframe.constants import FEATURES_ALL, FEATURES_ENGINEERED, FEATURES_ORBITAL, MIN_CLASS_COUNT
 from astroframe.models.prep import assemble_features, impute_median, standardize
-from astroframe.operators.classify import label_codes
+from astroframe.operators.classify import label_encode, label_list
 from astroframe.operators.clean import available
 from astroframe.operators.joins import semi_valid_classes
 from astroframe.operators.sampling import stratified_split
@@ -31,11 +31,9 @@ ANOMALY_FEATURES = FEATURES_ORBITAL + FEATURES_ENGINEERED
 
 
 def encode_labels(df: DataFrame, col: str) -> tuple[DataFrame, list]:
-    """Alphabetical 0-based codes as a literal map (classes are few; their list is returned)."""
-    codes = label_codes(df, col, "label").orderBy("label").collect()
-    classes = [r[col] for r in codes]
-    mapping = F.create_map(*[x for n, c in enumerate(classes) for x in (F.lit(c), F.lit(n))])
-    return df.withColumn("label", F.element_at(mapping, F.col(col))), classes
+    """Alphabetical 0-based codes as a literal map; also returns the class list."""
+    classes = label_list(df, col)
+    return label_encode(df, col, "label"), classes
 
 
 def classification_frame(processed: DataFrame, id_col: str = "spkid", label_col: str = "object_type",

@@ -7,7 +7,6 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from astroframe.constants import CLASS_MAPPING, DETECTED_LABELS, OBJECT_CLASSES, PHASE_CUTS, PHASE_LABELS
 from astroframe.functions.columns import col_
@@ -87,23 +86,36 @@ def detected_label(df: DataFrame, flag: Column, out: str = "verdict",
     return df.withColumn(out, F.when(flag, F.lit(yes)).otherwise(F.lit(no)))
 
 
-def label_codes(df: DataFrame, col: str, out: str = "label") -> DataFrame:
-    """Sorted distinct non-NULL labels -> 0..k-1.
+MAX_LABELS = 100_000
 
-    The distinct set is computed distributed (partial + final aggregate);
-    only that set -- bounded by the number of classes -- is ranked.
-    """
-    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return labels.withColumn(out, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
+
+def label_list(df: DataFrame, col: str) -> list:
+    """Sorted distinct non-NULL labels (a distributed distinct; the list is bounded by the classes)."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} distinct labels in {col}")
+    return sorted(r[col] for r in rows)
+
+
+def label_codes(df: DataFrame, col: str, out: str = "label") -> DataFrame:
+    """Sorted distinct non-NULL labels -> 0..k-1 as a small (label, code) table."""
+    labels = label_list(df, col)
+    schema = f"{col} {dict(df.dtypes)[col]}, {out} int"
+    return df.sparkSession.createDataFrame(list(zip(labels, range(len(labels)))), schema)
 
 
 def label_encode(df: DataFrame, col: str, out: str = "label") -> DataFrame:
     """Attach the 0-based alphabetical code of ``col`` (NULL labels get NULL).
 
-    The code table is joined without a hint: AQE turns the join into a
-    broadcast at run time when the measured code table is small.
+    Like ``StringIndexer.fit``: the label set is gathered (bounded by the
+    number of classes) and applied as a literal map -- a narrow projection,
+    no join and no single-partition window.
     """
-    return df.join(label_codes(df, col, out), col, "left")
+    labels = label_list(df, col)
+    if not labels:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    mapping = F.create_map(*[x for n, c in enumerate(labels) for x in (F.lit(c), F.lit(n))])
+    return df.withColumn(out, F.element_at(mapping, F.col(col)).cast("int"))
 
 
 def argmax_label(df: DataFrame, prob_col: str, out: str = "pred") -> DataFrame:
