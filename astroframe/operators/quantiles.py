@@ -7,8 +7,9 @@ narrowing a value bracket with distributed histograms instead:
 
 1. one pass: ``count/min/max`` per column;
 2. each further pass: for every open bracket, count rows per bucket of
-   ``BUCKETS`` equal-width buckets (plus min/max per bucket) -- a partial +
-   final hash aggregate whose output is at most ``BUCKETS`` rows per probe;
+   1024 to 16384 equal-width buckets (more for bigger brackets; plus min/max
+   per bucket) -- a partial + final hash aggregate whose output is at most
+   16384 rows per probe;
    the bucket holding the wanted rank becomes the new bracket;
 3. once a bracket holds at most ``GATHER`` rows (or min = max, e.g. a hot
    value), its values are gathered (bounded) and the rank is read off.
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1024
+MAX_BUCKETS = 16384
 GATHER = 4096
 MAX_PASSES = 40
 
@@ -39,10 +41,16 @@ class _Probe:
         self.below, self.count, self.value = below, count, None
 
 
-def _bucket(x: Column, lo: float, hi: float) -> Column:
-    width = (hi - lo) / BUCKETS
+def _buckets_for(count: int) -> int:
+    """Enough buckets to reach a gatherable bracket in one pass when possible (bounded)."""
+    need = -(-count // GATHER)
+    return int(min(MAX_BUCKETS, max(BUCKETS, need)))
+
+
+def _bucket(x: Column, lo: float, hi: float, buckets: int = BUCKETS) -> Column:
+    width = (hi - lo) / buckets
     b = F.floor((x - F.lit(lo)) / F.lit(width)).cast("int")
-    return F.least(F.greatest(b, F.lit(0)), F.lit(BUCKETS - 1))
+    return F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], p: float, persist: bool = True) -> dict[str, float | None]:
@@ -113,7 +121,7 @@ def _one_pass(df: DataFrame, probes: list[_Probe]) -> None:
     small = [k for k in groups if k[4] <= GATHER]
     if hist:
         items = [F.when((F.col(col) >= F.lit(lo)) & (F.col(col) <= F.lit(hi)),
-                        F.struct(F.lit(pid).alias("pid"), _bucket(F.col(col), lo, hi).alias("b"),
+                        F.struct(F.lit(pid).alias("pid"), _bucket(F.col(col), lo, hi, _buckets_for(_n)).alias("b"),
                                  F.col(col).alias("v")))
                  for pid, (col, lo, hi, _b, _n) in enumerate(hist)]
         rows = (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull()).select("s.*")

@@ -43,6 +43,11 @@ def ceil_fraction(n: int, frac: float) -> int:
     return -((-n * f.numerator) // f.denominator)
 
 
+def _step(count: int) -> int:
+    """Hex digits per pass: 3 (4096 buckets), 4 (65536) for very large prefixes."""
+    return 4 if count > GATHER * 4096 else STEP
+
+
 def _lit_map(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(d.items())])
 
@@ -79,7 +84,8 @@ def _thresholds(base: DataFrame, k_of_n: Callable[[int], int]) -> dict:
         if hist:
             pref = F.element_at(_lit_map({gk: st["prefix"] for gk, st in hist.items()}), F.col("g"))
             sub = base.where(F.col("g").isin(list(hist)) & F.startswith(F.col("key"), pref))
-            bucket = F.col("key").substr(F.lit(1), F.length(pref) + F.lit(STEP))
+            step = F.element_at(_lit_map({gk: _step(st["count"]) for gk, st in hist.items()}), F.col("g"))
+            bucket = F.col("key").substr(F.lit(1), F.length(pref) + step)
             counts_b: dict = {}
             for r in sub.groupBy("g", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():
                 counts_b.setdefault(r["g"], []).append((r["b"], r["n"]))

@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # HotSpot does not JIT methods over 8000 bytes of bytecode; above that
         # Spark should fall back for the subtree (Spark's own advice on HotSpot)
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )
