@@ -29,7 +29,6 @@ from pyspark.sql.window import Window
 
 GATHER = 4096
 STEP = 3
-MAX_GROUPS = 100_000
 _ALL = "__all__"
 
 
@@ -37,12 +36,6 @@ def hash_key(id_col: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
 
 
-def ceil_fraction(n: int, frac: float) -> int:
-    """ceil(n * frac) in exact rational arithmetic (what SQL decimals give)."""
-    f = Fraction(str(frac))
-    return -((-n * f.numerator) // f.denominator)
-
-
 def _step(count: int) -> int:
     """Hex digits per pass: 3 (4096 buckets), 4 (65536) for very large prefixes."""
     return 4 if count > GATHER * 4096 else STEP
@@ -52,12 +45,42 @@ def _lit_map(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(d.items())])
 
 
+class KRule:
+    """How many rows a group of n keeps: ceil(n * frac) or min(n, cap), in exact integers."""
+
+    def __init__(self, frac: float | None = None, cap: int | None = None):
+        self.frac = Fraction(str(frac)) if frac is not None else None
+        self.cap = cap
+
+    def py(self, n: int) -> int:
+        if self.frac is not None:
+            return -((-n * self.frac.numerator) // self.frac.denominator)
+        return min(n, self.cap)
+
+    def col(self, n: str) -> Column:
+        """The same count as a SQL expression over the integer column ``n``."""
+        if self.frac is not None:
+            num, den = self.frac.numerator, self.frac.denominator
+            return F.expr(f"(`{n}` * {num} + {den - 1}) div {den}")
+        return F.least(F.col(n), F.lit(self.cap))
+
+
+MAX_LARGE_GROUPS = 1000
+LITERAL_GROUPS = 64
+
+
 def kth_thresholds(df: DataFrame, id_col: str, k_of_n: Callable[[int], int],
-                   group: str | None = None, seed: int = 42) -> dict:
-    """Per group: None (take nothing), True (take all) or the (key, id) of the k-th row."""
+                   group: str | None = None, seed: int = 42, only: list | None = None) -> dict:
+    """Per group: None (take nothing), True (take all) or the (key, id) of the k-th row.
+
+    ``only`` restricts the search to the listed groups.
+    """
     g = F.col(group) if group else F.lit(_ALL)
     base = df.select(g.alias("g"), hash_key(id_col, seed).alias("key"), F.col(id_col).alias("id")) \
-             .where(F.col("g").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+             .where(F.col("g").isNotNull())
+    if only is not None:
+        base = base.where(F.col("g").isin(list(only)))
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _thresholds(base, k_of_n)
     finally:
@@ -65,9 +88,7 @@ def kth_thresholds(df: DataFrame, id_col: str, k_of_n: Callable[[int], int],
 
 
 def _thresholds(base: DataFrame, k_of_n: Callable[[int], int]) -> dict:
-    counts = base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
-    if len(counts) > MAX_GROUPS:
-        raise ValueError("too many groups for threshold selection; use select_first_k_window")
+    counts = base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()
     out: dict = {}
     state: dict = {}
     for r in counts:
@@ -110,49 +131,79 @@ def _thresholds(base: DataFrame, k_of_n: Callable[[int], int]) -> dict:
     return out
 
 
-def first_k_flag(df: DataFrame, id_col: str, k_of_n: Callable[[int], int],
-                 group: str | None = None, seed: int = 42) -> Column:
-    """Boolean column: row is among the first k(n_group) rows of its group in hash order.
+def with_first_k(df: DataFrame, id_col: str, rule: KRule, group: str | None = None, seed: int = 42,
+                 out: str = "_first") -> DataFrame:
+    """Adds boolean ``out``: the row is among the first k(n_group) rows of its group in hash order.
 
-    Per-group thresholds are map literals (one entry per group), so the
-    filter stays a single codegen'd expression.
+    Groups above ``GATHER`` rows (at most rows / GATHER of them) get exact
+    thresholds from the prefix passes -- a hot group costs the same as any
+    other.  Groups of at most ``GATHER`` rows use a ``row_number`` window,
+    each one tiny.  With more than ``MAX_LARGE_GROUPS`` large groups every
+    group takes the window path (still exact).
     """
-    th = kth_thresholds(df, id_col, k_of_n, group, seed)
     g = F.col(group) if group else F.lit(_ALL)
-    take_all = [gk for gk, t in th.items() if t is True]
-    cut = {gk: t for gk, t in th.items() if t is not None and t is not True}
-    flag = g.isin(take_all) if take_all else F.lit(False)
-    if cut:
-        tk = F.element_at(_lit_map({gk: t[0] for gk, t in cut.items()}), g)
-        ti = F.element_at(_lit_map({gk: t[1] for gk, t in cut.items()}), g)
-        key = hash_key(id_col, seed)
-        in_cut = g.isin(list(cut))
-        flag = flag | (in_cut & ((key < tk) | ((key == tk) & (F.col(id_col) <= ti))))
-    return F.coalesce(flag, F.lit(False))
+    key = hash_key(id_col, seed)
+    counts = (df.select(g.alias("_g")).where(F.col("_g").isNotNull())
+                .groupBy("_g").agg(F.count(F.lit(1)).alias("_n")))
+    large = [r["_g"] for r in counts.where(F.col("_n") > GATHER).limit(MAX_LARGE_GROUPS + 1).collect()]
+    has_small = counts.where(F.col("_n") <= GATHER).limit(1).count() > 0
+    if len(large) > MAX_LARGE_GROUPS:
+        large, has_small = [], True
+    flag = F.lit(False)
+    out_df = df
+    if large:
+        th = kth_thresholds(df, id_col, rule.py, group, seed, only=large)
+        take_all = [gk for gk, t in th.items() if t is True]
+        cut = {gk: t for gk, t in th.items() if t is not None and t is not True}
+        if take_all:
+            flag = flag | g.isin(take_all)
+        if cut and len(cut) <= LITERAL_GROUPS:
+            tk = F.element_at(_lit_map({gk: t[0] for gk, t in cut.items()}), g)
+            ti = F.element_at(_lit_map({gk: t[1] for gk, t in cut.items()}), g)
+            flag = flag | (g.isin(list(cut)) & ((key < tk) | ((key == tk) & (F.col(id_col) <= ti))))
+        elif cut:
+            # at most MAX_LARGE_GROUPS rows: a size-proven broadcast
+            id_type = dict(df.dtypes)[id_col]
+            gtype = dict(df.dtypes)[group] if group else "string"
+            tab = df.sparkSession.createDataFrame(
+                [(gk, t[0], t[1]) for gk, t in cut.items()], f"_tg {gtype}, _tk string, _ti {id_type}")
+            out_df = out_df.join(F.broadcast(tab), g == F.col("_tg"), "left")
+            flag = flag | (F.col("_tg").isNotNull() & ((key < F.col("_tk")) |
+                                                       ((key == F.col("_tk")) & (F.col(id_col) <= F.col("_ti")))))
+    if has_small:
+        small = counts.where(F.col("_n") <= GATHER) if large else counts
+        out_df = out_df.join(small, g == F.col("_g"), "left")
+        w = Window.partitionBy(F.col("_g")).orderBy(key, F.col(id_col))
+        rn = F.when(F.col("_g").isNotNull(), F.row_number().over(w))
+        out_df = out_df.withColumn("_rn", rn)
+        flag = flag | (F.col("_rn").isNotNull() & (F.col("_rn") <= rule.col("_n")))
+    out_df = out_df.withColumn(out, F.coalesce(flag, F.lit(False)))
+    return out_df.drop(*[c for c in ("_g", "_n", "_rn", "_tg", "_tk", "_ti") if c in out_df.columns
+                         and c not in df.columns])
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test: float = 0.2, seed: int = 42,
                      out: str = "split") -> DataFrame:
     """Per class, exactly ceil(n_c * test) rows (first in hash order) go to 'test'."""
-    flag = first_k_flag(df, id_col, lambda n: ceil_fraction(n, test), label, seed)
-    return df.withColumn(out, F.when(flag, "test").otherwise("train"))
+    f = with_first_k(df, id_col, KRule(frac=test), label, seed)
+    return f.withColumn(out, F.when(F.col("_first"), "test").otherwise("train")).drop("_first")
 
 
 def holdout_split(df: DataFrame, id_col: str, frac: float = 0.15, seed: int = 42,
                   out: str = "split") -> DataFrame:
     """Unstratified: exactly ceil(n * frac) rows (hash order) go to 'test'."""
-    flag = first_k_flag(df, id_col, lambda n: ceil_fraction(n, frac), None, seed)
-    return df.withColumn(out, F.when(flag, "test").otherwise("train"))
+    f = with_first_k(df, id_col, KRule(frac=frac), None, seed)
+    return f.withColumn(out, F.when(F.col("_first"), "test").otherwise("train")).drop("_first")
 
 
 def sample_per_group(df: DataFrame, group: str, id_col: str, n: int = 3000, seed: int = 42) -> DataFrame:
     """At most n rows per group (all rows of smaller groups), first in hash order."""
-    return df.where(first_k_flag(df, id_col, lambda m: min(n, m), group, seed))
+    return with_first_k(df, id_col, KRule(cap=n), group, seed).where(F.col("_first")).drop("_first")
 
 
 def cap_rows(df: DataFrame, id_col: str, n: int = 20000, seed: int = 42) -> DataFrame:
     """The first n rows in hash order (all rows if fewer)."""
-    return df.where(first_k_flag(df, id_col, lambda m: min(n, m), None, seed))
+    return with_first_k(df, id_col, KRule(cap=n), None, seed).where(F.col("_first")).drop("_first")
 
 
 def sample_keep_rare(df: DataFrame, rare: Column, id_col: str, limit: int = 8000, n: int = 7000,
@@ -164,7 +215,7 @@ def sample_keep_rare(df: DataFrame, rare: Column, id_col: str, limit: int = 8000
     is_rare = F.coalesce(rare, F.lit(False))
     tagged = df.withColumn("_rare", is_rare)
     common = tagged.where(~F.col("_rare"))
-    picked = common.where(first_k_flag(common, id_col, lambda m: min(n, m), None, seed))
+    picked = with_first_k(common, id_col, KRule(cap=n), None, seed).where(F.col("_first")).drop("_first")
     return picked.unionByName(tagged.where(F.col("_rare"))).drop("_rare")
 
 

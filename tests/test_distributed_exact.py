@@ -113,3 +113,41 @@ def test_trailing_aggregates_hot_key_matches_brute_force(spark, n, parts):
         e = getattr(r, a)().reset_index(level=0, drop=True).sort_index().to_numpy()
         np.testing.assert_allclose(got[f"v_{a}"].to_numpy(dtype=float), e, rtol=1e-12, atol=1e-12)
     assert (got["v_count"].to_numpy() == np.minimum(exp.groupby("k").cumcount() + 1, n + 1)).all()
+
+
+def test_first_k_hybrid_many_small_groups_and_a_hot_one(spark):
+    """Hot group via thresholds, thousands of small groups via windows -- same selection."""
+    import astroframe.operators.sampling as SM
+
+    rng = np.random.default_rng(9)
+    n = 40000
+    g = np.where(rng.random(n) < 0.4, "hot", np.char.add("g", rng.integers(0, 3000, n).astype(str)))
+    pdf = pd.DataFrame({"id": np.arange(n, dtype="int64"), "g": g})
+    out = SM.stratified_split(spark.createDataFrame(pdf), "g", "id", 0.2, 42).toPandas()
+    got = out.groupby("g").apply(lambda d: set(d[d.split == "test"]["id"]), include_groups=False)
+    for lab, grp in pdf.groupby("g"):
+        k = math.ceil(len(grp) * 0.2)
+        assert got[lab] == set(_md5_order(list(grp["id"]))[:k]), lab
+
+
+def test_first_k_window_fallback_when_many_large_groups(spark, monkeypatch):
+    import astroframe.operators.sampling as SM
+
+    monkeypatch.setattr(SM, "GATHER", 5)
+    monkeypatch.setattr(SM, "MAX_LARGE_GROUPS", 3)
+    pdf = pd.DataFrame({"id": np.arange(400, dtype="int64"), "g": (np.arange(400) % 10).astype(str)})
+    got = SM.sample_per_group(spark.createDataFrame(pdf), "g", "id", 7, 42).toPandas()
+    for lab, grp in pdf.groupby("g"):
+        assert set(got[got.g == lab]["id"]) == set(_md5_order(list(grp["id"]))[:7])
+
+
+def test_first_k_broadcast_threshold_table(spark, monkeypatch):
+    import astroframe.operators.sampling as SM
+
+    monkeypatch.setattr(SM, "GATHER", 5)
+    monkeypatch.setattr(SM, "LITERAL_GROUPS", 2)
+    pdf = pd.DataFrame({"id": np.arange(300, dtype="int64"), "g": (np.arange(300) % 6).astype(str)})
+    got = SM.stratified_split(spark.createDataFrame(pdf), "g", "id", 0.3, 42).toPandas()
+    for lab, grp in pdf.groupby("g"):
+        k = math.ceil(len(grp) * 0.3)
+        assert set(got[(got.g == lab) & (got.split == "test")]["id"]) == set(_md5_order(list(grp["id"]))[:k])
