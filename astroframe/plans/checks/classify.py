@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from astroframe.constants import OBJECT_CLASSES, REDSHIFT_EDGES, REDSHIFT_LABELS
 from astroframe.operators import classify as K

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from astroframe.operators.aggregate import count_by
 from astroframe.operators.features import etl_full
 from astroframe.plans.registry import query

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from astroframe.functions import orbital as O
-from astroframe.functions.columns import rounded
 from astroframe.operators import features as FE
 from astroframe.operators.features import clean_catalogue
 from astroframe.plans.registry import query, sql_rounded

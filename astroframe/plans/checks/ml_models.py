@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from astroframe.constants import NORMAL_TYPES, SDSS_FEATURES
+from astroframe.constants import NORMAL_TYPES
 from astroframe.models import anomaly as AN
 from astroframe.models import classifiers as M
 from astroframe.models.frames import anomaly_frame, classification_frame, spectral_frame
