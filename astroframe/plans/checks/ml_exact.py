@@ -44,6 +44,18 @@ add_view("gal_means", "SELECT k.gal_id, k.own, k.other, coalesce(m.n, 0) AS n, m
          "ON k.gal_id = m.gal_id AND k.other = m.other", ("gal_pairs",))
 
 
+_VALID = ("SELECT * FROM processed WHERE object_type IN (SELECT object_type FROM processed WHERE object_type "
+          "IS NOT NULL GROUP BY object_type HAVING count(*) >= 50)")
+add_view("valid_rows", _VALID, ("processed",))
+add_view("valid_imputed", "SELECT spkid, " + ", ".join(
+    f"coalesce({_q(c)}, (SELECT median({_q(c)}) FROM valid_rows)) AS {_q(c)}" for c in FEATS) + " FROM valid_rows",
+    ("valid_rows",))
+add_view("valid_scaled", "SELECT spkid, " + ", ".join(
+    f"({_q(c)} - (SELECT avg({_q(c)}) FROM valid_imputed)) / (SELECT CASE WHEN coalesce(stddev_pop({_q(c)}), 0) = 0 "
+    f"THEN 1.0e0 ELSE stddev_pop({_q(c)}) END FROM valid_imputed) AS f{n}" for n, c in enumerate(FEATS))
+    + " FROM valid_imputed", ("valid_imputed",))
+
+
 def imputed(spark, sf):
     return P.impute_median(processed(spark, sf).select("spkid", "object_type", *FEATS), FEATS)
 
@@ -122,3 +134,15 @@ def q_anomaly_flag(spark, sf):
     from astroframe.models.anomaly import anomaly_flag
     p = processed(spark, sf).select("spkid", "q_over_a")
     return anomaly_flag(p, "q_over_a", 0.01)
+
+
+@query("assemble_features", "SELECT * FROM valid_scaled", views=["valid_scaled"],
+       round_cols=[f"f{n}" for n in range(len(FEATS))])
+def q_assemble_features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    from astroframe.models.frames import classification_frame
+
+    train, test, cols, classes = classification_frame(processed(spark, sf))
+    arr = vector_to_array("features")
+    return train.unionByName(test).select("spkid", *[arr[n].alias(f"f{n}") for n in range(len(cols))])

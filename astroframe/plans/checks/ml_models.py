@@ -7,7 +7,6 @@ query).  Every query trains on the whole prepared table.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from astroframe.constants import NORMAL_TYPES
@@ -31,12 +30,6 @@ def anom(spark, sf):
     return anomaly_frame(processed(spark, sf))
 
 
-@query("assemble_features")
-def q_assemble_features(spark, sf):
-    train, test, cols, classes = cls_frames(spark, sf)
-    return train.unionByName(test).select("spkid", vector_to_array("features").alias("features"))
-
-
 @query("rf_classify")
 def q_rf_classify(spark, sf):
     train, test, cols, classes = cls_frames(spark, sf)
