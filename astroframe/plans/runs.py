@@ -43,8 +43,11 @@ def _write_doc(spark: SparkSession, doc: dict, path: str) -> None:
 
 def run_etl(raw: DataFrame, out_path: str | None = None) -> tuple[DataFrame, dict]:
     """Clean, engineer, classify; counts in one pass; partitioned Parquet output."""
+    from astroframe.functions.columns import to_double
+
     processed = etl_full(raw)
-    keep = F.col("e").isNotNull() & F.col("a").isNotNull() & (F.col("e") >= 0)
+    e, a = to_double("e"), to_double("a")
+    keep = e.isNotNull() & a.isNotNull() & (e >= 0)
     stats = rows_removed(raw, keep).first().asDict()
     stats["types"] = {r["object_type"]: r["count"] for r in count_by(processed, "object_type").collect()}
     if out_path:
