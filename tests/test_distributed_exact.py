@@ -151,3 +151,17 @@ def test_first_k_broadcast_threshold_table(spark, monkeypatch):
     for lab, grp in pdf.groupby("g"):
         k = math.ceil(len(grp) * 0.3)
         assert set(got[(got.g == lab) & (got.split == "test")]["id"]) == set(_md5_order(list(grp["id"]))[:k])
+
+
+def test_evaluation_dict_matches_spark_aggregate(spark):
+    from astroframe.models.evaluate import evaluate, evaluation_dict
+
+    rng = np.random.default_rng(2)
+    lab = rng.integers(0, 4, 500)
+    pred = np.where(rng.random(500) < 0.7, lab, rng.integers(0, 5, 500))
+    df = spark.createDataFrame(pd.DataFrame({"label": lab, "prediction": pred}))
+    a = evaluate(df).first().asDict()
+    b = evaluation_dict(df)
+    for k in ("accuracy", "precision", "recall", "f1"):
+        assert a[k] == pytest.approx(b[k], abs=1e-12)
+    assert sum(map(sum, b["confusion_matrix"])) == 500 and len(b["confusion_matrix"]) == 5
