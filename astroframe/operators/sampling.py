@@ -6,14 +6,17 @@ filter ``(key, id) <= threshold(group)``; the threshold (the k-th key) is
 found by narrowing md5 prefixes with distributed counts:
 
 * pass 0 counts rows per group (one aggregate, one row per group);
-* each further pass counts rows per (group, next 3 hex digits) among the rows
-  still sharing the chosen prefix -- at most 4096 rows per open group, so a
-  group holding a third of all rows costs the same as any other;
+* each further pass counts rows per (group, next 3-4 hex digits) among the
+  rows still sharing the chosen prefix -- at most 4096 (65536) rows per open
+  group, so a group holding a third of all rows costs the same as any other;
 * once a prefix holds at most ``GATHER`` rows its (key, id) pairs are
   gathered (bounded) and the k-th is read off.
 
-The selection itself is a narrow filter with literal per-group thresholds:
-no window over a whole group, no global sort, no ``limit`` merge task.
+``with_first_k`` uses these thresholds for groups above ``GATHER`` rows (a
+narrow filter: literal thresholds, or a broadcast table of at most
+``MAX_LARGE_GROUPS`` rows) and a ``row_number`` window for the small groups,
+each of which is tiny.  No window over a hot group, no global sort, no
+``limit`` merge task.
 """
 
 from __future__ import annotations
