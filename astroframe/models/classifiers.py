@@ -103,11 +103,22 @@ def boosted_classify(train: DataFrame, test: DataFrame, id_col: str, rounds: int
 
 
 def mlp_classify(train: DataFrame, test: DataFrame, id_col: str, n_features: int, n_classes: int,
-                 hidden: Sequence[int] = tuple(DNN_LAYERS), iters: int = 50, seed: int = 42) -> DataFrame:
-    """Dense network (sigmoid hidden layers, softmax output, L-BFGS) on the feature vector."""
+                 hidden: Sequence[int] = tuple(DNN_LAYERS), iters: int = 50, seed: int = 42,
+                 with_history: bool = False):
+    """Dense network (sigmoid hidden layers, softmax output, L-BFGS) on the feature vector.
+
+    With ``with_history`` also returns the training record: per-iteration
+    loss, iterations run and the number of weights.
+    """
     mlp = MultilayerPerceptronClassifier(layers=[n_features, *hidden, n_classes], maxIter=iters, seed=seed,
                                          labelCol="label", featuresCol="features")
-    return _predictions(mlp.fit(train), test, id_col)
+    model = mlp.fit(train)
+    pred = _predictions(model, test, id_col)
+    if not with_history:
+        return pred
+    summary = model.summary() if callable(model.summary) else model.summary
+    loss = [float(v) for v in summary.objectiveHistory]
+    return pred, {"history": {"loss": loss}, "epochs_trained": len(loss), "total_params": int(model.weights.size)}
 
 
 def pca_project(df: DataFrame, k: int = ML_PARAMS["pca_components"], features: str = "features"):

@@ -69,8 +69,9 @@ def run_classification(processed: DataFrame, rf=None, gbt=None, svm=None, mlp=No
     results["SVM"] = {**evaluation_dict(pred), "train_time": t}
     pred, t = _timed(M.boosted_classify, train, test, "spkid", **gbt)
     results["Gradient Boosting"] = {**evaluation_dict(pred), "train_time": t}
-    pred, t = _timed(M.mlp_classify, train, test, "spkid", len(cols), len(classes), **(mlp or {}))
-    net = {"method": "DNN", **evaluation_dict(pred), "train_time": t}
+    (pred, record), t = _timed(M.mlp_classify, train, test, "spkid", len(cols), len(classes),
+                               with_history=True, **(mlp or {}))
+    net = {"task": "clasificacion_objetos", "method": "DNN", **evaluation_dict(pred), "train_time": t, **record}
     classical = {"task": "clasificacion_objetos", "classes": classes, "results": results,
                  "feature_importance": importance}
     return classical, net
@@ -113,8 +114,10 @@ def run_spectral(galaxies: DataFrame, trees: int = ML_PARAMS["rf_n_estimators"])
     ev = evaluation_dict(pred)
     classical = {"task": "clasificacion_espectral", "method": "Random Forest", **ev, "train_time": t,
                  "class_names": classes, "feature_importance": dict(zip(cols, imp))}
-    pred, t = _timed(M.mlp_classify, train, test, "gal_id", len(cols), len(classes), (64, 32), 100)
-    net = {"task": "clasificacion_espectral", "method": "MLP", **evaluation_dict(pred), "train_time": t}
+    (pred, record), t = _timed(M.mlp_classify, train, test, "gal_id", len(cols), len(classes), (64, 32), 100,
+                               with_history=True)
+    net = {"task": "clasificacion_espectral", "method": "MLP", **evaluation_dict(pred), "train_time": t,
+           "class_names": classes, **record}
     return classical, net
 
 

@@ -21,6 +21,9 @@ def test_run_all_light(spark):
     for m in t1["results"].values():
         assert 0 <= m["accuracy"] <= 1 and len(m["confusion_matrix"]) == len(t1["classes"])
     assert ml["task2"]["n_anomalies"] >= 1 and -1 <= ml["task2"]["silhouette"] <= 1
+    dl = json.loads(spark.read.text(f"{out}/dl_results").first()["value"])
+    assert dl["task1"]["epochs_trained"] == len(dl["task1"]["history"]["loss"]) >= 1
+    assert dl["task1"]["total_params"] > 0 and dl["task2"]["method"] == "Autoencoder"
     table = spark.read.json(f"{out}/comparison_table")
     assert table.count() == 8
     recs = {r["tarea"] for r in spark.read.json(f"{out}/recommendations").collect()}
