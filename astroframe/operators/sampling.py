@@ -73,10 +73,12 @@ LITERAL_GROUPS = 64
 
 
 def kth_thresholds(df: DataFrame, id_col: str, k_of_n: Callable[[int], int],
-                   group: str | None = None, seed: int = 42, only: list | None = None) -> dict:
+                   group: str | None = None, seed: int = 42, only: list | None = None,
+                   counts: dict | None = None) -> dict:
     """Per group: None (take nothing), True (take all) or the (key, id) of the k-th row.
 
-    ``only`` restricts the search to the listed groups.
+    ``only`` restricts the search to the listed groups; ``counts`` (group ->
+    rows), when already known, saves the counting pass.
     """
     g = F.col(group) if group else F.lit(_ALL)
     base = df.select(g.alias("g"), hash_key(id_col, seed).alias("key"), F.col(id_col).alias("id")) \
@@ -85,23 +87,24 @@ def kth_thresholds(df: DataFrame, id_col: str, k_of_n: Callable[[int], int],
         base = base.where(F.col("g").isin(list(only)))
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _thresholds(base, k_of_n)
+        return _thresholds(base, k_of_n, counts)
     finally:
         base.unpersist()
 
 
-def _thresholds(base: DataFrame, k_of_n: Callable[[int], int]) -> dict:
-    counts = base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()
+def _thresholds(base: DataFrame, k_of_n: Callable[[int], int], counts: dict | None = None) -> dict:
+    if counts is None:
+        counts = {r["g"]: r["n"] for r in base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
     out: dict = {}
     state: dict = {}
-    for r in counts:
-        n, k = r["n"], k_of_n(r["n"])
+    for gk, n in counts.items():
+        k = k_of_n(n)
         if k <= 0:
-            out[r["g"]] = None
+            out[gk] = None
         elif k >= n:
-            out[r["g"]] = True
+            out[gk] = True
         else:
-            state[r["g"]] = {"prefix": "", "below": 0, "count": n, "k": k}
+            state[gk] = {"prefix": "", "below": 0, "count": n, "k": k}
     while state:
         hist = {gk: st for gk, st in state.items() if st["count"] > GATHER}
         small = {gk: st for gk, st in state.items() if st["count"] <= GATHER}
@@ -148,14 +151,15 @@ def with_first_k(df: DataFrame, id_col: str, rule: KRule, group: str | None = No
     key = hash_key(id_col, seed)
     counts = (df.select(g.alias("_g")).where(F.col("_g").isNotNull())
                 .groupBy("_g").agg(F.count(F.lit(1)).alias("_n")))
-    large = [r["_g"] for r in counts.where(F.col("_n") > GATHER).limit(MAX_LARGE_GROUPS + 1).collect()]
+    large_n = {r["_g"]: r["_n"] for r in counts.where(F.col("_n") > GATHER).limit(MAX_LARGE_GROUPS + 1).collect()}
+    large = list(large_n)
     has_small = counts.where(F.col("_n") <= GATHER).limit(1).count() > 0
     if len(large) > MAX_LARGE_GROUPS:
         large, has_small = [], True
     flag = F.lit(False)
     out_df = df
     if large:
-        th = kth_thresholds(df, id_col, rule.py, group, seed, only=large)
+        th = kth_thresholds(df, id_col, rule.py, group, seed, only=large, counts=large_n)
         take_all = [gk for gk, t in th.items() if t is True]
         cut = {gk: t for gk, t in th.items() if t is not None and t is not True}
         if take_all:
