@@ -112,3 +112,22 @@ def test_rounded_is_ieee_deterministic(spark):
     r = [row["y"] for row in df.select(C.rounded("x", 6).alias("y")).collect()]
     assert r[0] == math.floor(2.0442625 * 1e6 + 0.5) / 1e6
     assert r[1] == 0.0 and math.copysign(1, r[1]) == 1.0 and r[2] is None
+
+
+def test_label_dim_without_broadcast_past_the_bound(spark, monkeypatch):
+    from astroframe.operators import classify as KK
+
+    df = spark.createDataFrame([("MBA",), ("ISO",), ("XYZ",), (None,)], "object_type string")
+    dim = KK.class_dimension(spark)
+    small = {r["object_type"]: r["description"] for r in KK.label_dim(df, dim, "object_type").collect()}
+    monkeypatch.setattr(KK, "MAX_BROADCAST_ROWS", 2)
+    large = {r["object_type"]: r["description"] for r in KK.label_dim(df, dim, "object_type").collect()}
+    assert small == large and small["MBA"] == "Main Belt Asteroid" and small["XYZ"] is None
+
+
+def test_read_or_empty_missing_path(spark):
+    path = scratch_path(spark, "absent")
+    df = IO.read_or_empty(spark, path, "a long, b string")
+    assert df.count() == 0 and df.columns == ["a", "b"]
+    docs = IO.read_result_json(spark, path + "/*", "approach string")
+    assert docs.count() == 0
