@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm import linededup, quality
+from astroframe.llm import linededup, mixing, quality, sharding, simhash
 from astroframe.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,47 @@ FROM docs d LEFT JOIN joined j ON d.rid = j.rid
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+SQL_MIX = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{SQL_WORD}')) AS BIGINT) AS size,
+                     CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15)
+                          AS BIGINT) AS h FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS s, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+        FROM docs GROUP BY source),
+filled AS (SELECT source, s, w, row_number() OVER o AS k, sum(s) OVER () - {mixing.MAX_EPOCHS} * coalesce(sum(s) OVER p, 0) AS rest,
+                  sum(w) OVER () - coalesce(sum(w) OVER p, 0) AS rest_w
+           FROM src WINDOW o AS (ORDER BY {mixing.MAX_EPOCHS}.0 * s / w, source),
+                p AS (ORDER BY {mixing.MAX_EPOCHS}.0 * s / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT rest, rest_w FROM filled WHERE w * rest <= {mixing.MAX_EPOCHS} * s * rest_w ORDER BY k LIMIT 1),
+targets AS (SELECT f.source, s, CASE WHEN w * l.rest > {mixing.MAX_EPOCHS} * s * l.rest_w THEN CAST(s AS DOUBLE) * {mixing.MAX_EPOCHS}
+                                ELSE CAST(w * l.rest AS DOUBLE) / CAST(l.rest_w AS DOUBLE) END AS target
+            FROM filled f, level l),
+parts AS (SELECT *, CASE WHEN s > 0 THEN CAST(floor(target / s) AS BIGINT) ELSE 0 END AS whole FROM targets),
+mixed AS (SELECT doc_id, size, p.s, p.target, least({mixing.MAX_EPOCHS}, whole + CAST(
+                 2 * coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, rid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 + size <= 2 * (target - whole * s) AS INTEGER)) AS copies
+          FROM docs d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, s AS source_size, target, CAST(copies AS BIGINT) AS copies, CAST(size * copies AS BIGINT) AS taken FROM mixed
+"""
+
+
+@register("op5_source_mixing", SQL_MIX)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc.doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+@register("op7_simhash_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SHARDS = 24
+
+
+@register("op10_sharding")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS, carry=["doc_id"])
+    return out.select("doc.doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
