@@ -106,7 +106,7 @@ def bitmap(keys: DataFrame, col: str, n: int) -> np.ndarray:
     bits = min(MAX_BITS, max(MIN_BITS, int(n * 16).bit_length()))
     place = F.col(col).bitwiseAND(F.lit((1 << bits) - 1))
     folded = (keys.select(F.shiftright(place, 5).alias("word"),
-                          F.shiftleft(F.lit(1).cast("long"), place.bitwiseAND(F.lit(31)).cast("int")).alias("bit"))
+                          F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(31)).cast("int")).alias("bit"))
               .groupBy("word").agg(F.bit_or("bit").alias("bits")))
     out = np.zeros(1 << (bits - 5), dtype=np.uint32)
     for row in folded.toLocalIterator():

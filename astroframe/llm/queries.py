@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm import linededup, mixing, quality, sharding, simhash
+from astroframe.llm import decontam, linededup, mixing, quality, sharding, simhash
 from astroframe.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS, carry=["doc_id"])
     return out.select("doc.doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op8_benchmark_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "windows", "item_windows", "form")
