@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm import decontam, linededup, mixing, quality, sharding, simhash
+from astroframe.llm import decontam, langid, linededup, mixing, quality, sharding, simhash, warc
 from astroframe.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "item_id", "windows", "item_windows", "form")
+
+
+@register("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.identify(rows, langid.train(docs)).drop("text")
+
+
+SQL_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS response_id FROM p),
+d AS (SELECT *, sha1(h) AS hex FROM r)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (CAST('0x' || substr(hex, CAST(floor(i / 4) AS BIGINT) * 5 + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN NULL ELSE response_id END AS refers_to
+FROM d
+"""
+
+
+@register("op6_warc_index", SQL_WARC)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_and_index(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
