@@ -67,20 +67,25 @@ class LineRuns:
         self.frequent_runs: list[DataFrame] = []
 
     def _run(self, counts: DataFrame) -> DataFrame:
-        """Write one run: bucketed and sorted by hash below the shared checkpoint folder."""
+        """Write one run (dealt by hash already): bucketed and sorted by hash below the shared checkpoint folder."""
         name, path = f"line_run_{uuid.uuid4().hex}", scratch_path(self.spark, "run")
-        (counts.select("h1", "h2", "n").repartition(self.buckets, "h1")
-         .write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", path).saveAsTable(name))
+        (counts.select("h1", "h2", "n").write.bucketBy(self.buckets, "h1", "h2")
+         .sortBy("h1", "h2").option("path", path).saveAsTable(name))
         drop_at_end(self.spark, path)
         run = self.spark.table(name)
         self.spark.sql(f"DROP TABLE {name}")  # the name only; the run's files and its layout stay known to the plan
         return run
 
     def add(self, lines: DataFrame) -> None:
-        """Add one batch: rows (h1, h2), one for each line of each document."""
+        """Add one batch: rows (h1, h2), one for each line of each document.
+
+        Counts are combined before they are dealt by hash, so a line that most documents
+        share travels as one row for each task; the merge joins then read the runs as they lie.
+        """
         fresh = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"))
-        for run in self.frequent_runs:
-            fresh = fresh.join(run.hint("merge"), ["h1", "h2"], "left_anti")
+        for run in self.frequent_runs:  # an outer join: the optimizer would move an anti join below the counting
+            known = run.select("h1", "h2", F.lit(True).alias("known")).hint("merge")
+            fresh = fresh.join(known, ["h1", "h2"], "left").where(F.col("known").isNull()).drop("known")
         self.levels[0].append(self._run(fresh))
         level = 0
         while len(self.levels[level]) >= self.fanout:
