@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm import decontam, langid, linededup, mixing, quality, sharding, simhash, substrings, warc
+from astroframe.llm import decontam, langid, linededup, mixing, packing, quality, sharding, simhash, substrings, warc
 from astroframe.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeated(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@register("op2_token_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
