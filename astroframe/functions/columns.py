@@ -55,9 +55,10 @@ def rounded(c: str | Column, places: int = 6) -> Column:
 
     Unlike ``round`` (decimal text based in Spark, multiply based in other
     engines) this gives identical bits wherever x is identical, so results
-    can be compared across engines; ``+ 0.0`` folds -0.0 into 0.0.
+    can be compared across engines; ``+ 0.0`` folds -0.0 into 0.0.  From
+    2^52 / 10^p on, x * 10^p has no fraction left, so x is its own rounding.
     """
     x = col_(c)
     scale = float(10 ** places)
     r = F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale) + F.lit(0.0)
-    return F.when(F.abs(x) < 1e12, r).otherwise(x)
+    return F.when(F.abs(x) * F.lit(scale) < float(1 << 52), r).otherwise(x)

@@ -153,22 +153,26 @@ def min_max(df: DataFrame, col: str) -> tuple[float | None, float | None]:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
-    """Fixed-width density histogram over [min, max] (density = n / (N * width)).
+    """Fixed-width density histogram over the finite [min, max]: every bin, empty ones too.
 
-    Two passes: min/max/N (one tiny aggregate), then a grouped count of the
-    bucket index -- no per-row state, no sort.
+    density = n / (N * width).  Two passes: min/max/N (one tiny aggregate),
+    then a grouped count of the bucket index, joined to the list of bins.
     """
-    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n")).first()
+    x = F.col(col).cast("double")
+    finite = df.select(F.when(F.abs(x) < float("inf"), x).alias("x")).where(F.col("x").isNotNull())
+    r = finite.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n")).first()
     lo, hi, n = r["lo"], r["hi"], r["n"]
     spark = df.sparkSession
     if not n:
         return spark.createDataFrame([], "bin int, lo double, hi double, count long, density double")
     width = (hi - lo) / bins if hi > lo else 1.0
-    b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
-    counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return counts.select(
+    b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
+    counts = finite.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    count = F.coalesce("count", F.lit(0))
+    return every.join(counts, "bin", "left").select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
         (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
-        "count",
-        (F.col("count") / F.lit(n * width)).alias("density"))
+        count.alias("count"),
+        (count / F.lit(n * width)).alias("density"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from astroframe.constants import CLASS_MAPPING, DETECTED_LABELS, OBJECT_CLASSES, PHASE_CUTS, PHASE_LABELS
 from astroframe.functions.columns import col_
+from astroframe.operators.ordering import in_order, with_rank
+from astroframe.session import stored
 
 
 def map_literal(mapping: Mapping[str, str]) -> Column:
@@ -50,17 +52,9 @@ def class_dimension(spark: SparkSession, mapping: Mapping[str, str] = OBJECT_CLA
     return spark.createDataFrame(list(mapping.items()), f"{key} string, {value} string")
 
 
-MAX_BROADCAST_ROWS = 100_000
-
-
 def label_dim(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Left join to a code -> description dimension.
-
-    Broadcast only after checking the dimension's size (a bounded probe);
-    a larger table falls back to an ordinary join planned by AQE.
-    """
-    small = dim.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    return df.join(F.broadcast(dim) if small else dim, key, "left")
+    """Left join to a code -> description dimension; the planner broadcasts it by its size, or not."""
+    return df.join(dim, key, "left")
 
 
 def cut_bins(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence[str],
@@ -86,36 +80,20 @@ def detected_label(df: DataFrame, flag: Column, out: str = "verdict",
     return df.withColumn(out, F.when(flag, F.lit(yes)).otherwise(F.lit(no)))
 
 
-MAX_LABELS = 100_000
-
-
 def label_list(df: DataFrame, col: str) -> list:
-    """Sorted distinct non-NULL labels (a distributed distinct; the list is bounded by the classes)."""
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} distinct labels in {col}")
-    return sorted(r[col] for r in rows)
+    """Sorted distinct non-NULL labels, for models that need their classes as a list (a class is a model output)."""
+    return sorted(r[col] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
 def label_codes(df: DataFrame, col: str, out: str = "label") -> DataFrame:
-    """Sorted distinct non-NULL labels -> 0..k-1 as a small (label, code) table."""
-    labels = label_list(df, col)
-    schema = f"{col} {dict(df.dtypes)[col]}, {out} int"
-    return df.sparkSession.createDataFrame(list(zip(labels, range(len(labels)))), schema)
+    """Sorted distinct non-NULL labels -> 0..k-1 as a (label, code) table, ranked by a range sort."""
+    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
+    return with_rank(stored(in_order(labels, col), "labels")).select(col, F.col("rank").cast("int").alias(out))
 
 
 def label_encode(df: DataFrame, col: str, out: str = "label") -> DataFrame:
-    """Attach the 0-based alphabetical code of ``col`` (NULL labels get NULL).
-
-    Like ``StringIndexer.fit``: the label set is gathered (bounded by the
-    number of classes) and applied as a literal map -- a narrow projection,
-    no join and no single-partition window.
-    """
-    labels = label_list(df, col)
-    if not labels:
-        return df.withColumn(out, F.lit(None).cast("int"))
-    mapping = F.create_map(*[x for n, c in enumerate(labels) for x in (F.lit(c), F.lit(n))])
-    return df.withColumn(out, F.element_at(mapping, F.col(col)).cast("int"))
+    """Attach the 0-based alphabetical code of ``col`` (NULL labels get NULL): a join to the written code table."""
+    return df.join(stored(label_codes(df, col, out), "codes"), col, "left").select(*[df[c] for c in df.columns], out)
 
 
 def argmax_label(df: DataFrame, prob_col: str, out: str = "pred") -> DataFrame:

@@ -3,18 +3,19 @@
 Spark's exact ``percentile``/``median`` keeps every distinct value of the
 group in one aggregation buffer -- for a global aggregate that is a single
 task holding the whole column.  Here the k-th smallest value is found by
-narrowing a value bracket with distributed histograms instead:
-
-1. one pass: ``count/min/max`` per column;
-2. each further pass: for every open bracket, count rows per bucket of
-   1024 to 16384 equal-width buckets (more for bigger brackets; plus min/max
-   per bucket) -- a partial + final hash aggregate whose output is at most
-   16384 rows per probe;
-   the bucket holding the wanted rank becomes the new bracket;
-3. once a bracket holds at most ``GATHER`` rows (or min = max, e.g. a hot
-   value), its values are gathered (bounded) and the rank is read off.
-
-All columns/ranks are probed in the same pass.  The interpolation is the
+narrowing a bracket of values, all columns in the same pass:
+
+1. one aggregate: count, min and max per column;
+2. an approximate percentile sketch (bounded, mergeable) gives two of the
+   bracket's own values just below and above the wanted rank;
+3. one aggregate counts the rows below, at, between and above the two values,
+   with min and max of each part; the part that holds the rank is the new
+   bracket.  Both values are settled by their own counts, so every round
+   takes at least them out and usually leaves a few thousandths;
+4. a bracket of at most ``GATHER`` rows is gathered (bounded) and read off.
+
+Only comparisons are used, so infinities and any spread of finite values are
+ordinary values.  There is no bound on the rounds.  The interpolation is the
 linear one of numpy / SQL ``quantile_cont``.
 """
 
@@ -27,30 +28,28 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
-MAX_BUCKETS = 16384
+SKETCH = 1000
 GATHER = 4096
-MAX_PASSES = 40
 
 
 class _Probe:
+    """The value wanted at ``rank`` (from 0) of a column, known to lie in [lo, hi], with ``below`` rows under lo."""
+
     __slots__ = ("col", "rank", "lo", "hi", "below", "count", "value")
 
     def __init__(self, col, rank, lo, hi, below, count):
         self.col, self.rank, self.lo, self.hi = col, rank, lo, hi
         self.below, self.count, self.value = below, count, None
 
+    def bracket(self) -> tuple:
+        return self.col, self.lo, self.hi, self.below, self.count
 
-def _buckets_for(count: int) -> int:
-    """Enough buckets to reach a gatherable bracket in one pass when possible (bounded)."""
-    need = -(-count // GATHER)
-    return int(min(MAX_BUCKETS, max(BUCKETS, need)))
-
-
-def _bucket(x: Column, lo: float, hi: float, buckets: int = BUCKETS) -> Column:
-    width = (hi - lo) / buckets
-    b = F.floor((x - F.lit(lo)) / F.lit(width)).cast("int")
-    return F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))
+    def narrow(self, lo, hi, below, count) -> None:
+        if count == self.count and (lo, hi) == (self.lo, self.hi):
+            raise RuntimeError(f"no progress on {self.col}: {count} rows in [{lo}, {hi}]")
+        self.lo, self.hi, self.below, self.count = lo, hi, below, count
+        if lo == hi:
+            self.value = lo
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], p: float, persist: bool = True) -> dict[str, float | None]:
@@ -73,85 +72,79 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], p: float, persist: bool
 def _quantiles(df: DataFrame, cols: Sequence[str], p: float) -> dict[str, float | None]:
     first = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"n_{c}"), F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]).first()
-    probes: list[_Probe] = []
-    plan: dict[str, tuple] = {}
+    probes: dict[tuple[str, int], _Probe] = {}
+    out: dict[str, float | None] = {c: None for c in cols}
     for c in cols:
         n = first[f"n_{c}"]
-        if not n:
-            plan[c] = None
-            continue
-        h = (n - 1) * p
-        k0 = int(math.floor(h))
-        k1 = min(k0 + 1, n - 1)
-        pr = [_Probe(c, k, first[f"lo_{c}"], first[f"hi_{c}"], 0, n) for k in sorted({k0, k1})]
-        probes.extend(pr)
-        plan[c] = (k0, k1, h - k0)
-    for _ in range(MAX_PASSES):
-        open_ = [q for q in probes if q.value is None]
-        for q in open_:
-            if q.lo == q.hi:
-                q.value = q.lo
-        open_ = [q for q in open_ if q.value is None]
-        if not open_:
-            break
-        _one_pass(df, open_)
-    out: dict[str, float | None] = {}
+        if n:
+            k = math.floor((n - 1) * p)
+            for rank in (k, min(k + 1, n - 1)):
+                probe = probes.setdefault((c, rank), _Probe(c, rank, first[f"lo_{c}"], first[f"hi_{c}"], 0, n))
+                probe.value = probe.lo if probe.lo == probe.hi else None
+    while pending := [q for q in probes.values() if q.value is None]:
+        brackets: dict[tuple, list[_Probe]] = {}
+        for q in pending:
+            brackets.setdefault(q.bracket(), []).append(q)
+        _split(df, [qs for b, qs in brackets.items() if b[4] > GATHER])
+        _gather(df, [qs for b, qs in brackets.items() if b[4] <= GATHER])
     for c in cols:
-        if plan[c] is None:
-            out[c] = None
-            continue
-        k0, k1, frac = plan[c]
-        v = {q.rank: q.value for q in probes if q.col == c}
-        lo, hi = v[k0], v[k1]
-        out[c] = lo + frac * (hi - lo) if frac else lo
+        n = first[f"n_{c}"]
+        if n:
+            h = (n - 1) * p
+            k = math.floor(h)
+            lo, hi = probes[c, k].value, probes[c, min(k + 1, n - 1)].value
+            out[c] = lo if lo == hi or h == k else lo + (h - k) * (hi - lo)
     return out
 
 
-def _one_pass(df: DataFrame, probes: list[_Probe]) -> None:
-    """One histogram job for the large brackets, one gather job for the small ones.
-
-    Probes sharing a column and bracket (the two ranks around one quantile)
-    share the work.  The histogram is count/min/max only -- a codegen'd hash
-    aggregate; gathered values are bounded by ``GATHER`` per bracket.
-    """
-    groups: dict[tuple, list[_Probe]] = {}
-    for q in probes:
-        groups.setdefault((q.col, q.lo, q.hi, q.below, q.count), []).append(q)
-    hist = [k for k in groups if k[4] > GATHER]
-    small = [k for k in groups if k[4] <= GATHER]
-    if hist:
-        items = [F.when((F.col(col) >= F.lit(lo)) & (F.col(col) <= F.lit(hi)),
-                        F.struct(F.lit(pid).alias("pid"), _bucket(F.col(col), lo, hi, _buckets_for(_n)).alias("b"),
-                                 F.col(col).alias("v")))
-                 for pid, (col, lo, hi, _b, _n) in enumerate(hist)]
-        rows = (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull()).select("s.*")
-                  .groupBy("pid", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                                           F.max("v").alias("hi"))
-                  .collect())
-        by_group: dict[int, list] = {}
-        for r in rows:
-            by_group.setdefault(r["pid"], []).append(r)
-        for pid, gk in enumerate(hist):
-            got = sorted(by_group.get(pid, []), key=lambda r: r["b"])
-            for q in groups[gk]:
-                below = q.below
-                for r in got:
-                    if q.rank < below + r["n"]:
-                        q.lo, q.hi, q.below, q.count = r["lo"], r["hi"], below, r["n"]
-                        break
-                    below += r["n"]
-    if small:
-        items = [F.when((F.col(col) >= F.lit(lo)) & (F.col(col) <= F.lit(hi)),
-                        F.struct(F.lit(pid).alias("pid"), F.col(col).alias("v")))
-                 for pid, (col, lo, hi, _b, _n) in enumerate(small)]
-        vals: dict[int, list] = {}
-        for r in (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
-                    .select("s.*").collect()):
-            vals.setdefault(r["pid"], []).append(r["v"])
-        for pid, gk in enumerate(small):
-            v = sorted(vals.get(pid, []))
-            for q in groups[gk]:
-                q.value = v[q.rank - q.below]
+def _inside(q: _Probe) -> Column:
+    return F.when((F.col(q.col) >= F.lit(q.lo)) & (F.col(q.col) <= F.lit(q.hi)), F.col(q.col))
+
+
+def _split(df: DataFrame, brackets: list[list[_Probe]]) -> None:
+    """Cut each bracket at two of its values around the wanted ranks."""
+    if not brackets:
+        return
+    aims = []
+    for qs in brackets:
+        n, ranks = qs[0].count, [q.rank - qs[0].below for q in qs]
+        aims.append([max(0.0, min(ranks) / n - 2 / SKETCH), min(1.0, (max(ranks) + 1) / n + 2 / SKETCH)])
+    marks = df.agg(*[F.percentile_approx(_inside(qs[0]), aim, SKETCH).alias(f"m{i}")
+                     for i, (qs, aim) in enumerate(zip(brackets, aims))]).first()
+    parts = []
+    for i, qs in enumerate(brackets):
+        u, v = marks[f"m{i}"]
+        x = _inside(qs[0])
+        for j, cond in enumerate((x < u, x == u, (x > u) & (x < v), (x == v) & F.lit(v > u), x > F.lit(v))):
+            part = F.when(cond, x)
+            parts += [F.count(part).alias(f"n{i}_{j}"), F.min(part).alias(f"lo{i}_{j}"), F.max(part).alias(f"hi{i}_{j}")]
+    got = df.agg(*parts).first()
+    for i, qs in enumerate(brackets):
+        for q in qs:
+            below = q.below
+            for j in range(5):
+                n = got[f"n{i}_{j}"]
+                if q.rank < below + n:
+                    q.narrow(got[f"lo{i}_{j}"], got[f"hi{i}_{j}"], below, n)
+                    break
+                below += n
+
+
+def _gather(df: DataFrame, brackets: list[list[_Probe]]) -> None:
+    """Read small brackets (at most ``GATHER`` rows each) and look the ranks up."""
+    if not brackets:
+        return
+    items = [F.when(_inside(qs[0]).isNotNull(), F.struct(F.lit(i).alias("i"), F.col(qs[0].col).alias("v")))
+             for i, qs in enumerate(brackets)]
+    some = F.coalesce(*[_inside(qs[0]) for qs in brackets]).isNotNull()
+    rows = df.where(some).select(F.explode(F.array_compact(F.array(*items))).alias("s")).select("s.*")
+    found: dict[int, list[float]] = {}
+    for r in rows.collect():
+        found.setdefault(r["i"], []).append(r["v"])
+    for i, qs in enumerate(brackets):
+        values = sorted(found[i])
+        for q in qs:
+            q.value = values[q.rank - q.below]
 
 
 def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:

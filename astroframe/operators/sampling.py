@@ -2,36 +2,24 @@
 
 Rows are ordered inside a group by ``(md5(id || '-' || seed), id)`` -- the
 same hex string in every engine.  "The first k rows of a group" is then a
-filter ``(key, id) <= threshold(group)``; the threshold (the k-th key) is
-found by narrowing md5 prefixes with distributed counts:
-
-* pass 0 counts rows per group (one aggregate, one row per group);
-* each further pass counts rows per (group, next 3-4 hex digits) among the
-  rows still sharing the chosen prefix -- at most 4096 (65536) rows per open
-  group, so a group holding a third of all rows costs the same as any other;
-* once a prefix holds at most ``GATHER`` rows its (key, id) pairs are
-  gathered (bounded) and the k-th is read off.
-
-``with_first_k`` uses these thresholds for groups above ``GATHER`` rows (a
-narrow filter: literal thresholds, or a broadcast table of at most
-``MAX_LARGE_GROUPS`` rows) and a ``row_number`` window for the small groups,
-each of which is tiny.  No window over a hot group, no global sort, no
-``limit`` merge task.
+comparison with the group's k-th key.  The (group, key, id) rows are range
+partitioned and sorted once, so a hot group is cut into even slices like any
+other; ranks within a group follow from the rows per slice, and the k-th keys
+form a table with one row per group that the rows are joined with.  No window
+over a group, no switch on the number or size of groups, nothing gathered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from fractions import Fraction
-from itertools import chain
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-GATHER = 4096
-STEP = 3
+from astroframe.operators.ordering import in_order
+from astroframe.session import stored
+
 _ALL = "__all__"
 
 
@@ -39,15 +27,6 @@ def hash_key(id_col: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
 
 
-def _step(count: int) -> int:
-    """Hex digits per pass: 3 (4096 buckets), 4 (65536) for very large prefixes."""
-    return 4 if count > GATHER * 4096 else STEP
-
-
-def _lit_map(d: dict) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(d.items())])
-
-
 class KRule:
     """How many rows a group of n keeps: ceil(n * frac) or min(n, cap), in exact integers."""
 
@@ -55,11 +34,6 @@ class KRule:
         self.frac = Fraction(str(frac)) if frac is not None else None
         self.cap = cap
 
-    def py(self, n: int) -> int:
-        if self.frac is not None:
-            return -((-n * self.frac.numerator) // self.frac.denominator)
-        return min(n, self.cap)
-
     def col(self, n: str) -> Column:
         """The same count as a SQL expression over the integer column ``n``."""
         if self.frac is not None:
@@ -68,125 +42,49 @@ class KRule:
         return F.least(F.col(n), F.lit(self.cap))
 
 
-MAX_LARGE_GROUPS = 1000
-LITERAL_GROUPS = 64
+def cut_points(df: DataFrame, id_col: str, rule: KRule, group: str | None = None, seed: int = 42) -> DataFrame:
+    """One row per group that keeps at least one row: ``_tg`` (group) and ``_cut``, the (key, id) of its k-th row.
 
-
-def kth_thresholds(df: DataFrame, id_col: str, k_of_n: Callable[[int], int],
-                   group: str | None = None, seed: int = 42, only: list | None = None,
-                   counts: dict | None = None) -> dict:
-    """Per group: None (take nothing), True (take all) or the (key, id) of the k-th row.
-
-    ``only`` restricts the search to the listed groups; ``counts`` (group ->
-    rows), when already known, saves the counting pass.
+    Raises if equal ids lie on both sides of a cut, as the first k rows are then not determined.
     """
     g = F.col(group) if group else F.lit(_ALL)
-    base = df.select(g.alias("g"), hash_key(id_col, seed).alias("key"), F.col(id_col).alias("id")) \
-             .where(F.col("g").isNotNull())
-    if only is not None:
-        base = base.where(F.col("g").isin(list(only)))
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _thresholds(base, k_of_n, counts)
-    finally:
-        base.unpersist()
-
-
-def _thresholds(base: DataFrame, k_of_n: Callable[[int], int], counts: dict | None = None) -> dict:
-    if counts is None:
-        counts = {r["g"]: r["n"] for r in base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out: dict = {}
-    state: dict = {}
-    for gk, n in counts.items():
-        k = k_of_n(n)
-        if k <= 0:
-            out[gk] = None
-        elif k >= n:
-            out[gk] = True
-        else:
-            state[gk] = {"prefix": "", "below": 0, "count": n, "k": k}
-    while state:
-        hist = {gk: st for gk, st in state.items() if st["count"] > GATHER}
-        small = {gk: st for gk, st in state.items() if st["count"] <= GATHER}
-        if hist:
-            pref = F.element_at(_lit_map({gk: st["prefix"] for gk, st in hist.items()}), F.col("g"))
-            sub = base.where(F.col("g").isin(list(hist)) & F.startswith(F.col("key"), pref))
-            step = F.element_at(_lit_map({gk: _step(st["count"]) for gk, st in hist.items()}), F.col("g"))
-            bucket = F.col("key").substr(F.lit(1), F.length(pref) + step)
-            counts_b: dict = {}
-            for r in sub.groupBy("g", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():
-                counts_b.setdefault(r["g"], []).append((r["b"], r["n"]))
-            for gk, st in hist.items():
-                below = st["below"]
-                for b_, n_ in sorted(counts_b.get(gk, [])):
-                    if st["k"] <= below + n_:
-                        st.update(prefix=b_, below=below, count=n_)
-                        break
-                    below += n_
-        if small:
-            pref = F.element_at(_lit_map({gk: st["prefix"] for gk, st in small.items()}), F.col("g"))
-            rows = base.where(F.col("g").isin(list(small)) & F.startswith(F.col("key"), pref)) \
-                       .select("g", "key", "id").collect()
-            vals: dict = {}
-            for r in rows:
-                vals.setdefault(r["g"], []).append((r["key"], r["id"]))
-            for gk, st in small.items():
-                v = sorted(vals.get(gk, []))
-                out[gk] = v[st["k"] - st["below"] - 1]
-                del state[gk]
-    return out
+    keys = df.select(g.alias("g"), hash_key(id_col, seed).alias("key"), F.col(id_col).alias("id")).where(F.col("g").isNotNull())
+    placed = stored(in_order(keys, "g", "key", "id"), "first_k")
+    slices = placed.groupBy("part", "g").agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("start"))
+    earlier = Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select(
+        "part", "g", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("start") + 1).alias("shift"),
+        F.sum("n").over(Window.partitionBy("g")).alias("total"))
+    slices = slices.withColumn("k", rule.col("total").cast("long")).where(F.col("k") > 0)
+    around = placed.join(slices, ["part", "g"]).withColumn("after", F.col("idx") + F.col("shift") - F.col("k"))
+    around = around.where(F.col("after").isin(0, 1))
+    cuts = around.groupBy("g").agg(F.max(F.when(F.col("after") == 0, F.struct("key", "id"))).alias("_cut"),
+                                   F.max(F.when(F.col("after") == 1, F.struct("key", "id"))).alias("next"))
+    cuts = stored(cuts, "cuts")
+    tied = cuts.where(F.col("_cut") == F.col("next")).limit(1).collect()
+    if tied:
+        raise ValueError(f"{id_col} is not unique: several rows with {tied[0]['_cut']['id']!r} lie on the cut of a group")
+    return cuts.select(F.col("g").alias("_tg"), "_cut")
 
 
 def with_first_k(df: DataFrame, id_col: str, rule: KRule, group: str | None = None, seed: int = 42,
                  out: str = "_first") -> DataFrame:
     """Adds boolean ``out``: the row is among the first k(n_group) rows of its group in hash order.
 
-    Groups above ``GATHER`` rows (at most rows / GATHER of them) get exact
-    thresholds from the prefix passes -- a hot group costs the same as any
-    other.  Groups of at most ``GATHER`` rows use a ``row_number`` window,
-    each one tiny.  With more than ``MAX_LARGE_GROUPS`` large groups every
-    group takes the window path (still exact).
+    Rows of a NULL group are never first.  Without a group the one cut is a
+    literal; otherwise the cuts are joined by group, broadcast by their
+    written size or else with run-time splitting of hot groups.
     """
-    g = F.col(group) if group else F.lit(_ALL)
-    key = hash_key(id_col, seed)
-    counts = (df.select(g.alias("_g")).where(F.col("_g").isNotNull())
-                .groupBy("_g").agg(F.count(F.lit(1)).alias("_n")))
-    large_n = {r["_g"]: r["_n"] for r in counts.where(F.col("_n") > GATHER).limit(MAX_LARGE_GROUPS + 1).collect()}
-    large = list(large_n)
-    has_small = counts.where(F.col("_n") <= GATHER).limit(1).count() > 0
-    if len(large) > MAX_LARGE_GROUPS:
-        large, has_small = [], True
-    flag = F.lit(False)
-    out_df = df
-    if large:
-        th = kth_thresholds(df, id_col, rule.py, group, seed, only=large, counts=large_n)
-        take_all = [gk for gk, t in th.items() if t is True]
-        cut = {gk: t for gk, t in th.items() if t is not None and t is not True}
-        if take_all:
-            flag = flag | g.isin(take_all)
-        if cut and len(cut) <= LITERAL_GROUPS:
-            tk = F.element_at(_lit_map({gk: t[0] for gk, t in cut.items()}), g)
-            ti = F.element_at(_lit_map({gk: t[1] for gk, t in cut.items()}), g)
-            flag = flag | (g.isin(list(cut)) & ((key < tk) | ((key == tk) & (F.col(id_col) <= ti))))
-        elif cut:
-            # at most MAX_LARGE_GROUPS rows: a size-proven broadcast
-            id_type = dict(df.dtypes)[id_col]
-            gtype = dict(df.dtypes)[group] if group else "string"
-            tab = df.sparkSession.createDataFrame(
-                [(gk, t[0], t[1]) for gk, t in cut.items()], f"_tg {gtype}, _tk string, _ti {id_type}")
-            out_df = out_df.join(F.broadcast(tab), g == F.col("_tg"), "left")
-            flag = flag | (F.col("_tg").isNotNull() & ((key < F.col("_tk")) |
-                                                       ((key == F.col("_tk")) & (F.col(id_col) <= F.col("_ti")))))
-    if has_small:
-        small = counts.where(F.col("_n") <= GATHER) if large else counts
-        out_df = out_df.join(small, g == F.col("_g"), "left")
-        w = Window.partitionBy(F.col("_g")).orderBy(key, F.col(id_col))
-        rn = F.when(F.col("_g").isNotNull(), F.row_number().over(w))
-        out_df = out_df.withColumn("_rn", rn)
-        flag = flag | (F.col("_rn").isNotNull() & (F.col("_rn") <= rule.col("_n")))
-    out_df = out_df.withColumn(out, F.coalesce(flag, F.lit(False)))
-    return out_df.drop(*[c for c in ("_g", "_n", "_rn", "_tg", "_tk", "_ti") if c in out_df.columns
-                         and c not in df.columns])
+    cuts = cut_points(df, id_col, rule, group, seed)
+    mine = F.struct(hash_key(id_col, seed).alias("key"), F.col(id_col).alias("id"))
+    if group is None:
+        row = cuts.first()
+        if row is None:
+            return df.withColumn(out, F.lit(False))
+        last = F.struct(F.lit(row["_cut"]["key"]).alias("key"), F.lit(row["_cut"]["id"]).cast(dict(df.dtypes)[id_col]).alias("id"))
+        return df.withColumn(out, F.coalesce(mine <= last, F.lit(False)))
+    flagged = df.join(cuts, F.col(group) == F.col("_tg"), "left").withColumn(out, F.coalesce(mine <= F.col("_cut"), F.lit(False)))
+    return flagged.drop("_tg", "_cut")
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test: float = 0.2, seed: int = 42,
@@ -226,12 +124,6 @@ def sample_keep_rare(df: DataFrame, rare: Column, id_col: str, limit: int = 8000
     return picked.unionByName(tagged.where(F.col("_rare"))).drop("_rare")
 
 
-def select_first_k_window(df: DataFrame, group: str, order: list[Column], k: int) -> DataFrame:
-    """Window form of 'first k per group' for many small groups (row_number per group)."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
-
-
 def topk(df: DataFrame, col: str, k: int, tie: str) -> DataFrame:
     """Top k by ``col`` desc (ties by ``tie``): per-partition top-k then a k-bounded merge."""
     return df.orderBy(F.desc(col), F.asc(tie)).limit(k)
@@ -240,8 +132,3 @@ def topk(df: DataFrame, col: str, k: int, tie: str) -> DataFrame:
 def head_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """First n rows by a total order (deterministic ``head``)."""
     return df.orderBy(*order).limit(n)
-
-
-def trailing_window(df: DataFrame, key: str, order: list[str], n: int = 30) -> Window:
-    """Frame of the current row and the n rows before it, per key."""
-    return Window.partitionBy(key).orderBy(*order).rowsBetween(-n, 0)

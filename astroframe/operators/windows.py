@@ -2,44 +2,33 @@
 
 ``Window.partitionBy(key).orderBy(t).rowsBetween(-n, 0)`` puts every row of a
 key into one task; a key holding a third of the table becomes a third of the
-job in one task.  Here:
-
-1. rows are range-partitioned on (key, order) -- a hot key is cut into many
-   contiguous slices -- sorted inside each partition, and written once
-   (``checkpoint``) so the slices are fixed;
-2. the last n rows of every partition (at most partitions x n rows, whatever
-   the data size) form the halo table; partition p receives the last n rows
-   that precede it;
-3. ``mapInPandas`` walks each partition in order with its halo in front and
-   a carry of n rows between Arrow batches, computing per-key rolling
-   count / sum / mean / min / max exactly as the SQL row frame would.
+job in one task.  Here the rows are range-partitioned on (key, order) and
+written once, which cuts a hot key into contiguous slices.  Every slice gets
+the n rows before it as a halo (at most slices x n rows in all), the native
+window runs per (slice, key), and the halo rows are dropped again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from astroframe.session import checkpoint_dir
+from astroframe.operators.ordering import in_order, part_starts, with_rank
+from astroframe.session import stored
 
-AGGS = ("count", "sum", "mean", "min", "max")
+AGGS = {"count": lambda c: F.count(F.lit(1)), "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max}
 
 
-def _rolling(frame: pd.DataFrame, key: str, value: str, n: int, aggs) -> dict[str, np.ndarray]:
-    g = frame.groupby(key, sort=False, dropna=False)[value]
-    roll = g.rolling(n + 1, min_periods=1)
-    out = {}
-    for a in aggs:
-        if a == "count":
-            s = g.cumcount() + 1
-            out[a] = np.minimum(s.to_numpy(), n + 1)
-        else:
-            out[a] = getattr(roll, a)().reset_index(level=0, drop=True).sort_index().to_numpy()
+def halo_pairs(starts: list[tuple[int, int, int]], n: int) -> list[tuple[int, int, int, int]]:
+    """(part, slice, from rank, before rank): the rows of ``part`` that stand within n rows before ``slice``."""
+    out = []
+    for i, (target, first, _) in enumerate(starts):
+        for part, begin, rows in reversed(starts[:i]):
+            if begin + rows <= first - n:
+                break
+            out.append((part, target, first - n, first))
     return out
 
 
@@ -47,60 +36,20 @@ def trailing_aggregates(df: DataFrame, key: str, order: Sequence[str], value: st
                         aggs: Sequence[str] = ("count", "mean", "min"), partitions: int | None = None) -> DataFrame:
     """Per row: ``aggs`` of ``value`` over the row and the n rows before it in its key's order.
 
-    Output: the input columns plus ``{value}_{agg}`` for each aggregate.
-    Exact for a total order (ties in ``order`` are broken by the listed
-    columns); rows whose key or order columns are NULL are kept last, as SQL
-    orders NULLs.
+    Output: the input columns plus ``{value}_{agg}`` for each aggregate, with
+    SQL's treatment of NULL values and infinities.  Exact for a total order
+    (ties in ``order`` are broken by the listed columns); rows whose key or
+    order columns are NULL come last, as SQL orders NULLs.
     """
     spark = df.sparkSession
-    order = list(order)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
-    sort_cols = [key, *order]
-    ranged = (df.repartitionByRange(parts, *[F.col(c).asc_nulls_last() for c in sort_cols])
-                .sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in sort_cols])
-                .withColumn("_pid", F.spark_partition_id())
-                .checkpoint(eager=True))
-    base_cols = [c for c in ranged.columns if c != "_pid"]
-
-    def tails(it):
-        last = None
-        for pdf in it:
-            if pdf.empty:
-                continue
-            last = pdf.tail(n) if last is None else pd.concat([last, pdf]).tail(n)
-        if last is not None:
-            yield last[["_pid", key, value]]
-
-    tail_schema = StructType([ranged.schema["_pid"], ranged.schema[key], ranged.schema[value]])
-    tail_rows = ranged.mapInPandas(tails, tail_schema).toPandas()
-    halos: dict[int, pd.DataFrame] = {}
-    carry = tail_rows.iloc[0:0][[key, value]]
-    for pid in range(parts):
-        halos[pid] = carry.tail(n).reset_index(drop=True)
-        mine = tail_rows[tail_rows["_pid"] == pid][[key, value]]
-        carry = pd.concat([carry, mine]).tail(n)
-    bc = spark.sparkContext.broadcast(halos)
-    aggs = list(aggs)
-    out_fields = list(ranged.select(*base_cols).schema.fields) + [
-        StructField(f"{value}_{a}", LongType() if a == "count" else DoubleType(), True) for a in aggs]
-
-    def run(it):
-        carry_rows = None
-        for pdf in it:
-            if pdf.empty:
-                continue
-            if carry_rows is None:
-                carry_rows = bc.value.get(int(pdf["_pid"].iloc[0]), pd.DataFrame(columns=[key, value]))
-            front = carry_rows[[key, value]].assign(_halo=True)
-            body = pdf[base_cols].assign(_halo=False)
-            frame = pd.concat([front, body[[key, value, "_halo"]]], ignore_index=True)
-            res = _rolling(frame, key, value, n, aggs)
-            keep = ~frame["_halo"].to_numpy()
-            out = body.drop(columns="_halo").reset_index(drop=True)
-            for a in aggs:
-                out[f"{value}_{a}"] = res[a][keep]
-            carry_rows = frame.loc[:, [key, value]].tail(n).reset_index(drop=True)
-            yield out
-
-    return ranged.mapInPandas(run, StructType(out_fields))
+    sort = [F.col(c).asc_nulls_last() for c in (key, *order)]
+    placed = stored(in_order(df, *sort, parts=partitions), "slices")
+    starts = part_starts(placed)
+    ranked = with_rank(placed.withColumn("slice", F.col("part")), starts)
+    pairs = spark.createDataFrame(halo_pairs(starts, n), "slice int, target int, low long, high long")
+    halo = ranked.join(F.broadcast(pairs), "slice").where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
+    halo = halo.withColumn("slice", F.col("target")).drop("target", "low", "high")
+    rows = ranked.withColumn("own", F.lit(True)).unionByName(halo.withColumn("own", F.lit(False)))
+    frame = Window.partitionBy("slice", key).orderBy("rank").rowsBetween(-n, 0)
+    rows = rows.withColumns({f"{value}_{a}": AGGS[a](value).over(frame) for a in aggs})
+    return rows.where("own").drop("slice", "rank", "own")

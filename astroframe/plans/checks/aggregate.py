@@ -12,7 +12,7 @@ from astroframe.sources.fixtures import bodies, model_runs
 from astroframe.sources.tables import table
 
 FEATS = FEATURES_ALL + FEATURES_ENGINEERED
-MOMENT_COLS = ["e", "a", "i", "q", "H", "diameter", "tisserand_j", "energy_param"]
+MOMENT_COLS = FEATS
 
 
 def _union(parts):
@@ -141,12 +141,14 @@ def q_fastest_model(spark, sf):
 
 
 _HIST = """
-WITH s AS (SELECT min(energy_param) AS lo, max(energy_param) AS hi, count(energy_param) AS n FROM processed),
- w AS (SELECT lo, n, CASE WHEN hi > lo THEN (hi - lo) / 50 ELSE 1.0 END AS width FROM s),
- b AS (SELECT least(CAST(floor((energy_param - w.lo) / w.width) AS INTEGER), 49) AS bin
-       FROM processed, w WHERE energy_param IS NOT NULL)
-SELECT bin, w.lo + bin * w.width AS lo, w.lo + (bin + 1) * w.width AS hi, count(*) AS count,
-  count(*) / (w.n * w.width) AS density FROM b, w GROUP BY bin, w.lo, w.width, w.n
+WITH x AS (SELECT energy_param AS v FROM processed WHERE isfinite(energy_param)),
+ s AS (SELECT min(v) AS lo, max(v) AS hi, count(v) AS n FROM x),
+ w AS (SELECT lo, n, CASE WHEN hi > lo THEN (hi - lo) / 50 ELSE 1.0 END AS width FROM s WHERE n > 0),
+ b AS (SELECT least(CAST(floor((v - w.lo) / w.width) AS INTEGER), 49) AS bin FROM x, w),
+ c AS (SELECT bin, count(*) AS count FROM b GROUP BY bin),
+ r AS (SELECT CAST(unnest(range(50)) AS INTEGER) AS bin)
+SELECT r.bin, w.lo + r.bin * w.width AS lo, w.lo + (r.bin + 1) * w.width AS hi, coalesce(c.count, 0) AS count,
+  coalesce(c.count, 0) / (w.n * w.width) AS density FROM r CROSS JOIN w LEFT JOIN c ON r.bin = c.bin
 """
 
 

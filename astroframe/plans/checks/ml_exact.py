@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from astroframe.constants import FEATURES_ALL, FEATURES_ENGINEERED, SDSS_FEATURES
+from astroframe.constants import FEATURES_ALL, FEATURES_ENGINEERED, SDSS_FEATURES, SILHOUETTE_SAMPLE
 from astroframe.models import distance as D
 from astroframe.models import prep as P
+from astroframe.models.frames import ANOMALY_FEATURES
 from astroframe.operators import aggregate as A
 from astroframe.operators.sampling import cap_rows
 from astroframe.plans.checks.aggregate import _PRF
@@ -17,7 +18,6 @@ from astroframe.sources.fixtures import galaxies
 from astroframe.sources.tables import table
 
 FEATS = FEATURES_ALL + FEATURES_ENGINEERED
-COV_COLS = ["e", "a", "i", "q", "H"]
 
 
 def _q(c):
@@ -65,7 +65,7 @@ def scaled(spark, sf):
 
 
 def gal_sample(spark, sf):
-    return cap_rows(galaxies(spark, sf).select("gal_id", "label", *SDSS_FEATURES), "gal_id", 10000, 42)
+    return cap_rows(galaxies(spark, sf).select("gal_id", "label", *SDSS_FEATURES), "gal_id", SILHOUETTE_SAMPLE, 42)
 
 
 @query("impute_median", "SELECT * FROM imputed", views=["imputed"], round_cols=FEATS)
@@ -79,11 +79,11 @@ def q_standardize(spark, sf):
 
 
 @query("covariance_matrix",
-       " UNION ALL ".join(f"SELECT '{a}' AS col_i, '{b}' AS col_j, covar_pop({_q(a)}, {_q(b)}) AS cov FROM processed"
-                          for n, a in enumerate(COV_COLS) for b in COV_COLS[n:]),
-       views=["processed"], round_cols=["cov"])
+       " UNION ALL ".join(f"SELECT '{a}' AS col_i, '{b}' AS col_j, covar_pop({_q(a)}, {_q(b)}) AS cov FROM scaled"
+                          for n, a in enumerate(ANOMALY_FEATURES) for b in ANOMALY_FEATURES[n:]),
+       views=["scaled"], round_cols=["cov"])
 def q_covariance_matrix(spark, sf):
-    return A.covariance_matrix(processed(spark, sf), COV_COLS)
+    return A.covariance_matrix(scaled(spark, sf), ANOMALY_FEATURES)
 
 
 _CENTRES = ("c AS (SELECT label AS cid, " + ", ".join(f"avg({c}) AS {c}" for c in SDSS_FEATURES)
@@ -109,13 +109,22 @@ def q_pair_distance(spark, sf):
     return D.cluster_mean_distances(gal_sample(spark, sf), "gal_id", SDSS_FEATURES, "label")
 
 
-@query("silhouette",
-       "SELECT avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0e0 ELSE (b - a) / greatest(a, b) END) AS silhouette "
-       "FROM (SELECT gal_id, max(CASE WHEN other = own THEN md END) AS a, "
-       "min(CASE WHEN other <> own THEN md END) AS b FROM gal_means GROUP BY gal_id) t",
-       views=["gal_means"], round_cols=["silhouette"])
+_SQ = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in SDSS_FEATURES)
+add_view("gal_squares", f"SELECT a.gal_id, a.label AS own, b.label AS other, avg({_SQ}) AS md FROM galaxies a JOIN galaxies b "
+         "ON a.gal_id <> b.gal_id GROUP BY a.gal_id, a.label, b.label", ("galaxies",))
+_SILHOUETTE = ("SELECT avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0e0 ELSE (b - a) / greatest(a, b) END) AS silhouette "
+               "FROM (SELECT gal_id, max(CASE WHEN other = own THEN md END) AS a, "
+               "min(CASE WHEN other <> own THEN md END) AS b FROM {} GROUP BY gal_id) t")
+
+
+@query("silhouette", _SILHOUETTE.format("gal_squares"), views=["gal_squares"], round_cols=["silhouette"])
 def q_silhouette(spark, sf):
-    return D.silhouette(gal_sample(spark, sf), "gal_id", SDSS_FEATURES, "label")
+    return D.silhouette(galaxies(spark, sf), "gal_id", SDSS_FEATURES, "label")
+
+
+@query("silhouette_sampled", _SILHOUETTE.format("gal_means"), views=["gal_means"], round_cols=["silhouette"])
+def q_silhouette_sampled(spark, sf):
+    return D.sampled_silhouette(gal_sample(spark, sf), "gal_id", SDSS_FEATURES, "label")
 
 
 @query("evaluate_model",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from astroframe.constants import SVM_MAX_ROWS
 from astroframe.operators import sampling as S
 from astroframe.plans.checks.etl import processed
 from astroframe.plans.registry import query
@@ -77,9 +78,9 @@ def q_head_n(spark, sf):
 
 @query("cap_training_rows",
        f"SELECT spkid FROM (SELECT spkid, row_number() OVER (ORDER BY {_MD5}, spkid) AS rn FROM processed) t "
-       f"WHERE rn <= 2000", views=["processed"])
+       f"WHERE rn <= {SVM_MAX_ROWS}", views=["processed"])
 def q_cap_training_rows(spark, sf):
-    return S.cap_rows(processed(spark, sf).select("spkid"), "spkid", 2000, 42)
+    return S.cap_rows(processed(spark, sf).select("spkid"), "spkid", SVM_MAX_ROWS, 42)
 
 
 @query("capped_sample",

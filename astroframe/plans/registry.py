@@ -40,7 +40,7 @@ def sql_rounded(expr: str, places: int = 6) -> str:
     """SQL twin of ``functions.columns.rounded``."""
     scale = f"{10 ** places}.0"
     expr = f"({expr})"
-    return (f"CASE WHEN abs({expr}) < 1e12 THEN CAST(floor({expr} * {scale} + 0.5) AS DOUBLE)"
+    return (f"CASE WHEN abs({expr}) * {scale} < 4503599627370496.0 THEN CAST(floor({expr} * {scale} + 0.5) AS DOUBLE)"
             f" / {scale} + 0.0 ELSE {expr} END")
 
 

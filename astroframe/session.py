@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -35,8 +36,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir); only when neither is set (local tests) a folder of
-    our own is created and registered.
+    checkpoint dir).  Only a local session (one JVM, as in tests) gets a
+    folder of its own when neither is set; elsewhere executors could not
+    see it, so the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="astroframe-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -52,4 +56,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/astroframe-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/astroframe-scratch/{name}-{uuid.uuid4().hex}"
+    drop_at_end(spark, path)
+    return path
+
+
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Ask the file system of ``path`` to delete it when the application's JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared checkpoint folder and read back.
+
+    Cuts the lineage, survives lost executors, keeps column pruning and gives
+    the planner the table's true size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -58,13 +58,13 @@ def test_cap_and_sample_per_group(spark):
 
 
 def test_silhouette_matches_brute_force(spark):
-    from astroframe.models.distance import silhouette
+    from astroframe.models.distance import sampled_silhouette
 
     rng = np.random.default_rng(1)
     pts = np.vstack([rng.normal(0, 1, (40, 3)), rng.normal(4, 1, (30, 3)), rng.normal((0, 5, 0), 1, (1, 3))])
     lab = np.array([0] * 40 + [1] * 30 + [2])
     pdf = pd.DataFrame(pts, columns=["x", "y", "z"]).assign(id=np.arange(len(lab)), c=lab)
-    got = silhouette(spark.createDataFrame(pdf), "id", ["x", "y", "z"], "c").first()["silhouette"]
+    got = sampled_silhouette(spark.createDataFrame(pdf), "id", ["x", "y", "z"], "c").first()["silhouette"]
     d = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
     s = []
     for i in range(len(lab)):
@@ -130,27 +130,144 @@ def test_first_k_hybrid_many_small_groups_and_a_hot_one(spark):
         assert got[lab] == set(_md5_order(list(grp["id"]))[:k]), lab
 
 
-def test_first_k_window_fallback_when_many_large_groups(spark, monkeypatch):
-    import astroframe.operators.sampling as SM
+def test_first_k_spreads_hot_groups_over_the_slices(spark):
+    """Two hot groups, a small one and NULLs: no slice of the range sort holds more than a fair share."""
+    from astroframe.operators.ordering import in_order, part_starts
+    from astroframe.session import stored
 
-    monkeypatch.setattr(SM, "GATHER", 5)
-    monkeypatch.setattr(SM, "MAX_LARGE_GROUPS", 3)
+    n = 40000
+    g = np.array(["hot1", "hot2"])[np.arange(n) % 2].astype(object)
+    g[:50], g[50:90] = "small", None
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(n, dtype="int64"), "g": g})).repartition(6)
+    placed = stored(in_order(df.withColumn("key", S.hash_key("id")), "g", "key", "id", parts=8), "t")
+    assert max(rows for _, _, rows in part_starts(placed)) < 2 * n / 8
+    got = S.sample_per_group(df, "g", "id", 300).toPandas()
+    for lab in ("hot1", "hot2", "small"):
+        ids = [i for i in range(n) if g[i] == lab]
+        assert set(got[got.g == lab]["id"]) == set(_md5_order(ids)[:300])
+    assert got["g"].notna().all()
+
+
+def test_first_k_many_groups_of_every_size(spark):
     pdf = pd.DataFrame({"id": np.arange(400, dtype="int64"), "g": (np.arange(400) % 10).astype(str)})
-    got = SM.sample_per_group(spark.createDataFrame(pdf), "g", "id", 7, 42).toPandas()
+    got = S.sample_per_group(spark.createDataFrame(pdf), "g", "id", 7, 42).toPandas()
     for lab, grp in pdf.groupby("g"):
         assert set(got[got.g == lab]["id"]) == set(_md5_order(list(grp["id"]))[:7])
 
 
-def test_first_k_broadcast_threshold_table(spark, monkeypatch):
-    import astroframe.operators.sampling as SM
+def test_equal_ids_end_with_a_result_or_a_clear_error(spark):
+    many = spark.createDataFrame([(7,)] * 6000 + [(i,) for i in range(100, 4100)], "id long").repartition(4)
+    with pytest.raises(ValueError, match="not unique"):
+        S.cap_rows(many, "id", len([i for i in _md5_order([7, *range(100, 4100)]) if i != 7][:5]) + 3000)
+    assert S.cap_rows(many, "id", 10000).count() == 10000
+    thrice = spark.createDataFrame([(i // 3,) for i in range(6000)], "id long")
+    assert S.cap_rows(thrice, "id", 99).count() == 99
+    with pytest.raises(ValueError, match="not unique"):
+        S.cap_rows(thrice, "id", 100)
 
-    monkeypatch.setattr(SM, "GATHER", 5)
-    monkeypatch.setattr(SM, "LITERAL_GROUPS", 2)
-    pdf = pd.DataFrame({"id": np.arange(300, dtype="int64"), "g": (np.arange(300) % 6).astype(str)})
-    got = SM.stratified_split(spark.createDataFrame(pdf), "g", "id", 0.3, 42).toPandas()
-    for lab, grp in pdf.groupby("g"):
-        k = math.ceil(len(grp) * 0.3)
-        assert set(got[(got.g == lab) & (got.split == "test")]["id"]) == set(_md5_order(list(grp["id"]))[:k])
+
+@pytest.mark.parametrize("values,want", [
+    ([float(i) for i in range(10000)] + [math.inf], 5000.0),
+    ([float(i) for i in range(10000)] + [math.inf, -math.inf], 4999.5),
+    ([math.inf] * 9000 + [1.0] * 1000, math.inf),
+    ([0.0] * 6000 + [1.0] * 6000, 0.5),
+    ([10.0 ** (-300 + 450 * i / 20000) for i in range(20001)], 10.0 ** -75)])
+def test_quantiles_with_infinities_ties_and_any_spread(spark, values, want):
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    assert exact_quantiles(df, ["x"], 0.5)["x"] == pytest.approx(want, rel=1e-12)
+
+
+def test_impute_fills_a_column_with_an_infinity(spark):
+    from astroframe.models.prep import impute_median
+
+    df = spark.createDataFrame([(float(i),) for i in range(5001)] + [(math.inf,), (-math.inf,), (None,)], "x double")
+    assert impute_median(df, ["x"]).where("x = 2500").count() == 2
+
+
+def test_histogram_keeps_empty_bins_and_finite_edges(spark):
+    from astroframe.operators.aggregate import histogram
+
+    h = histogram(spark.createDataFrame([(0.0,), (10.0,), (math.inf,), (None,)], "x double"), "x", 50).toPandas().sort_values("bin")
+    assert h["count"].tolist() == [1] + [0] * 48 + [1] and h["hi"].iloc[-1] == pytest.approx(10.0)
+
+
+def test_trailing_aggregates_are_sql_frames_with_infinity_and_null(spark):
+    """Truth: a plain loop over each key's rows."""
+    from astroframe.operators.windows import trailing_aggregates
+
+    rng = np.random.default_rng(4)
+    special = [math.inf, -math.inf, None, 1.0, 2.5]
+    data = [(("hot", None, "b")[0 if rng.random() < 0.7 else int(rng.integers(1, 3))], int(t), special[int(rng.integers(0, 5))])
+            for t in rng.permutation(400)]
+    df = spark.createDataFrame(data, "k string, t long, v double").repartition(5)
+    got = {r["t"]: r for r in trailing_aggregates(df, "k", ["t"], "v", 3, ("count", "min", "max", "mean"), 7).collect()}
+    assert len(got) == 400
+    for key in ("hot", None, "b"):
+        mine = sorted(r[1:] for r in data if r[0] == key)
+        for i, (t, _) in enumerate(mine):
+            frame = mine[max(0, i - 3):i + 1]
+            vals = [v for _, v in frame if v is not None]
+            r = got[t]
+            assert r["v_count"] == len(frame)
+            assert r["v_min"] == (min(vals) if vals else None) and r["v_max"] == (max(vals) if vals else None)
+            want = sum(vals) / len(vals) if vals else None
+            assert r["v_mean"] == want or math.isnan(r["v_mean"]) and math.isnan(want)
+
+
+def test_full_silhouette_matches_all_pairs(spark):
+    from astroframe.models.distance import silhouette
+
+    rng = np.random.default_rng(1)
+    pts = np.vstack([rng.normal(0, 1, (40, 3)), rng.normal(4, 1, (30, 3)), rng.normal((0, 5, 0), 1, (1, 3))])
+    lab = np.array([0] * 40 + [1] * 30 + [2])
+    pdf = pd.DataFrame(pts, columns=["x", "y", "z"]).assign(id=np.arange(len(lab)), c=lab)
+    got = silhouette(spark.createDataFrame(pdf), "id", ["x", "y", "z"], "c").first()["silhouette"]
+    d = ((pts[:, None] - pts[None]) ** 2).sum(-1)
+    s = []
+    for i in range(len(lab)):
+        own = lab == lab[i]
+        a = d[i, own].sum() / (own.sum() - 1) if own.sum() > 1 else None
+        b = min(d[i, lab == c].mean() for c in set(lab) if c != lab[i])
+        s.append(0.0 if a is None else (b - a) / max(a, b))
+    assert got == pytest.approx(np.mean(s), abs=1e-10)
+
+
+def test_label_codes_without_a_bound(spark):
+    from astroframe.operators.classify import label_encode
+
+    df = spark.createDataFrame([(f"c{i % 300:03d}" if i % 7 else None, i) for i in range(3000)], "lab string, id long")
+    got = label_encode(df, "lab").collect()
+    assert len(got) == 3000 and all(r["label"] == (None if r["lab"] is None else int(r["lab"][1:])) for r in got)
+
+
+def test_frame_sample_reads_the_path_once_without_join_or_shuffle(spark):
+    from astroframe.operators.joins import frame_sample
+
+    path = spark.range(3).selectExpr("id AS k", "explode(sequence(0, 99)) AS j").withColumn("r", F.col("j") * 1.0)
+    out = frame_sample(path, "k", "j", 100, 60)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert sorted((r["k"], r["frame"], r["j"]) for r in out.collect()) == [
+        (k, f, int(f / 60 * 99)) for k in range(3) for f in range(60)]
+
+
+def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
+    from astroframe import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
 
 
 def test_evaluation_dict_matches_spark_aggregate(spark):

@@ -114,15 +114,18 @@ def test_rounded_is_ieee_deterministic(spark):
     assert r[1] == 0.0 and math.copysign(1, r[1]) == 1.0 and r[2] is None
 
 
-def test_label_dim_without_broadcast_past_the_bound(spark, monkeypatch):
+def test_label_dim_keeps_unmatched_and_null_codes(spark):
     from astroframe.operators import classify as KK
 
     df = spark.createDataFrame([("MBA",), ("ISO",), ("XYZ",), (None,)], "object_type string")
-    dim = KK.class_dimension(spark)
-    small = {r["object_type"]: r["description"] for r in KK.label_dim(df, dim, "object_type").collect()}
-    monkeypatch.setattr(KK, "MAX_BROADCAST_ROWS", 2)
-    large = {r["object_type"]: r["description"] for r in KK.label_dim(df, dim, "object_type").collect()}
-    assert small == large and small["MBA"] == "Main Belt Asteroid" and small["XYZ"] is None
+    got = {r["object_type"]: r["description"] for r in KK.label_dim(df, KK.class_dimension(spark), "object_type").collect()}
+    assert got["MBA"] == "Main Belt Asteroid" and got["XYZ"] is None and got[None] is None
+
+
+def test_rounded_goes_on_while_there_is_a_fraction(spark):
+    df = spark.createDataFrame([(1.5e12 + 0.2507,), (1e300,), (float("inf"),)], "x double")
+    got = [r["y"] for r in df.select(C.rounded("x", 2).alias("y")).collect()]
+    assert got[0] == math.floor((1.5e12 + 0.2507) * 100 + 0.5) / 100 and got[1:] == [1e300, math.inf]
 
 
 def test_read_or_empty_missing_path(spark):
