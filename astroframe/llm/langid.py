@@ -31,7 +31,7 @@ MAX_WORDS = 40_000
 MAX_GRAMS = 10_000
 MAX_N = 4
 UNKNOWN = "und"
-#: a word is a run of letters; n-grams are taken of the word with a mark at both ends
+#: a word is a run of letters; n-grams of two letters and more see a mark at both ends
 LETTERS = re.compile(r"[^\W\d_]+")
 CACHE = 200_000
 
@@ -70,10 +70,10 @@ class Model:
             return known
         got = self.cache.get(w)
         if got is None:
-            marked = f"^{w}$"
             got = np.zeros(len(self.langs), np.float32)
             for table in self.grams:
                 n = table["n"]
+                marked = f"^{w}$" if n > 1 else w
                 found = [table["rows"][g] for i in range(len(marked) - n + 1) if (g := marked[i:i + n]) in table["rows"]]
                 if found:
                     got = np.mean(found, axis=0, dtype=np.float32)
@@ -98,7 +98,7 @@ def _rows(counted: pd.DataFrame, langs: list[str]) -> dict[str, np.ndarray]:
     """word -> add-one log frequency per language."""
     at = {x: i for i, x in enumerate(langs)}
     totals = np.zeros(len(langs))
-    np.add.at(totals, counted["lang"].map(at).to_numpy(), counted["n"].to_numpy())
+    np.add.at(totals, counted["lang"].map(at).to_numpy(dtype=np.int64), counted["n"].to_numpy(dtype=np.float64))
     out: dict[str, np.ndarray] = {}
     key_column = next(c for c in counted.columns if c not in ("lang", "n"))
     for lang, key, n in zip(counted["lang"], counted[key_column], counted["n"]):
@@ -122,9 +122,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
         return df.join(cut, "lang").where(F.col("n") >= F.col("cut")).drop("cut").toPandas()
 
     words = _rows(top(counts, max_words), langs)
-    marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
     tables = []
     for n in range(max_n, 0, -1):
+        marked = F.concat(F.lit("^"), F.col("word"), F.lit("$")) if n > 1 else F.col("word")
         spots = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - (n - 1))).otherwise(F.array().cast("array<int>"))
         grams = counts.select("lang", "n", F.explode(F.transform(spots, lambda i: F.substring(marked, i, F.lit(n)))).alias("gram"))
         grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
