@@ -20,8 +20,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from astroframe.constants import DNN_LAYERS, ML_PARAMS, SVM_MAX_ROWS
-from astroframe.operators.sampling import cap_rows
+from astroframe.constants import DNN_LAYERS, ML_PARAMS, SVM_MAX_ROWS, VALIDATION_SHARE
+from astroframe.operators.sampling import cap_rows, holdout_split
 
 
 def _predictions(model, test: DataFrame, id_col: str) -> DataFrame:
@@ -104,21 +104,29 @@ def boosted_classify(train: DataFrame, test: DataFrame, id_col: str, rounds: int
 
 def mlp_classify(train: DataFrame, test: DataFrame, id_col: str, n_features: int, n_classes: int,
                  hidden: Sequence[int] = tuple(DNN_LAYERS), iters: int = 50, seed: int = 42,
-                 with_history: bool = False):
+                 with_history: bool = False, features: str = "features", validation: float = VALIDATION_SHARE):
     """Dense network (sigmoid hidden layers, softmax output, L-BFGS) on the feature vector.
 
-    With ``with_history`` also returns the training record: per-iteration
-    loss, iterations run and the number of weights.
+    A ``validation`` share of the training rows (in hash order) is held out.
+    With ``with_history`` also returns the training record: loss per
+    iteration, the held-out rows' final loss and accuracy, iterations run
+    and the number of weights.
     """
+    parts = holdout_split(train.drop("split"), id_col, validation, seed, "part")
+    fit, held = parts.where(F.col("part") == "train"), parts.where(F.col("part") == "test")
     mlp = MultilayerPerceptronClassifier(layers=[n_features, *hidden, n_classes], maxIter=iters, seed=seed,
-                                         labelCol="label", featuresCol="features")
-    model = mlp.fit(train)
+                                         labelCol="label", featuresCol=features)
+    model = mlp.fit(fit)
     pred = _predictions(model, test, id_col)
     if not with_history:
         return pred
     summary = model.summary() if callable(model.summary) else model.summary
     loss = [float(v) for v in summary.objectiveHistory]
-    return pred, {"history": {"loss": loss}, "epochs_trained": len(loss), "total_params": int(model.weights.size)}
+    p = vector_to_array("probability")[F.col("label").cast("int")]
+    val = model.transform(held).agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15)))).alias("loss"),
+                                    F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")).first()
+    return pred, {"history": {"loss": loss, "val_loss": [val["loss"]], "val_accuracy": [val["accuracy"]]},
+                  "epochs_trained": len(loss), "total_params": int(model.weights.size)}
 
 
 def pca_project(df: DataFrame, k: int = ML_PARAMS["pca_components"], features: str = "features"):

@@ -31,7 +31,7 @@ ANOMALY_FEATURES = FEATURES_ORBITAL + FEATURES_ENGINEERED
 
 
 def encode_labels(df: DataFrame, col: str) -> tuple[DataFrame, list]:
-    """Alphabetical 0-based codes as a literal map; also returns the class list."""
+    """Alphabetical 0-based codes joined from a written code table; also returns the class list."""
     classes = label_list(df, col)
     return label_encode(df, col, "label"), classes
 
@@ -50,7 +50,7 @@ def classification_frame(processed: DataFrame, id_col: str = "spkid", label_col:
     df = standardize(impute_median(df, cols), cols)
     df, classes = encode_labels(df, label_col)
     df = stratified_split(df, label_col, id_col, test, seed)
-    df = assemble_features(df, cols)
+    df = materialize(assemble_features(df, cols))
     return df.where(F.col("split") == "train"), df.where(F.col("split") == "test"), cols, classes
 
 
@@ -71,5 +71,17 @@ def spectral_frame(galaxies: DataFrame, id_col: str = "gal_id", test: float = 0.
     df = materialize(df.select(id_col, "spectral_class", *cols))
     df = standardize(df, cols)
     df, classes = encode_labels(df, "spectral_class")
-    df = assemble_features(stratified_split(df, "spectral_class", id_col, test, seed), cols)
+    df = stratified_split(df, "spectral_class", id_col, test, seed)
+    steps = neighbour_differences(cols)
+    df = df.withColumns(steps)
+    df = assemble_features(assemble_features(df, cols), [*cols, *steps], SEQUENCE_FEATURES)
+    df = materialize(df)
     return df.where(F.col("split") == "train"), df.where(F.col("split") == "test"), cols, classes
+
+
+SEQUENCE_FEATURES = "sequence_features"
+
+
+def neighbour_differences(cols: Sequence[str]) -> dict:
+    """Differences of neighbouring columns (a kernel of two), for the network on the colour sequence."""
+    return {f"{b}_minus_{a}": F.col(b) - F.col(a) for a, b in zip(cols, cols[1:])}

@@ -13,3 +13,4 @@ from astroframe.plans.checks import sources  # noqa: F401
 from astroframe.plans.checks import ml_exact  # noqa: F401
 from astroframe.plans.checks import ml_models  # noqa: F401
 from astroframe.plans.checks import streaming  # noqa: F401
+from astroframe.plans.checks import runs  # noqa: F401

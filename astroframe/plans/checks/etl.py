@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from astroframe.constants import FEATURES_ENGINEERED, NUMERIC_COLUMNS
 from astroframe.operators.aggregate import count_by
 from astroframe.operators.features import etl_full
 from astroframe.plans.registry import query
 from astroframe.sources.fixtures import bodies
 
-PROCESSED_DOUBLES = ("e", "a", "i", "om", "w", "q", "ad", "per_y", "epoch", "H", "diameter",
-                     "albedo", "moid", "tisserand_j", "v_inf", "energy_param", "q_over_a")
+PROCESSED_DOUBLES = (*NUMERIC_COLUMNS, *FEATURES_ENGINEERED)
 
 
 def processed(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from astroframe.constants import RECOMMENDATION_TASKS, RECOMMENDATION_TEXTS, TASK_LABELS
+from astroframe.constants import ANOMALY_MODELS, RECOMMENDATION_TASKS, RECOMMENDATION_TEXTS, TASK_LABELS
 from astroframe.operators import reshape as R
 from astroframe.plans.registry import query, sql_rounded
 from astroframe.sources.fixtures import bodies, model_runs
@@ -24,15 +24,42 @@ def q_union_by_name(spark, sf):
     return R.union_by_name(ast, com)
 
 
-@query("comparison_table",
-       f"SELECT {_case('task', TASK_LABELS)} AS tarea, approach AS enfoque, model AS modelo, "
-       "CASE WHEN task = 'anomaly_detection' THEN 0.0e0 ELSE coalesce(accuracy, 0.0e0) END AS accuracy, "
-       "CASE WHEN task = 'anomaly_detection' THEN 0.0e0 ELSE coalesce(f1, 0.0e0) END AS f1, "
-       "0.0e0 AS precision, 0.0e0 AS recall, coalesce(train_time, 0.0e0) AS train_time, "
-       "CASE WHEN task = 'anomaly_detection' THEN n_anomalies END AS n_anomalies FROM model_runs",
-       views=["model_runs"])
+#: what the comparison shows of the documents that :func:`run_documents` makes
+COMPARISON_SQL = f"""
+SELECT {_case('task', TASK_LABELS)} AS tarea, approach AS enfoque,
+ CASE WHEN task = 'anomaly_detection' THEN {_case('approach', ANOMALY_MODELS)} ELSE model END AS modelo,
+ CASE WHEN task = 'anomaly_detection' THEN 0.0e0 ELSE coalesce(accuracy, 0.0e0) END AS accuracy,
+ CASE WHEN task = 'anomaly_detection' THEN 0.0e0 ELSE coalesce(f1, 0.0e0) END AS f1,
+ CASE WHEN task = 'object_classification' THEN coalesce(accuracy / 2.0e0, 0.0e0) ELSE 0.0e0 END AS precision,
+ 0.0e0 AS recall, coalesce(train_time, 0.0e0) AS train_time,
+ CASE WHEN task = 'anomaly_detection' AND approach = 'ML' THEN 0.0e0 ELSE coalesce(train_time / 8.0e0, 0.0e0) END AS infer_time,
+ CASE WHEN approach = 'ML' THEN n_anomalies * 1.5e0 ELSE 0.0e0 END AS memory_mb,
+ CASE WHEN task = 'anomaly_detection' THEN n_anomalies END AS n_anomalies,
+ CASE WHEN task = 'anomaly_detection' THEN n_anomalies % 2 = 0 END AS iso_detected FROM model_runs"""
+
+
+def run_documents(runs):
+    """Result documents of both kinds, one per model of ``model_runs`` (column ``model`` names the file)."""
+    m = runs.withColumns({
+        "precision": F.col("accuracy") / 2.0, "infer_time": F.col("train_time") / 8.0, "memory_mb": F.col("n_anomalies") * 1.5,
+        "interstellar_detected": F.col("n_anomalies") % 2 == 0, "method": F.col("model")})
+    is_ = {n: F.col("task") == t for n, t in zip(("task1", "task2", "task3"), TASK_LABELS)}
+    metrics = F.struct("accuracy", "f1", "precision", "train_time", "infer_time", "memory_mb")
+    one = F.struct("method", "accuracy", "f1", "precision", "train_time", "infer_time", "memory_mb")
+    anomaly = F.struct("method", "n_anomalies", "train_time", "infer_time", "memory_mb", "interstellar_detected")
+    by_model = {"ML": F.struct(F.create_map("model", metrics).alias("results")), "DL": one}
+    out = []
+    for approach, task1 in by_model.items():
+        docs = m.where(F.col("approach") == approach)
+        out.append(docs.select(F.concat_ws("-", "task", "model").alias("model"), F.when(is_["task1"], task1).alias("task1"),
+                               F.when(is_["task2"], anomaly).alias("task2"), F.when(is_["task3"], one).alias("task3")))
+    return out
+
+
+@query("comparison_table", COMPARISON_SQL, views=["model_runs"])
 def q_comparison_table(spark, sf):
-    return R.comparison_table(R.result_documents(model_runs(spark, sf)))
+    ml, dl = run_documents(model_runs(spark, sf))
+    return R.comparison_table(R.union_by_name(R.classical_rows(ml), R.network_rows(dl)))
 
 
 @query("melt_metrics",
@@ -86,7 +113,9 @@ def q_recommendations(spark, sf):
 @query("summary_table",
        "SELECT task, model, coalesce(printf('%.4f', " + sql_rounded("accuracy", 4) + "), '-') AS accuracy, "
        "coalesce(printf('%.4f', " + sql_rounded("f1", 4) + "), '-') AS f1, "
-       "coalesce(printf('%.2f', " + sql_rounded("train_time", 2) + "), '-') AS train_time FROM model_runs",
+       "coalesce(printf('%.2f', " + sql_rounded("train_time", 2) + "), '-') AS train_time, "
+       "coalesce(printf('%.4f', " + sql_rounded("train_time / 8.0e0", 4) + "), '-') AS infer_time FROM model_runs",
        views=["model_runs"])
 def q_summary_table(spark, sf):
-    return R.summary_table(model_runs(spark, sf), {"accuracy": 4, "f1": 4, "train_time": 2}, ["task", "model"])
+    runs = model_runs(spark, sf).withColumn("infer_time", F.col("train_time") / 8.0)
+    return R.summary_table(runs, {"accuracy": 4, "f1": 4, "train_time": 2, "infer_time": 4}, ["task", "model"])

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from astroframe import schema as SC
-from astroframe.constants import CATALOGUE_FIELDS, KNOWN_INTERSTELLAR_ROWS
+from astroframe.constants import CATALOGUE_FIELDS, INTERSTELLAR_ROWS, KNOWN_INTERSTELLAR_ROWS
 from astroframe.operators import reshape as R
+from astroframe.operators.clean import cast_numeric
 from astroframe.operators.features import etl_full
+from astroframe.operators.joins import dim_join, interstellar_dimension
 from astroframe.plans.checks.etl import PROCESSED_DOUBLES, processed
+from astroframe.plans.checks.reshape import COMPARISON_SQL, run_documents
 from astroframe.plans.oracle_views import CLEANED, PROCESSED, add_view
 from astroframe.plans.registry import query
+from astroframe.plans.runs import run_comparison
 from astroframe.session import scratch_path
 from astroframe.sources import catalog_io as IO
 from astroframe.sources.fixtures import bodies, ephemeris, galaxies, model_runs
@@ -84,22 +88,15 @@ def q_scan_or_empty(spark, sf):
     return present.unionByName(absent)
 
 
-_CMP = ("SELECT CASE task WHEN 'object_classification' THEN 'Clasificacion Objetos' WHEN 'anomaly_detection' "
-        "THEN 'Deteccion Anomalias' WHEN 'spectral_classification' THEN 'Clasificacion Espectral' END AS tarea, "
-        "approach AS enfoque, model AS modelo, "
-        "CASE WHEN task = 'anomaly_detection' THEN 0.0e0 ELSE coalesce(accuracy, 0.0e0) END AS accuracy, "
-        "CASE WHEN task = 'anomaly_detection' THEN 0.0e0 ELSE coalesce(f1, 0.0e0) END AS f1, "
-        "0.0e0 AS precision, 0.0e0 AS recall, coalesce(train_time, 0.0e0) AS train_time, "
-        "CASE WHEN task = 'anomaly_detection' THEN n_anomalies END AS n_anomalies FROM model_runs")
-
-
-@query("scan_result_json", _CMP, views=["model_runs"])
+@query("scan_result_json", COMPARISON_SQL, views=["model_runs"])
 def q_scan_result_json(spark, sf):
+    """Indented documents of both kinds, written, read back and compared; corrupt ones beside them are skipped."""
     path = scratch_path(spark, "results")
-    IO.write_result_json(R.result_documents(model_runs(spark, sf)), f"{path}/docs")
-    spark.createDataFrame([("{not json",)], "value string").write.mode("overwrite").text(f"{path}/corrupt")
-    docs = IO.read_result_json(spark, path + "/*", SC.RESULT_DOCUMENT)
-    return R.comparison_table(docs)
+    ml, dl = run_documents(model_runs(spark, sf))
+    for name, docs in (("ml", ml), ("dl", dl)):
+        IO.write_documents(docs, f"{path}/{name}/docs", "model")
+        spark.createDataFrame([("{not json",)], "value string").write.mode("overwrite").text(f"{path}/{name}/corrupt")
+    return run_comparison(spark, f"{path}/ml/*", f"{path}/dl/*")[0]
 
 
 @query("sink_result_json", "SELECT task, approach, model, accuracy, f1, train_time, n_anomalies FROM model_runs",
@@ -117,23 +114,29 @@ def q_sink_result_json(spark, sf):
         .select("task", "approach", "model", "accuracy", "f1", "train_time", "n_anomalies")
 
 
-@query("json_positional_rows", "SELECT * FROM bodies", views=["bodies"])
+@query("json_positional_rows", "SELECT *, CAST(NULL AS VARCHAR) AS absent FROM bodies", views=["bodies"])
 def q_json_positional_rows(spark, sf):
     path = scratch_path(spark, "payload")
     IO.write_result_json(IO.positional_payload(bodies(spark, sf), CATALOGUE_FIELDS, 1000), path)
     payload = spark.read.schema(SC.POSITIONAL_PAYLOAD).json(path)
-    rows = IO.positional_rows(payload, "fields", "data", CATALOGUE_FIELDS)
-    from astroframe.operators.clean import cast_numeric
+    rows = IO.positional_rows(payload, "fields", "data", [*CATALOGUE_FIELDS, "absent"])
     return cast_numeric(rows, _RAW_DOUBLES)
 
 
+_DIM_VALUES = ", ".join(f"({_sql_value(r[0])}, {_sql_value(r[8])}, DATE '{r[6]}', {_sql_value(r[9])})" for r in INTERSTELLAR_ROWS)
+
+
 @query("literal_rows",
-       "SELECT spkid, full_name, object_type, tisserand_j, v_inf, energy_param FROM processed_known",
+       "SELECT spkid, full_name, object_type, tisserand_j, v_inf, energy_param, shape, perihelion_date, size_km FROM processed_known "
+       f"LEFT JOIN (VALUES {_DIM_VALUES}) AS d(name, shape, perihelion_date, size_km) ON split_part(full_name, ' (', 1) = d.name",
        views=["processed_known"], round_cols=["tisserand_j", "v_inf", "energy_param"])
 def q_literal_rows(spark, sf):
     known = IO.literal_rows(spark, KNOWN_INTERSTELLAR_ROWS, SC.CATALOGUE)
-    allrows = R.union_by_name(bodies(spark, sf), known)
-    return etl_full(allrows).select("spkid", "full_name", "object_type", "tisserand_j", "v_inf", "energy_param")
+    allrows = etl_full(R.union_by_name(bodies(spark, sf), known))
+    dim = interstellar_dimension(spark).select("name", "shape", "perihelion_date", "size_km")
+    named = allrows.withColumn("name", F.split_part("full_name", F.lit(" ("), F.lit(1)))
+    return dim_join(named, dim, "name").select("spkid", "full_name", "object_type", "tisserand_j", "v_inf", "energy_param",
+                                               "shape", "perihelion_date", "size_km")
 
 
 @query("sink_csv", "SELECT * FROM galaxies", views=["galaxies"])

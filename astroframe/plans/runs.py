@@ -13,20 +13,20 @@ import json
 import time
 import traceback
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.constants import ML_PARAMS, NORMAL_TYPES, SILHOUETTE_SAMPLE
+from astroframe import schema as SC
+from astroframe.constants import ANOMALY_MODELS, ML_PARAMS, NORMAL_TYPES, RESULT_TASKS
 from astroframe.models import anomaly as AN
 from astroframe.models import classifiers as M
 from astroframe.models.distance import silhouette
 from astroframe.models.evaluate import evaluation_dict
-from astroframe.models.frames import anomaly_frame, classification_frame, spectral_frame
+from astroframe.models.frames import SEQUENCE_FEATURES, anomaly_frame, classification_frame, spectral_frame
 from astroframe.operators import reshape as R
 from astroframe.operators.aggregate import all_detected, count_by
-from astroframe.operators.clean import rows_removed
 from astroframe.operators.features import etl_full
-from astroframe.operators.sampling import cap_rows
+from astroframe.session import scratch_path
 from astroframe.sources import catalog_io as IO
 
 
@@ -37,43 +37,54 @@ def _timed(fn, *a, **k):
 
 
 def _write_doc(spark: SparkSession, doc: dict, path: str) -> None:
-    spark.createDataFrame([(json.dumps(doc, default=float),)], "value string").coalesce(1) \
+    """One indented JSON document."""
+    spark.createDataFrame([(json.dumps(doc, default=float, indent=2),)], "value string").coalesce(1) \
         .write.mode("overwrite").text(path)
 
 
 def run_etl(raw: DataFrame, out_path: str | None = None) -> tuple[DataFrame, dict]:
-    """Clean, engineer, classify; counts in one pass; partitioned Parquet output."""
+    """Clean, engineer, classify: one scan of ``raw``, which writes the partitioned output and counts its rows.
+
+    Rows in and kept are observed while writing; the type counts come from
+    the written partitions.
+    """
     from astroframe.functions.columns import to_double
 
-    processed = etl_full(raw)
     e, a = to_double("e"), to_double("a")
-    keep = e.isNotNull() & a.isNotNull() & (e >= 0)
-    stats = rows_removed(raw, keep).first().asDict()
+    keep = F.coalesce(e.isNotNull() & a.isNotNull() & (e >= 0), F.lit(False))
+    seen = Observation()
+    counted = raw.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(keep).alias("kept"))
+    out_path = out_path or scratch_path(raw.sparkSession, "processed")
+    result = etl_full(counted)
+    IO.write_catalog(result, out_path)
+    processed = raw.sparkSession.read.schema(result.schema).parquet(out_path)
+    stats = dict(seen.get)
+    stats["dropped"] = stats["total"] - stats["kept"]
     stats["types"] = {r["object_type"]: r["count"] for r in count_by(processed, "object_type").collect()}
-    if out_path:
-        IO.write_catalog(processed, out_path)
-        processed = raw.sparkSession.read.parquet(out_path)
     return processed, stats
 
 
+def _judged(fit, *a, **k) -> tuple[dict, object]:
+    """Fit and evaluate a classifier: metrics with train_time and infer_time, and what else it returned."""
+    out, train_time = _timed(fit, *a, **k)
+    pred, extra = out if isinstance(out, tuple) else (out, None)
+    metrics, infer_time = _timed(evaluation_dict, pred)
+    return {**metrics, "train_time": train_time, "infer_time": infer_time}, extra
+
+
 def run_classification(processed: DataFrame, rf=None, gbt=None, svm=None, mlp=None) -> tuple[dict, dict]:
     """Task 1: forest, kernel SVM, boosted trees (classical) and a dense network."""
     rf = {"trees": ML_PARAMS["rf_n_estimators"], "depth": ML_PARAMS["rf_max_depth"], **(rf or {})}
     gbt = {"rounds": ML_PARAMS["xgb_n_estimators"], "depth": ML_PARAMS["xgb_max_depth"], **(gbt or {})}
     train, test, cols, classes = classification_frame(processed)
     results = {}
-    (pred, imp), t = _timed(M.rf_classify, train, test, "spkid", **rf)
-    results["Random Forest"] = {**evaluation_dict(pred), "train_time": t}
+    results["Random Forest"], imp = _judged(M.rf_classify, train, test, "spkid", **rf)
     importance = dict(sorted(zip(cols, imp), key=lambda kv: -kv[1]))
-    pred, t = _timed(M.svm_classify, train, test, "spkid", cols, **(svm or {}))
-    results["SVM"] = {**evaluation_dict(pred), "train_time": t}
-    pred, t = _timed(M.boosted_classify, train, test, "spkid", **gbt)
-    results["Gradient Boosting"] = {**evaluation_dict(pred), "train_time": t}
-    (pred, record), t = _timed(M.mlp_classify, train, test, "spkid", len(cols), len(classes),
-                               with_history=True, **(mlp or {}))
-    net = {"task": "clasificacion_objetos", "method": "DNN", **evaluation_dict(pred), "train_time": t, **record}
-    classical = {"task": "clasificacion_objetos", "classes": classes, "results": results,
-                 "feature_importance": importance}
+    results["SVM"], _ = _judged(M.svm_classify, train, test, "spkid", cols, **(svm or {}))
+    results["Gradient Boosting"], _ = _judged(M.boosted_classify, train, test, "spkid", **gbt)
+    judged, record = _judged(M.mlp_classify, train, test, "spkid", len(cols), len(classes), with_history=True, **(mlp or {}))
+    net = {"task": RESULT_TASKS["task1"], "method": "DNN", **judged, **record}
+    classical = {"task": RESULT_TASKS["task1"], "classes": classes, "results": results, "feature_importance": importance}
     return classical, net
 
 
@@ -82,8 +93,7 @@ def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int =
     df, cols = anomaly_frame(processed)
     coords, ratios = M.pca_project(df, ML_PARAMS["pca_components"])
     clustered, _, _ = M.kmeans_cluster(coords, ML_PARAMS["n_clusters"], starts, ML_PARAMS["random_state"])
-    sample = cap_rows(clustered.select("spkid", "cluster", *cols), "spkid", SILHOUETTE_SAMPLE, 42)
-    sil = silhouette(sample, "spkid", cols, "cluster").first()["silhouette"]
+    sil = silhouette(clustered, "spkid", cols, "cluster").first()["silhouette"]
     scored, t = _timed(AN.isolation_forest, clustered, "spkid", cols, 100, 256,
                        ML_PARAMS["isolation_contamination"], 42)
     iso = F.col("object_type") == "ISO"
@@ -92,7 +102,7 @@ def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int =
     if out_path:
         scored.select("full_name", "object_type", "pc1", "pc2", "pc3", "cluster", "anomaly_score",
                       "anomaly_score_raw").write.mode("overwrite").json(f"{out_path}/pca_coords")
-    classical = {"task": "deteccion_anomalias", "method": "Isolation Forest", "n_anomalies": summary["n"],
+    classical = {"task": RESULT_TASKS["task2"], "method": ANOMALY_MODELS["ML"], "n_anomalies": summary["n"],
                  "silhouette": sil, "pca_variance": ratios, "train_time": t,
                  "interstellar_detected": summary["det"]}
     (rec, thr), t = _timed(AN.reconstruction_anomaly, df, cols, F.col("object_type").isin(*NORMAL_TYPES))
@@ -102,7 +112,7 @@ def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int =
         rec.where(iso).select("full_name", F.col("recon_error").alias("ae_recon_error"),
                               F.col("recon_anomaly").alias("ae_anomaly")) \
            .write.mode("overwrite").json(f"{out_path}/interstellar_errors")
-    net = {"task": "deteccion_anomalias", "method": "Autoencoder", "n_anomalies": int(s2["n"] or 0),
+    net = {"task": RESULT_TASKS["task2"], "method": ANOMALY_MODELS["DL"], "n_anomalies": int(s2["n"] or 0),
            "threshold": thr, "train_time": t, "interstellar_detected": s2["det"]}
     return classical, net
 
@@ -110,45 +120,23 @@ def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int =
 def run_spectral(galaxies: DataFrame, trees: int = ML_PARAMS["rf_n_estimators"]) -> tuple[dict, dict]:
     """Task 3: redshift classes from colours -- forest (depth 15) and a small network."""
     train, test, cols, classes = spectral_frame(galaxies)
-    (pred, imp), t = _timed(M.rf_classify, train, test, "gal_id", trees, 15)
-    ev = evaluation_dict(pred)
-    classical = {"task": "clasificacion_espectral", "method": "Random Forest", **ev, "train_time": t,
-                 "class_names": classes, "feature_importance": dict(zip(cols, imp))}
-    (pred, record), t = _timed(M.mlp_classify, train, test, "gal_id", len(cols), len(classes), (64, 32), 100,
-                               with_history=True)
-    net = {"task": "clasificacion_espectral", "method": "MLP", **evaluation_dict(pred), "train_time": t,
-           "class_names": classes, **record}
+    judged, imp = _judged(M.rf_classify, train, test, "gal_id", trees, 15)
+    classical = {"task": RESULT_TASKS["task3"], "method": "Random Forest", **judged, "class_names": classes,
+                 "feature_importance": dict(zip(cols, imp))}
+    judged, record = _judged(M.mlp_classify, train, test, "gal_id", 2 * len(cols) - 1, len(classes), (64, 32), 100,
+                             with_history=True, features=SEQUENCE_FEATURES)
+    net = {"task": RESULT_TASKS["task3"], "method": "MLP", **judged, "class_names": classes, **record}
     return classical, net
 
 
-def documents_frame(spark: SparkSession, classical: dict, network: dict) -> DataFrame:
-    """Both approaches' task results as comparison documents (approach, tasks map)."""
-    rows = []
-    for approach, doc in (("ML", classical), ("DL", network)):
-        for key, task in (("object_classification", "task1"), ("anomaly_detection", "task2"),
-                          ("spectral_classification", "task3")):
-            t = doc.get(task)
-            if not t:
-                continue
-            models = t.get("results") if task == "task1" and approach == "ML" else {t.get("method", task): t}
-            for model, m in models.items():
-                rows.append((approach, key, model, m.get("accuracy"), m.get("f1"), m.get("precision"),
-                             m.get("recall"), m.get("train_time"), m.get("n_anomalies"),
-                             m.get("interstellar_detected")))
-    runs = spark.createDataFrame(rows, "approach string, task string, model string, accuracy double, f1 double, "
-                                       "precision double, recall double, train_time double, n_anomalies long, "
-                                       "iso_detected boolean")
-    return R.result_documents(runs, metrics=("accuracy", "f1", "precision", "recall", "train_time",
-                                             "n_anomalies", "iso_detected"))
-
-
-def run_comparison(spark: SparkSession, classical: dict, network: dict) -> tuple[DataFrame, DataFrame]:
-    """Comparison table and per-task recommendations."""
-    table = R.comparison_table(documents_frame(spark, classical, network))
-    keyed = table.withColumn("task", F.when(F.col("tarea") == "Clasificacion Objetos", "object_classification")
-                             .when(F.col("tarea") == "Deteccion Anomalias", "anomaly_detection")
-                             .otherwise("spectral_classification")).withColumnRenamed("modelo", "model")
-    return table, R.recommendations(keyed)
+def run_comparison(spark: SparkSession, classical_path: str, network_path: str) -> tuple[DataFrame, DataFrame]:
+    """Comparison table and per-task recommendations from the saved result documents.
+
+    An absent or corrupt document leaves its rows out.
+    """
+    rows = R.union_by_name(R.classical_rows(IO.read_result_json(spark, classical_path, SC.CLASSICAL_RESULTS)),
+                           R.network_rows(IO.read_result_json(spark, network_path, SC.NETWORK_RESULTS)))
+    return R.comparison_table(rows), R.recommendations(rows)
 
 
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str, light: bool = False) -> dict:
@@ -183,7 +171,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, light: bool = False)
     def comparison():
         _write_doc(spark, state["ml"], f"{out_dir}/ml_results")
         _write_doc(spark, state["dl"], f"{out_dir}/dl_results")
-        table, recs = run_comparison(spark, state["ml"], state["dl"])
+        table, recs = run_comparison(spark, f"{out_dir}/ml_results", f"{out_dir}/dl_results")
         table.write.mode("overwrite").json(f"{out_dir}/comparison_table")
         recs.write.mode("overwrite").json(f"{out_dir}/recommendations")
 
