@@ -71,8 +71,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read back.
 
     Cuts the lineage, survives lost executors, keeps column pruning and gives
-    the planner the table's true size.
+    the planner the table's true size.  Zstandard keeps texts about a third
+    smaller than the default codec at little cost.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
