@@ -1,4 +1,4 @@
-"""Helpers shared by the corpus operators: words, row keys, written tables, global ranks, bitmaps.
+"""Helpers shared by the corpus operators: words, row keys, bitmaps (and the written tables and ranks they build on).
 
 Conventions that every operator of this package follows:
 
@@ -15,7 +15,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.session import scratch_path
+from astroframe.operators.ordering import in_order, with_rank
+from astroframe.session import drop_at_end, scratch_path, stored
+
+__all__ = ["SPACE", "drop_at_end", "bitmap", "content_key", "in_bitmap", "in_order", "scratch_path", "shuffle_parts", "stored", "with_rank", "words"]
 
 #: the white space of the word contract: blank, tab, line feed, vertical tab, form feed, return
 SPACE = " \t\n\x0b\x0c\r"
@@ -41,56 +44,10 @@ def content_key(*cols: str | Column) -> list[Column]:
     return [F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit("second"), *parts).alias("k2")]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared checkpoint folder and return the table read back.
-
-    The folder is removed when the application ends.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    drop_at_end(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_at_end(spark: SparkSession, path: str) -> None:
-    """Ask the file system of ``path`` to delete it when the application's JVM ends."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-
-
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def in_order(df: DataFrame, *order: str | Column) -> DataFrame:
-    """Rows range-partitioned and sorted by ``order``, with ``part`` and ``idx`` (place in the partition).
-
-    The last sort key must tell equal rows apart (a row number of the scan does), so that a
-    value which holds a third of all rows is still cut into even slices.
-    """
-    n = shuffle_parts(df.sparkSession)
-    place = F.monotonically_increasing_id()
-    return (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-            .withColumns({"part": F.shiftright(place, 33).cast("int"),
-                          "idx": place.bitwiseAND(F.lit((1 << 33) - 1))}))
-
-
-def with_rank(placed: DataFrame) -> DataFrame:
-    """Adds the gapless global ``rank`` (from 0) to a *stored* result of :func:`in_order`.
-
-    Only one count per partition is gathered; it is bounded by the number of partitions.
-    """
-    sizes = sorted((r["part"], r["n"]) for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect())
-    base, total = [], 0
-    for part, n in sizes:
-        base.append((part, total))
-        total += n
-    offsets = placed.sparkSession.createDataFrame(base, "part int, base long")
-    return (placed.join(F.broadcast(offsets), "part")
-            .withColumn("rank", F.col("base") + F.col("idx")).drop("base", "part", "idx"))
-
-
 #: bounds of the hash bitmaps that are sent to every task (64 KiB to 16 MiB)
 MIN_BITS, MAX_BITS = 19, 27
 
