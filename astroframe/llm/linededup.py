@@ -18,8 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm.common import SPACE, content_key, drop_at_end, shuffle_parts, stored
-from astroframe.session import scratch_path
+from astroframe.llm.common import SPACE, content_key, scratch_path, shuffle_parts, stored
 
 MIN_DOCS = 10
 BATCHES = 4
@@ -71,7 +70,6 @@ class LineRuns:
         name, path = f"line_run_{uuid.uuid4().hex}", scratch_path(self.spark, "run")
         (counts.select("h1", "h2", "n").write.bucketBy(self.buckets, "h1", "h2")
          .sortBy("h1", "h2").option("path", path).saveAsTable(name))
-        drop_at_end(self.spark, path)
         run = self.spark.table(name)
         self.spark.sql(f"DROP TABLE {name}")  # the name only; the run's files and its layout stay known to the plan
         return run
@@ -133,7 +131,6 @@ def dedup_lines(docs: DataFrame, text: str = "text", carry: list[str] | None = N
     lines = line_table(keyed, "_text", ["k1", "k2"], batches)
     path = scratch_path(spark, "lines")
     lines.write.partitionBy("batch").parquet(path)
-    drop_at_end(spark, path)
     lines = spark.read.schema(lines.schema).parquet(path)
 
     runs = LineRuns(spark, min_docs, fanout)
