@@ -93,7 +93,8 @@ def label_codes(df: DataFrame, col: str, out: str = "label") -> DataFrame:
 
 def label_encode(df: DataFrame, col: str, out: str = "label") -> DataFrame:
     """Attach the 0-based alphabetical code of ``col`` (NULL labels get NULL): a join to the written code table."""
-    return df.join(stored(label_codes(df, col, out), "codes"), col, "left").select(*[df[c] for c in df.columns], out)
+    codes = stored(label_codes(df, col, out), "codes")
+    return df.join(codes, col, "left").select(*[df[c] for c in df.columns if c != out], codes[out])
 
 
 def argmax_label(df: DataFrame, prob_col: str, out: str = "pred") -> DataFrame:
