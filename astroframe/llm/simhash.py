@@ -178,4 +178,5 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h", "row"))
     chosen = rows.select("id", "fp", "h", "row").join(of, "fp").groupBy("root").agg(first.alias("first"))
     chosen = stored(chosen.select(F.col("first.row").alias("row")), "chosen")
-    return rows.join(chosen, "row", "left_semi").select("doc.*")
+    # most rows are chosen, so the list grows with the table: merge at every size, never a broadcast
+    return rows.join(chosen.hint("merge"), "row", "left_semi").select("doc.*")
