@@ -5,9 +5,10 @@ index lines; the runs are cut at common splitters of (URL key, timestamp) and ea
 merged from its runs by a loser tree, which yields globally ordered capture histories.
 
 Archives are written by Spark's text sink: a record's value is its header and payload, and the line
-separator is the blank lines that end a record.  So a failed or repeated task leaves no half file,
-any file system Spark knows will do, and files are bounded by ``records_per_file``.  They are
-read back whole through the ``binaryFile`` source.
+separator is the blank lines that end a record; gzip compresses each file as a whole.  So a failed
+or repeated task leaves no half file, any file system Spark knows will do, and files are bounded by
+``records_per_file``.  They are read back whole through the ``binaryFile`` source; offsets count
+uncompressed bytes.
 
 Defined cases: a null payload is empty; equal payloads are told apart by length and SHA-1; of equal
 payloads of at least ``min_bytes`` bytes the record with the largest id is the response and
@@ -18,6 +19,7 @@ other, a null URL has the empty URL key; an empty table gives no archive and an
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -28,8 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm.common import drop_at_end, shuffle_parts
-from astroframe.session import scratch_path
+from astroframe.llm.common import scratch_path, shuffle_parts
 
 RECORD_END = "\r\n\r\n"
 RECORDS_PER_FILE = 2000
@@ -101,7 +102,7 @@ def write_archive(captures: DataFrame, path: str, min_bytes: int = 0, records_pe
             ("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<urn:page:"), F.col("response_id").cast("string"), F.lit(">")))),
             ("Content-Type", F.lit("text/html;charset=utf-8")), ("Content-Length", F.octet_length(body))]
     (rows.select(record(head, body).alias("value")).write.option("lineSep", RECORD_END)
-     .option("maxRecordsPerFile", records_per_file).text(path))
+     .option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path))
 
 
 def records(raw: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -134,7 +135,7 @@ def index_runs(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for file, raw in zip(batch["path"], batch["content"]):
                 lines = []
-                for offset, length, head, body in records(bytes(raw)):
+                for offset, length, head, body in records(gzip.decompress(raw)):
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     if head["WARC-Type"] == "response" and digest != base64.b32encode(hashlib.sha1(body).digest()).decode():
                         raise ValueError(f"{file}: payload at byte {offset} does not match its digest")
@@ -235,6 +236,5 @@ def archive_and_index(pages: DataFrame, page_id: str = "page_id", url: str = "ur
     spark = pages.sparkSession
     if path is None:
         path = scratch_path(spark, "warc")
-        drop_at_end(spark, path)
     write_archive(pages.select(F.col(page_id).alias("id"), F.col(url).alias("url"), F.col(html).alias("payload")), path, min_bytes)
     return merged_index(index_runs(spark, path))
