@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from astroframe.operators.ordering import in_order, with_rank
-from astroframe.session import drop_at_end, scratch_path, stored
+from astroframe.session import scratch_path, stored
 
-__all__ = ["SPACE", "drop_at_end", "bitmap", "content_key", "in_bitmap", "in_order", "scratch_path", "shuffle_parts", "stored", "with_rank", "words"]
+__all__ = ["SPACE", "bitmap", "content_key", "in_bitmap", "in_order", "scratch_path", "shuffle_parts", "stored", "with_rank", "words"]
 
 #: the white space of the word contract: blank, tab, line feed, vertical tab, form feed, return
 SPACE = " \t\n\x0b\x0c\r"
