@@ -66,13 +66,13 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 
     Only (source, size, hash) rows are shuffled: they are ranged by source and hash, so a
     source with a third of all rows is spread over a third of the tasks.  What comes back is
-    one cut point per source, which each document compares with its own hash.
+    one cut point per source, which each document compares with its own hash.  Equal rows
+    that lie across a cut are written and ranked, to take just as many of them as it asks for.
     """
     cols = docs.columns if carry is None else carry
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("doc"), F.col(source).alias("source"),
-                       F.size(words(text)).cast("long").alias("size"), mix_key(doc_id, text, seed).alias("h"),
-                       F.monotonically_increasing_id().alias("row"))
-    keys = stored(rows.drop("doc"), "mix_keys")
+                       F.size(words(text)).cast("long").alias("size"), mix_key(doc_id, text, seed).alias("h"))
+    keys = stored(rows.drop("doc").withColumn("row", F.monotonically_increasing_id()), "mix_keys")
     sizes = keys.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -89,16 +89,29 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     run = placed.withColumn("before", before)
     run = run.join(stored(parts, "mix_parts"), (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s"))).drop("p", "s")
     want = targets.select(F.col("source").alias("s"), "want")
-    taken = run.join(want, F.col("source").eqNullSafe(F.col("s"))).where(
-        2 * (F.col("before") + F.col("base")) + F.col("size") <= 2 * F.col("want"))
-    cuts = taken.groupBy("source").agg(F.max(F.struct("h", "row")).alias("cut"))
-    cuts = targets.join(cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    cuts = stored(cuts.withColumnRenamed("source", "of"), "mix_cuts")
+    run = run.join(want, F.col("source").eqNullSafe(F.col("s")))
+    run = run.withColumn("in", 2 * (F.col("before") + F.col("base")) + F.col("size") <= 2 * F.col("want")).select("source", "h", "in")
+    cuts = run.groupBy(F.col("source").alias("s")).agg(F.max(F.when(F.col("in"), F.col("h"))).alias("last"),
+                                                      F.min(F.when(~F.col("in"), F.col("h"))).alias("out"))
+    cuts = targets.join(cuts, F.col("source").eqNullSafe(F.col("s"))).withColumn(
+        "tied", F.coalesce(F.col("last") == F.col("out"), F.lit(False)))
+    cuts = stored(cuts.select(F.col("source").alias("of"), "source_size", "target", "whole", "last", "tied"), "mix_cuts")
 
     out = rows.join(cuts, F.col("source").eqNullSafe(F.col("of")))
-    extra = F.coalesce((F.struct("h", "row") <= F.col("cut")), F.lit(False)).cast("int")
-    out = out.withColumn("copies", F.least(F.col("whole") + extra, F.lit(max_epochs)))
-    return out.select("doc", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    cut_row = F.coalesce(F.col("tied") & (F.col("h") == F.col("last")), F.lit(False))
+    result = out.where(~cut_row).withColumn("extra", F.coalesce(F.col("h") <= F.col("last"), F.lit(False)).cast("int"))
+    if not cuts.where("tied").isEmpty():
+        equal = stored(in_order(out.where(cut_row).withColumn("row", F.monotonically_increasing_id()), "source", "row"), "mix_equal")
+        ranked = with_rank(equal)
+        first = ranked.groupBy(F.col("of").alias("s")).agg(F.min("rank").alias("first"))
+        take = run.join(cuts.where("tied"), F.col("source").eqNullSafe(F.col("of"))).where(F.col("in") & (F.col("h") == F.col("last")))
+        take = take.groupBy(F.col("of").alias("t")).agg(F.count("*").alias("take"))
+        bounds = stored(first.join(take, F.col("s").eqNullSafe(F.col("t"))).drop("t"), "mix_ties")
+        ranked = ranked.join(bounds, F.col("of").eqNullSafe(F.col("s")))
+        extra = (F.col("rank") - F.col("first") < F.col("take")).cast("int")
+        result = result.unionByName(ranked.withColumn("extra", extra).select(*result.columns))
+    result = result.withColumn("copies", F.least(F.col("whole") + F.col("extra"), F.lit(max_epochs)))
+    return result.select("doc", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
