@@ -48,7 +48,7 @@ def letter_words(col: Column) -> Column:
 def word_counts(docs: DataFrame, text: str, lang: str, doc_id: str, per_lang: int) -> DataFrame:
     """(lang, word, n) over a hash sample of at most about ``per_lang`` learnable rows per language."""
     learn = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
-    sizes = learn.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("rows"))
+    sizes = stored(learn.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("rows")), "lang_sizes")
     share = learn.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
                          F.pmod(F.xxhash64(F.lit("fit"), doc_id), F.lit(1_000_000)).alias("h")).join(sizes, "lang")
     sample = share.where(F.col("h") * F.col("rows") < F.lit(1_000_000 * per_lang))
