@@ -44,26 +44,46 @@ NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine te
 seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(.*)", re.S)
 
-LITERAL, NUM, UNIT, NAME = 0, 1, 2, 3
+LITERAL, NUM, UNIT = 0, 1, 2
+NAME_HASH = xxhash.xxh64_intdigest("<name>")
 FLUSH_TOKENS = 200_000
 CACHE = 300_000
 
 
+PUNCTUATION = "!\"#%&'()*+,./:;<=>?@[\\]^_`{|}~-“”‘’«»¿¡…–—"
+
+
 def token(word: str) -> tuple[str, str, int, bool]:
     """(raw, plain, kind, capitalised) of a word; raw is '' for pure punctuation."""
-    core = word.strip("!\"#%&'()*+,./:;<=>?@[\\]^_`{|}~-“”‘’«»¿¡…–—")
+    core = word.strip(PUNCTUATION)
     raw = core.lower()
-    if not raw:
-        return "", "", LITERAL, False
-    number = NUMBER.fullmatch(raw)
-    if number:
-        tail = number[1].strip("%°")
-        return raw, "<num><unit>" if tail in UNITS and tail else "<num>", NUM, False
     if raw in NUMBER_WORDS:
         return raw, "<num>", NUM, False
     if raw in UNITS:
         return raw, "<unit>", UNIT, False
-    return raw, raw, LITERAL, core[0].isupper() and (len(core) == 1 or core[1:] != core[1:].upper() or not core[1:].isalpha())
+    letters = raw.isalpha()
+    if not letters:
+        if not raw:
+            return "", "", LITERAL, False
+        number = NUMBER.fullmatch(raw)
+        if number:
+            tail = number[1].strip("%°")
+            return raw, "<num><unit>" if tail in UNITS else "<num>", NUM, False
+    if core[0] == raw[0] or not core[0].isupper():
+        return raw, raw, LITERAL, False
+    return raw, raw, LITERAL, len(core) == 1 or core[1:] != core[1:].upper() or not core[1:].isalpha()
+
+
+class Forms(dict):
+    """word -> number of its form; a new word is learnt when it is first asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = self.learn(word)
+        return number
 
 
 class Templates:
@@ -74,21 +94,23 @@ class Templates:
         self._clear()
 
     def _clear(self) -> None:
-        self.at: dict[str, int] = {"": 0}
+        self.at = Forms(self._learn)
         self.raw, self.plain, self.named, self.kind, self.cap = [0], [0], [0], [0], [False]
         self.words = [""]
 
     def _learn(self, word: str) -> int:
         raw, plain, kind, cap = token(word)
         if not raw:
-            self.at[word] = 0
             return 0
-        hashed = [xxhash.xxh64_intdigest(x) for x in (raw, plain, "<name>" if cap and kind == LITERAL else plain)]
-        for column, value in zip((self.raw, self.plain, self.named, self.kind, self.cap), (*hashed, kind, cap and kind == LITERAL)):
-            column.append(value)
+        h = xxhash.xxh64_intdigest(raw)
+        p = h if plain == raw else xxhash.xxh64_intdigest(plain)
+        self.raw.append(h)
+        self.plain.append(p)
+        self.named.append(NAME_HASH if cap else p)
+        self.kind.append(kind)
+        self.cap.append(cap)
         self.words.append(raw)
-        self.at[word] = len(self.words) - 1
-        return self.at[word]
+        return len(self.words) - 1
 
     def windows(self, texts: list[str | None], lengths: list[int]) -> Iterator[tuple[int, np.ndarray, dict]]:
         """For each window length: (length, token offset of each text, arrays of all windows of the texts).
@@ -96,17 +118,19 @@ class Templates:
         The arrays hold, for windows that lie in one text: ``start`` (token), ``doc`` and, per form,
         the window's hash and whether it counts.
         """
-        if len(self.words) > CACHE:
+        if len(self.at) > CACHE:
             self._clear()
-        learnt, learn = self.at, self._learn
+        number = self.at.__getitem__
         ids, sizes = [], []
         for text in texts:
-            own = [x for x in [learnt[w] if w in learnt else learn(w) for w in (text or "").split()] if x]
-            ids += own
-            sizes.append(len(own))
-        self.ids = idx = np.asarray(ids, dtype=np.int64)
-        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        doc = np.repeat(np.arange(len(texts)), sizes)
+            before = len(ids)
+            ids.extend(map(number, (text or "").split()))
+            sizes.append(len(ids) - before)
+        idx = np.fromiter(ids, dtype=np.int64, count=len(ids))
+        real = idx != 0
+        doc = np.repeat(np.arange(len(texts)), sizes)[real]
+        self.ids = idx = idx[real]
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)), dtype=np.int64)])
         table = [np.asarray(x, dtype=np.uint64)[idx] for x in (self.raw, self.plain, self.named)]
         slot = np.asarray(self.kind, dtype=np.int8)[idx] != LITERAL
         cap = np.asarray(self.cap, dtype=bool)[idx]
