@@ -183,7 +183,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         twice = stored(single.groupBy("core2", "w").agg(F.sum("n").alias("m")).where("m >= 2").select("core2", "w"), "repeated")
         single = single.join(twice, ["core2", "w"], "left_semi").select(*cid, F.col("o").alias("i"), F.col("o").alias("j"))
         found = kids.where(~F.col("mixed")).select(*cid, "i", "j").unionByName(single)
-        found = found.groupBy(*cid).agg(F.collect_list(F.struct("i", "j")).alias("r"))
+        # written first, so that the join below can split a phrase that very many documents share
+        found = stored(found.groupBy(*cid).agg(F.collect_list(F.struct("i", "j")).alias("r")), "ranges")
         parts = live.where("mixed").join(found, cid).select("k1", "k2", "at", F.explode("r").alias("r"))
         whole = whole.unionByName(parts.select("k1", "k2", "at", F.col("r.i").alias("lo"), F.col("r.j").alias("hi")))
     spans = whole.select("k1", "k2", F.explode("at").alias("a"), "lo", "hi")
