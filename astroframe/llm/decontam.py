@@ -8,9 +8,14 @@ each value of the item stands for one value of the document throughout (so a re-
 question is caught, while unrelated text of the same shape is not).
 
 Two forms are matched: ``plain`` keeps names as words (so a copy in other letter case is found)
-and ``named`` turns capitalised words into placeholders.  Windows with too few literal words say
-nothing as templates: in the plain form they count with their values, in the named form they
-do not count.
+and ``named`` turns capitalised words into placeholders.  Cover counts all windows of the item in
+either form.  A window with fewer than ``MIN_LITERALS`` literal words says nothing alone: it matches as
+a template together with the nearest literal words around it, and in the plain form also with its values.
+
+Besides its windows a match needs proof: literal words (or equal values) at places of the item, 0.8 of its
+literal words and, up to six, half of its literal words and names.  A capital that opens a sentence is
+no name by itself: function words never are, and other openers only if the item has them as names
+elsewhere, or if the whole item agrees.
 
 Defined cases: null, empty or blank texts and items match nothing; an item shorter than the
 window is one window of its own length; equal rows get equal verdicts; a null doc_id or item_id
@@ -35,6 +40,8 @@ WINDOW = 5
 MIN_COVER = 0.8
 #: a window of template tokens must have this many literal words (or all of a shorter window but two)
 MIN_LITERALS = 3
+#: names may outnumber literal words when this many places of the item are proven
+MIN_PROOF = 6
 #: fixed values: units of measure and currency that become a placeholder
 UNITS = frozenset("""mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer
 kilometers kilometre kilometres mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons ml l liter
@@ -42,10 +49,19 @@ liters litre litres gallon gallons ms s sec second seconds min minute minutes h
 year years dollar dollars euro euros cent cents percent usd eur mph kmh degrees""".split())
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen
 seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
+#: fixed values: words that are no names when a sentence opens with them
+COMMON = frozenset("""a about above according after all also although among an and another any are as assume at be because been
+before being below between both but by calculate can choose complete compute consider convert could define describe determine did
+do does during each either estimate evaluate every explain express factor few fill find for from give given had has have he hence
+her here his how however i identify if in into is it its let list many may might more most much must my name neither no not now of
+on once one only or other our over select she should show simplify since so solve some state such suppose than that the their them
+then there therefore these they this those though through thus to true under until up use using was we were what when where whether
+which while who whom whose why will with without would write you your""".split())
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(.*)", re.S)
 
-LITERAL, NUM, UNIT = 0, 1, 2
+LITERAL, NUM, UNIT, NAME, OPENER = 0, 1, 2, 3, 4
 NAME_HASH = xxhash.xxh64_intdigest("<name>")
+BASE = 0x9E3779B97F4A7C15
 FLUSH_TOKENS = 200_000
 CACHE = 300_000
 
@@ -69,7 +85,7 @@ def token(word: str) -> tuple[str, str, int, bool]:
         if number:
             tail = number[1].strip("%°")
             return raw, "<num><unit>" if tail in UNITS else "<num>", NUM, False
-    if core[0] == raw[0] or not core[0].isupper():
+    if core[0] == raw[0] or not core[0].isupper() or raw in COMMON:
         return raw, raw, LITERAL, False
     return raw, raw, LITERAL, len(core) == 1 or core[1:] != core[1:].upper() or not core[1:].isalpha()
 
@@ -86,6 +102,58 @@ class Forms(dict):
         return number
 
 
+def powers(n: int, cache: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006 - kept between calls
+    """B**i and B**-i modulo 2**64 for i below n (at least)."""
+    if cache.get("n", 0) < n:
+        cache["n"] = size = max(n, FLUSH_TOKENS * 2)
+        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
+            steps = np.full(size, base, dtype=np.uint64)
+            steps[0] = 1
+            cache[name] = np.multiply.accumulate(steps)
+    return cache["up"], cache["down"]
+
+
+class Form:
+    """Texts in one form: hashes of any range of tokens, and windows widened to enough literal words."""
+
+    def __init__(self, tokens: np.ndarray, literal: np.ndarray, doc: np.ndarray, seed: int):
+        up, self.down = powers(len(tokens) + 1)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tokens * up[:len(tokens)], dtype=np.uint64)])
+        self.before = np.concatenate([[0], np.cumsum(literal)])
+        self.at, self.doc, self.seed = np.nonzero(literal)[0], doc, seed
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (self.sums[end] - self.sums[start]) * self.down[start] + np.uint64(self.seed) + (end - start).astype(np.uint64) * np.uint64(16)
+        for shift in (32, 29):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(32))
+
+    def literals(self, start: np.ndarray, n: int) -> np.ndarray:
+        return self.before[start + n] - self.before[start]
+
+    def widened(self, start: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, hash) of the windows with each choice of the nearest literal words on their left and
+        right that makes up ``MIN_LITERALS``, within the text; a window with enough is hashed as it is."""
+        lack = MIN_LITERALS - np.minimum(MIN_LITERALS, self.literals(start, n))
+        last = len(self.at) - 1
+        for left in range(MIN_LITERALS + 1):
+            p = start[lack >= left] if left else start
+            right = (lack[lack >= left] if left else lack) - left
+            if not left:
+                whole = p[right == 0]
+                yield whole, self.hash(whole, whole + n)
+                p, right = p[right > 0], right[right > 0]
+            low, high = self.before[p] - left, self.before[p + n] + right - 1
+            ok = (low >= 0) & ((high <= last) | (right == 0))
+            p, low, high, right = p[ok], low[ok], high[ok], right[ok]
+            if not len(p):
+                continue
+            first = self.at[low] if left else p
+            end = np.where(right > 0, self.at[np.minimum(high, last)] + 1, p + n)
+            ok = (self.doc[first] == self.doc[p]) & (self.doc[end - 1] == self.doc[p])
+            yield p[ok], self.hash(first[ok], end[ok])
+
+
 class Templates:
     """Window hashes of many texts at once; word forms are cached, bounded by ``CACHE`` words."""
 
@@ -112,12 +180,8 @@ class Templates:
         self.words.append(raw)
         return len(self.words) - 1
 
-    def windows(self, texts: list[str | None], lengths: list[int]) -> Iterator[tuple[int, np.ndarray, dict]]:
-        """For each window length: (length, token offset of each text, arrays of all windows of the texts).
-
-        The arrays hold, for windows that lie in one text: ``start`` (token), ``doc`` and, per form,
-        the window's hash and whether it counts.
-        """
+    def read(self, texts: list[str | None]) -> None:
+        """Tokens of the texts: ``ids``, ``doc``, ``offsets`` and the forms raw, plain and named."""
         if len(self.at) > CACHE:
             self._clear()
         number = self.at.__getitem__
@@ -128,98 +192,218 @@ class Templates:
             sizes.append(len(ids) - before)
         idx = np.fromiter(ids, dtype=np.int64, count=len(ids))
         real = idx != 0
-        doc = np.repeat(np.arange(len(texts)), sizes)[real]
+        self.doc = doc = np.repeat(np.arange(len(texts)), sizes)[real]
         self.ids = idx = idx[real]
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)), dtype=np.int64)])
-        table = [np.asarray(x, dtype=np.uint64)[idx] for x in (self.raw, self.plain, self.named)]
-        slot = np.asarray(self.kind, dtype=np.int8)[idx] != LITERAL
-        cap = np.asarray(self.cap, dtype=bool)[idx]
-        for n in lengths:
-            count = len(idx) - n + 1
-            if count <= 0:
-                continue
-            inside = doc[:count] == doc[n - 1:]
-            start = np.nonzero(inside)[0]
-            hashes = []
-            for form, tokens in enumerate(table):
-                h = np.full(count, 0x9E3779B97F4A7C15 + form * 2 + n * 16 & (1 << 64) - 1, dtype=np.uint64)
-                for j in range(n):
-                    h = (h ^ tokens[j:j + count]) * np.uint64(0xD6E8FEB86659FD93)
-                    h ^= h >> np.uint64(32)
-                hashes.append(h[start])
-            enough = min(MIN_LITERALS, max(1, n - 2))
-
-            def literals(marks):
-                total = np.concatenate([[0], np.cumsum(~marks)])
-                return (total[n:] - total[:-n])[start]
-
-            plain_ok = literals(slot) >= enough
-            named_ok = (literals(slot | cap) >= enough) & (literals(cap) < n)
-            yield n, offsets, {"start": start, "doc": doc[start], "plain": np.where(plain_ok, hashes[1], hashes[0]),
-                               "named": hashes[2], "named_ok": named_ok}
-
-    def slots(self, start: int, n: int, form: str) -> list[str]:
-        """The raw values of a window's placeholders, in order (at fixed places, as windows of equal hash agree)."""
-        out = []
-        for x in self.ids[start:start + n].tolist():
-            if self.kind[x] != LITERAL or form == "named" and self.cap[x]:
-                out.append(self.words[x])
-        return out
+        self.offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)), dtype=np.int64)])
+        raw, plain, named = (np.asarray(x, dtype=np.uint64)[idx] for x in (self.raw, self.plain, self.named))
+        self.kinds = np.asarray(self.kind, dtype=np.int8)[idx]
+        slot = self.kinds != LITERAL
+        self.caps = cap = np.asarray(self.cap, dtype=bool)[idx]
+        self.forms = {"raw": Form(raw, ~slot, doc, 1), "plain": Form(plain, ~slot, doc, 2), "named": Form(named, ~(slot | cap), doc, 3)}
+
+    def starts(self, n: int) -> np.ndarray:
+        """Where windows of n tokens begin."""
+        count = len(self.ids) - n + 1
+        return np.nonzero(self.doc[:count] == self.doc[n - 1:])[0] if count > 0 else np.empty(0, np.int64)
+
+    def windows(self, form: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(start, hash) of the windows in a form: widened to enough literal words, in the plain form also with their values."""
+        n, start = self.window, self.starts(self.window)
+        yield from self.forms[form].widened(start, n)
+        if form == "plain":
+            few = start[self.forms["plain"].literals(start, n) < MIN_LITERALS]
+            yield few, self.forms["raw"].hash(few, few + n)
+
+    def short(self, form: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(start, hash) of the windows that may be a whole item of n tokens, fewer than a window's."""
+        start = self.starts(n)
+        ok = self.forms[form].literals(start, n) >= min(MIN_LITERALS, max(1, n - 2))
+        if form == "named":
+            return start[ok], self.forms["named"].hash(start[ok], start[ok] + n)
+        return start, np.where(ok, self.forms["plain"].hash(start, start + n), self.forms["raw"].hash(start, start + n))
+
+    def slots(self, start: int, n: int, form: str) -> list[int]:
+        """Places of a window's placeholders."""
+        marks = self.kinds[start:start + n] != LITERAL
+        if form == "named":
+            marks = marks | self.caps[start:start + n]
+        return np.nonzero(marks)[0].tolist()
+
+    def values(self, start: int, places: list[int]) -> list[str]:
+        return [self.words[self.ids[start + i]] for i in places]
+
+
+SENTENCE_END = re.compile(r"[.!?:;\u2026][\"')\]\u201d\u2019\u00bb]*$")
+TITLES = frozenset("mr mrs ms dr prof st vs no".split())
+
+
+def openers(text: str) -> list[bool]:
+    """For each token of a text: does it open a sentence or a line?"""
+    out = []
+    for line in (text or "").splitlines():
+        opens = True
+        for word in line.split():
+            raw = token(word)[0]
+            if raw:
+                out.append(opens)
+                opens = False
+            if SENTENCE_END.search(word) and raw not in TITLES and not (len(raw) == 1 and word[0].isupper()):
+                opens = True
+    return out
+
+
+HIT_SCHEMA = "k1 long, k2 long, id long, form string, n int, pos int, wh long, slots array<string>"
+ITEM_SCHEMA = ("i1 long, i2 long, item_id long, form string, n int, ipos int, wh long, islots array<string>, places array<int>, "
+               "kinds array<int>, item_windows int, proof int")
+
+
+def parts(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+    """A batch's rows (k1, k2, id, text) in parts of about ``FLUSH_TOKENS`` tokens."""
+    part, size = [], 0
+    for k1, k2, ident, text in zip(*(batch.column(i) for i in range(4))):
+        part.append((k1.as_py(), k2.as_py(), ident.as_py(), text.as_py()))
+        size += len(part[-1][3] or "")
+        if size >= FLUSH_TOKENS * 5:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
-WINDOW_SCHEMA = "k1 long, k2 long, id long, form string, n int, pos int, wh long, slots array<string>"
+def arrow(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<string>": pa.list_(pa.string()),
+             "array<int>": pa.list_(pa.int32())}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[f for f, _ in fields])
 
 
-def window_rows(df: DataFrame, window: int, lengths: list[int] | None, seen=None) -> DataFrame:
-    """One row per window of the texts (columns k1, k2, id, text): of the given lengths, or of each
-    text's own (the window, or the whole text if shorter).  ``seen``, a broadcast bitmap, drops
-    windows whose hash is surely not among its keys."""
+def item_windows(own: Templates, key: tuple, text: str | None) -> list[tuple]:
+    """The index rows of one item.  A template that comes again is used at its first place only."""
+    own.read([text])
+    size, out = len(own.ids), []
+    if not size:
+        return out
+    opens = openers(text)
+    words = [own.words[i] for i in own.ids]
+    inner = {w for w, cap, first in zip(words, own.caps, opens) if cap and not first}
+    again = {w for w in set(words) if sum(x == w for x in words) > 1 and all(own.caps[i] for i, x in enumerate(words) if x == w)}
+    kinds = [k if k != LITERAL or not cap else OPENER if first and w not in inner | again else NAME
+             for k, cap, first, w in zip(own.kinds.tolist(), own.caps.tolist(), opens, words)]
+    for form in ("plain", "named"):
+        if form == "named" and not own.caps.any():
+            continue
+        n = min(size, own.window)
+        literal = own.forms[form].at
+        firsts: dict[int, int] = {}
+        if size < own.window:
+            start, hashes = own.short(form, size)
+            firsts = {h: s for s, h in zip(start.tolist(), hashes.tolist())}
+            rows = [(s, h) for h, s in firsts.items()]
+        elif len(literal) >= MIN_LITERALS:
+            taken: dict[int, int] = {}
+            for start, hashes in own.forms[form].widened(own.starts(n), n):
+                for s, h in zip(start.tolist(), hashes.tolist()):
+                    taken.setdefault(s, h)
+            for s in sorted(taken):
+                firsts.setdefault(taken[s], s)
+            rows = [(s, h) for h, s in firsts.items()]
+        else:
+            rows = []
+        if form == "plain" and size >= own.window:
+            few = [s for s in (sorted(firsts.values()) if firsts else range(size - n + 1))
+                   if own.forms["plain"].literals(np.array([s]), n)[0] < MIN_LITERALS]
+            exact: dict[int, int] = {}
+            for s, h in zip(few, own.forms["raw"].hash(np.array(few, np.int64), np.array(few, np.int64) + n).tolist()):
+                exact.setdefault(h, s)
+            rows += [(s, h) for h, s in exact.items()]
+        if not rows:
+            continue
+        inside = {s + i for s, _ in rows for i in range(n)}
+        literals = len(inside & set(literal.tolist()))
+        names = sum(kinds[i] >= NAME for i in inside) if form == "named" else 0
+        proof = max(-(-4 * literals // 5), min(MIN_PROOF, -(-(literals + names) // 2)))
+        for s, h in rows:
+            places = own.slots(s, n, form)
+            out.append((*key, form, n, s, h - (1 << 64) if h >> 63 else h, own.values(s, places), [s + i for i in places],
+                        [kinds[s + i] for i in places], len({s for s, _ in rows}), proof))
+    return out
+
+
+def item_rows(items: DataFrame, window: int) -> DataFrame:
+    """The windows of the items (columns k1, k2, id, text), with what a match of the item needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Templates(window)
-        bm = None if seen is None else seen.value
-
-        def flush(part: list[tuple]) -> Iterator[pa.RecordBatch]:
-            out = {c: [] for c in ("k1", "k2", "id", "form", "n", "pos", "wh", "slots")}
-            for n, offsets, w in own.windows([t for *_, t in part], lengths or list(range(1, window + 1))):
-                sizes = np.diff(offsets)
-                fits = np.ones(len(w["start"]), bool) if lengths else np.minimum(sizes, window)[w["doc"]] == n
-                for form in ("plain", "named"):
-                    pick = fits if form == "plain" else fits & w["named_ok"]
-                    if bm is not None:
-                        pick = pick & in_bitmap(bm, w[form])
-                    for i in np.nonzero(pick)[0].tolist():
-                        d, s = int(w["doc"][i]), int(w["start"][i])
-                        k1, k2, ident, _ = part[d]
-                        for c, v in zip(out, (k1, k2, ident, form, n, s - int(offsets[d]),
-                                              int(w[form][i].astype(np.int64)), own.slots(s, n, form))):
-                            out[c].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["k1"], pa.int64()), pa.array(out["k2"], pa.int64()), pa.array(out["id"], pa.int64()),
-                 pa.array(out["form"], pa.string()), pa.array(out["n"], pa.int32()), pa.array(out["pos"], pa.int32()),
-                 pa.array(out["wh"], pa.int64()), pa.array(out["slots"], pa.list_(pa.string()))], names=list(out))
-
         for batch in batches:
-            part, size = [], 0
-            for k1, k2, ident, text in zip(*(batch.column(i) for i in range(4))):
-                part.append((k1.as_py(), k2.as_py(), ident.as_py(), text.as_py()))
-                size += len(part[-1][3] or "")
-                if size >= FLUSH_TOKENS * 5:
-                    yield from flush(part)
-                    part, size = [], 0
-            if part:
-                yield from flush(part)
+            for part in parts(batch):
+                yield arrow([row for *key, text in part for row in item_windows(own, tuple(key), text)], ITEM_SCHEMA)
 
-    return df.select("k1", "k2", "id", "text").mapInArrow(run, WINDOW_SCHEMA)
+    return items.select("k1", "k2", "id", "text").mapInArrow(run, ITEM_SCHEMA)
 
 
-def covered(hits: list[tuple[int, int, list[str], list[str]]], need: int, reach: int) -> int:
-    """Most item windows that one stretch of the document covers with consistent slots; 0 if fewer than ``need``.
+def window_rows(df: DataFrame, window: int, lengths: list[int], seen) -> DataFrame:
+    """One row per window of the texts (columns k1, k2, id, text), also of the given lengths.
+    ``seen``, a broadcast bitmap, drops windows whose hash is surely not among its keys."""
 
-    ``hits`` are (document place, item place, item slots, document slots).  A stretch holds hits
-    whose shift (document minus item place) stays within ``reach`` of the stretch's first, so a
-    few inserted or dropped words don't split it.  Windows whose values contradict the stretch's
-    usual pairing (either way) don't count.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Templates(window)
+        bm = seen.value
+
+        def rows(part: list[tuple]) -> Iterator[tuple]:
+            own.read([t for *_, t in part])
+            for form in ("plain", "named"):
+                sets = [(window, *found) for found in own.windows(form)]
+                sets += [(n, *own.short(form, n)) for n in lengths if n < window]
+                for n, start, hashes in sets:
+                    pick = in_bitmap(bm, hashes)
+                    for s, h in zip(start[pick].tolist(), hashes[pick].astype(np.int64).tolist()):
+                        d = int(own.doc[s])
+                        yield (*part[d][:3], form, n, s - int(own.offsets[d]), h, own.values(s, own.slots(s, n, form)))
+
+        for batch in batches:
+            for part in parts(batch):
+                yield arrow(list(rows(part)), HIT_SCHEMA)
+
+    return df.select("k1", "k2", "id", "text").mapInArrow(run, HIT_SCHEMA)
+
+
+def consistent(part: list[tuple], strict: bool = True) -> list[tuple]:
+    """The hits of a stretch whose values don't contradict its usual pairing (either way); if ``strict``, a word that
+    only opens a sentence must stay as it is."""
+    votes: dict[str, dict[str, int]] = {}
+    for _, _, theirs, ours, *_ in part:
+        for a, b in zip(theirs, ours):
+            row = votes.setdefault(a, {})
+            row[b] = row.get(b, 0) + 1
+    usual = {a: max(sorted(row), key=row.get) for a, row in votes.items()}
+    taken: dict[str, str] = {}
+    for a in sorted(usual, key=lambda a: (-max(votes[a].values()), a)):
+        if taken.setdefault(usual[a], a) != a:
+            usual[a] = None
+    return [h for h in part if all(usual[a] == b for a, b in zip(h[2], h[3]))
+            and not (strict and len(h) > 4 and any(k == OPENER and a != b for a, b, k in zip(h[2], h[3], h[5])))]
+
+
+def proven(hits: list[tuple]) -> int:
+    """Places of the item that hold a literal word, or the same value in the document."""
+    out = set()
+    for _, at, theirs, ours, *more in hits:
+        if more:
+            places, _, n = more
+            out.update(set(range(at, at + n)) - {p for p, a, b in zip(places, theirs, ours) if a != b})
+    return len(out)
+
+
+def covered(hits: list[tuple], need: int, reach: int, proof: int = 0, windows: int = 0) -> int:
+    """Most item windows that one stretch of the document covers with consistent slots; 0 if fewer than ``need``
+    or if fewer than ``proof`` places of the item are proven.
+
+    ``hits`` are (document place, item place, item slots, document slots), and where names are told apart
+    or proof is needed also (slot places, slot kinds, length).  A stretch holds hits whose shift (document
+    minus item place) stays within ``reach`` of the stretch's first, so a few inserted or dropped words
+    don't split it.  Windows whose values contradict the stretch's usual pairing (either way) don't
+    count.  All ``windows`` of the item at one shift may differ in words that open a sentence.
     """
     ordered = sorted(hits, key=lambda h: (h[0] - h[1], h[0]))
     best, lo = 0, 0
@@ -228,23 +412,15 @@ def covered(hits: list[tuple[int, int, list[str], list[str]]], need: int, reach:
         hi = lo
         while hi < len(ordered) and shifts[hi] <= shifts[lo] + reach:
             hi += 1
-        part = ordered[lo:hi]
-        if len({h[1] for h in part}) >= need:
-            votes: dict[str, dict[str, int]] = {}
-            for _, _, theirs, ours in part:
-                for a, b in zip(theirs, ours):
-                    row = votes.setdefault(a, {})
-                    row[b] = row.get(b, 0) + 1
-            usual = {a: max(sorted(row), key=row.get) for a, row in votes.items()}
-            taken: dict[str, str] = {}
-            for a in sorted(usual, key=lambda a: (-max(votes[a].values()), a)):
-                if taken.setdefault(usual[a], a) != a:
-                    usual[a] = None
-            good = {h[1] for h in part if all(usual[a] == b for a, b in zip(h[2], h[3]))}
-            best = max(best, len(good))
         step = next((i for i in range(lo, hi) if shifts[i] > shifts[lo]), hi)
+        for part, strict, enough in ((ordered[lo:hi], True, need), (ordered[lo:step], False, max(need, windows))):
+            if (strict or windows) and len({h[1] for h in part}) >= enough:
+                good = consistent(part, strict)
+                count = len({h[1] for h in good})
+                if count >= enough and proven(good) >= proof:
+                    best = max(best, count)
         lo = step
-    return best if best >= need else 0
+    return best
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -258,14 +434,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     """
     spark = docs.sparkSession
     items = benchmark.select(*content_key(item_id, item_text), F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
-    index = stored(window_rows(items.dropDuplicates(["k1", "k2"]), window, None), "item_windows")
-    index = (index.groupBy("k1", "k2", "id", "form", "n", "wh").agg(F.min(F.struct("pos", "slots")).alias("first")))
-    whole = index.groupBy("k1", "k2", "form").agg(F.count("*").cast("int").alias("item_windows")).withColumnsRenamed(
-        {"k1": "i1", "k2": "i2", "form": "f"})
-    index = index.select(F.col("k1").alias("i1"), F.col("k2").alias("i2"), F.col("id").alias("item_id"), "form", "n", "wh",
-                         F.col("first.pos").alias("ipos"), F.col("first.slots").alias("islots"))
-    index = stored(index.join(whole, (F.col("form") == F.col("f")) & (index["i1"] == whole["i1"]) & (index["i2"] == whole["i2"]))
-                   .select(index["i1"], index["i2"], "item_id", "form", "n", "wh", "ipos", "islots", "item_windows"), "item_index")
+    index = stored(item_rows(items.dropDuplicates(["k1", "k2"]), window), "item_index")
     stats = index.agg(F.count("*").alias("n"), F.collect_set("n").alias("lengths")).first()
     lengths = sorted(stats["lengths"]) or [window]
     seen = spark.sparkContext.broadcast(bitmap(index, "wh", stats["n"]))
@@ -273,17 +442,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     rows = docs.select(*content_key(doc_id, text), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     hits = window_rows(rows, window, lengths, seen)
     hits = hits.join(index, ["form", "n", "wh"])
-    hits = hits.groupBy("k1", "k2", "id", "i1", "i2", "item_id", "form", "item_windows").agg(
-        F.collect_set(F.struct("pos", "ipos", "islots", "slots")).alias("hits"))
+    hits = hits.groupBy("k1", "k2", "id", "i1", "i2", "item_id", "form", "item_windows", "proof").agg(
+        F.collect_set(F.struct("pos", "ipos", "islots", "slots", "places", "kinds", "n")).alias("hits"))
     need = F.ceil(F.col("item_windows") * F.lit(min_cover)).cast("int")
     hits = hits.withColumn("need", need).where(F.size(F.array_distinct(F.transform("hits", lambda h: h["ipos"]))) >= F.col("need"))
 
     @F.pandas_udf("int")
-    def verified(found: pd.Series, needs: pd.Series) -> pd.Series:
-        return pd.Series([covered([(h["pos"], h["ipos"], list(h["islots"]), list(h["slots"])) for h in hs], int(n), 2 * window)
-                          for hs, n in zip(found, needs)], dtype="int32")
+    def verified(found: pd.Series, needs: pd.Series, proofs: pd.Series, totals: pd.Series) -> pd.Series:
+        return pd.Series([covered([(h["pos"], h["ipos"], list(h["islots"]), list(h["slots"]), list(h["places"]), list(h["kinds"]), h["n"])
+                                   for h in hs], int(n), 2 * window, int(p), int(w))
+                          for hs, n, p, w in zip(found, needs, proofs, totals)], dtype="int32")
 
-    out = hits.withColumn("windows", verified("hits", "need")).where(F.col("windows") > 0)
+    out = hits.withColumn("windows", verified("hits", "need", "proof", "item_windows")).where(F.col("windows") > 0)
     best = F.max(F.struct("windows", "form", "item_windows"))
     out = out.groupBy("k1", "k2", F.col("id").alias("doc_id"), "i1", "i2", "item_id").agg(best.alias("b"))
     return out.select("k1", "k2", "doc_id", "item_id", "b.windows", "b.item_windows", "b.form")

@@ -111,3 +111,20 @@ def test_defined_cases(spark, make_docs):
     nothing = spark.createDataFrame([], ITEMS)
     assert found(table, nothing) == set() == found(make_docs([]), bench)
     assert decontam.clean_documents(table, nothing).count() == 7
+
+
+def test_clean_documents_of_a_questions_shape_stay(spark, make_docs):
+    items = [(1, "What is the capital of France?"), (2, "Barack Obama met Angela Merkel in Berlin"),
+             (3, "The Battle of Hastings in England was won by William of Normandy over King Harold Godwinson of Wessex"),
+             (4, "Name the longest river in Africa.")]
+    bench = spark.createDataFrame(items, ITEMS)
+    docs = [(1, "Bern is the capital of Switzerland"), (2, "Emmanuel Macron met Olaf Scholz in Paris"),
+            (3, "The House of Windsor in Britain was visited by Charles of Wales"), (4, "Cross the longest river in Asia."),
+            (5, "Today we ask: what is the capital of France?"), (6, "We saw how Barack Obama met Angela Merkel in Berlin.")]
+    assert found(make_docs(docs), bench) == {(5, 1), (6, 2)}
+
+
+def test_a_name_that_opens_sentences_is_still_a_name(spark, make_docs):
+    text = "Tom has 3 red apples and 4 green pears. Tom eats 2 apples and gives the rest to his best friend from school."
+    bench = spark.createDataFrame([(1, text)], ITEMS)
+    assert found(make_docs([(1, text.replace("Tom", "Kevin"))]), bench) == {(1, 1)}
