@@ -4,8 +4,9 @@ Method: words become template tokens: numbers, units and names turn into typed p
 rest is lower-cased without its outer punctuation.  Windows of template tokens of the benchmark
 are hash-joined with those of the documents.  A document is contaminated by an item when the
 windows that line up cover enough of the item *and* the placeholders are filled consistently:
-each value of the item stands for one value of the document throughout (so a re-parameterised
-question is caught, while unrelated text of the same shape is not).
+each number or unit has one value at its place, whatever other places hold, and each name of the item
+stands for one name of the document throughout (so a re-parameterised question is caught, while
+unrelated text of the same shape is not).
 
 Two forms are matched: ``plain`` keeps names as words (so a copy in other letter case is found)
 and ``named`` turns capitalised words into placeholders.  Cover counts all windows of the item in
@@ -368,20 +369,28 @@ def window_rows(df: DataFrame, window: int, lengths: list[int], seen) -> DataFra
     return df.select("k1", "k2", "id", "text").mapInArrow(run, HIT_SCHEMA)
 
 
+def slot_keys(hit: tuple) -> list[str | int]:
+    """What must keep one value along a stretch: a name by its word, a number or unit by its place in the item."""
+    if len(hit) == 4:
+        return hit[2]
+    return [a if k >= NAME else p for a, p, k in zip(hit[2], hit[4], hit[5])]
+
+
 def consistent(part: list[tuple], strict: bool = True) -> list[tuple]:
-    """The hits of a stretch whose values don't contradict its usual pairing (either way); if ``strict``, a word that
-    only opens a sentence must stay as it is."""
-    votes: dict[str, dict[str, int]] = {}
-    for _, _, theirs, ours, *_ in part:
-        for a, b in zip(theirs, ours):
+    """The hits of a stretch whose values don't contradict its usual pairing: a place of a number or unit has one value
+    (places may share it), and names pair one to one.  If ``strict``, a word that only opens a sentence must stay as it is."""
+    keys = [slot_keys(h) for h in part]
+    votes: dict[str | int, dict[str, int]] = {}
+    for own, h in zip(keys, part):
+        for a, b in zip(own, h[3]):
             row = votes.setdefault(a, {})
             row[b] = row.get(b, 0) + 1
     usual = {a: max(sorted(row), key=row.get) for a, row in votes.items()}
     taken: dict[str, str] = {}
-    for a in sorted(usual, key=lambda a: (-max(votes[a].values()), a)):
+    for a in sorted((a for a in usual if isinstance(a, str)), key=lambda a: (-max(votes[a].values()), a)):
         if taken.setdefault(usual[a], a) != a:
             usual[a] = None
-    return [h for h in part if all(usual[a] == b for a, b in zip(h[2], h[3]))
+    return [h for own, h in zip(keys, part) if all(usual[a] == b for a, b in zip(own, h[3]))
             and not (strict and len(h) > 4 and any(k == OPENER and a != b for a, b, k in zip(h[2], h[3], h[5])))]
 
 
@@ -402,8 +411,7 @@ def covered(hits: list[tuple], need: int, reach: int, proof: int = 0, windows: i
     ``hits`` are (document place, item place, item slots, document slots), and where names are told apart
     or proof is needed also (slot places, slot kinds, length).  A stretch holds hits whose shift (document
     minus item place) stays within ``reach`` of the stretch's first, so a few inserted or dropped words
-    don't split it.  Windows whose values contradict the stretch's usual pairing (either way) don't
-    count.  All ``windows`` of the item at one shift may differ in words that open a sentence.
+    don't split it.  Windows whose values contradict the stretch's usual pairing don't count.  All ``windows`` of the item at one shift may differ in words that open a sentence.
     """
     ordered = sorted(hits, key=lambda h: (h[0] - h[1], h[0]))
     best, lo = 0, 0

@@ -128,3 +128,14 @@ def test_a_name_that_opens_sentences_is_still_a_name(spark, make_docs):
     text = "Tom has 3 red apples and 4 green pears. Tom eats 2 apples and gives the rest to his best friend from school."
     bench = spark.createDataFrame([(1, text)], ITEMS)
     assert found(make_docs([(1, text.replace("Tom", "Kevin"))]), bench) == {(1, 1)}
+
+
+def test_variants_whose_numbers_coincide(spark, make_docs):
+    text = ("Tom has {} red apples and buys {} more apples at the market then shares them all equally with his {} friends "
+            "after school today")
+    bench = spark.createDataFrame([(1, text.format(3, 4, 2)), (2, "Now " + text.format(2, 5, 2).replace("Tom", "Eve"))], ITEMS)
+    docs = [(1, text.format(6, 5, 5)), (2, "Now " + text.format(7, 8, 9).replace("Tom", "Eve")), (3, text.format(4, 4, 4))]
+    assert {(1, 1), (2, 2), (3, 1)} <= found(make_docs(docs), bench)
+    numbers = lambda *v: [(i, i, ["2"], [x], [i], [decontam.NUM], 1) for i, x in enumerate(v)]
+    assert decontam.covered(numbers("7", "8", "7"), 3, 10) == 3
+    assert decontam.covered([*numbers("7", "8"), (5, 1, ["2"], ["9"], [1], [decontam.NUM], 1)], 2, 10) == 2
