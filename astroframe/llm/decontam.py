@@ -12,6 +12,7 @@ Two forms are matched: ``plain`` keeps names as words (so a copy in other letter
 and ``named`` turns capitalised words into placeholders.  Cover counts all windows of the item in
 either form.  A window with fewer than ``MIN_LITERALS`` literal words says nothing alone: it matches as
 a template together with the nearest literal words around it, and in the plain form also with its values.
+An item with fewer literal words, but one, matches if its whole template agrees.
 
 Besides its windows a match needs proof: literal words (or equal values) at places of the item, 0.8 of its
 literal words and, up to six, half of its literal words and names.  A capital that opens a sentence is
@@ -39,7 +40,7 @@ from astroframe.llm.common import bitmap, content_key, in_bitmap, stored
 
 WINDOW = 5
 MIN_COVER = 0.8
-#: a window of template tokens must have this many literal words (or all of a shorter window but two)
+#: a window of template tokens must have this many literal words, or is widened to have them
 MIN_LITERALS = 3
 #: names may outnumber literal words when this many places of the item are proven
 MIN_PROOF = 6
@@ -48,6 +49,8 @@ UNITS = frozenset("""mm cm m km in ft yd mi inch inches foot feet yard yards mil
 kilometers kilometre kilometres mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons ml l liter
 liters litre litres gallon gallons ms s sec second seconds min minute minutes h hr hour hours day days week weeks month months
 year years dollar dollars euro euros cent cents percent usd eur mph kmh degrees""".split())
+#: a unit only after a number
+INCHES = "in"
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen
 seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
 #: fixed values: words that are no names when a sentence opens with them
@@ -62,6 +65,7 @@ NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(.*)", re.S)
 
 LITERAL, NUM, UNIT, NAME, OPENER = 0, 1, 2, 3, 4
 NAME_HASH = xxhash.xxh64_intdigest("<name>")
+UNIT_HASH = xxhash.xxh64_intdigest("<unit>")
 BASE = 0x9E3779B97F4A7C15
 FLUSH_TOKENS = 200_000
 CACHE = 300_000
@@ -76,7 +80,7 @@ def token(word: str) -> tuple[str, str, int, bool]:
     raw = core.lower()
     if raw in NUMBER_WORDS:
         return raw, "<num>", NUM, False
-    if raw in UNITS:
+    if raw in UNITS and raw != INCHES:
         return raw, "<unit>", UNIT, False
     letters = raw.isalpha()
     if not letters:
@@ -165,6 +169,7 @@ class Templates:
     def _clear(self) -> None:
         self.at = Forms(self._learn)
         self.raw, self.plain, self.named, self.kind, self.cap = [0], [0], [0], [0], [False]
+        self.inch = [False]
         self.words = [""]
 
     def _learn(self, word: str) -> int:
@@ -178,6 +183,7 @@ class Templates:
         self.named.append(NAME_HASH if cap else p)
         self.kind.append(kind)
         self.cap.append(cap)
+        self.inch.append(raw == INCHES)
         self.words.append(raw)
         return len(self.words) - 1
 
@@ -198,6 +204,9 @@ class Templates:
         self.offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)), dtype=np.int64)])
         raw, plain, named = (np.asarray(x, dtype=np.uint64)[idx] for x in (self.raw, self.plain, self.named))
         self.kinds = np.asarray(self.kind, dtype=np.int8)[idx]
+        inch = np.nonzero(np.asarray(self.inch, dtype=bool)[idx[1:]] & (self.kinds[:-1] == NUM) & (doc[1:] == doc[:-1]))[0] + 1
+        self.kinds[inch] = UNIT
+        plain[inch] = named[inch] = UNIT_HASH
         slot = self.kinds != LITERAL
         self.caps = cap = np.asarray(self.cap, dtype=bool)[idx]
         self.forms = {"raw": Form(raw, ~slot, doc, 1), "plain": Form(plain, ~slot, doc, 2), "named": Form(named, ~(slot | cap), doc, 3)}
@@ -215,13 +224,18 @@ class Templates:
             few = start[self.forms["plain"].literals(start, n) < MIN_LITERALS]
             yield few, self.forms["raw"].hash(few, few + n)
 
-    def short(self, form: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(start, hash) of the windows that may be a whole item of n tokens, fewer than a window's."""
+    def whole(self, form: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(start, hash) of the windows that may be a whole item of n tokens, one that is shorter than a window
+        or has few literal words: as a template if there is a literal word, a short one else with its values."""
         start = self.starts(n)
-        ok = self.forms[form].literals(start, n) >= min(MIN_LITERALS, max(1, n - 2))
+        literals = self.forms[form].literals(start, n)
+        if n >= self.window:
+            start = start[(literals > 0) & (literals < MIN_LITERALS)]
+            return start, self.forms[form].hash(start, start + n)
         if form == "named":
-            return start[ok], self.forms["named"].hash(start[ok], start[ok] + n)
-        return start, np.where(ok, self.forms["plain"].hash(start, start + n), self.forms["raw"].hash(start, start + n))
+            start = start[literals > 0]
+            return start, self.forms["named"].hash(start, start + n)
+        return start, np.where(literals > 0, self.forms["plain"].hash(start, start + n), self.forms["raw"].hash(start, start + n))
 
     def slots(self, start: int, n: int, form: str) -> list[int]:
         """Places of a window's placeholders."""
@@ -279,6 +293,11 @@ def arrow(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[f for f, _ in fields])
 
 
+def whole_form(form: str, n: int, window: int) -> str:
+    """Items of few literal words match as a whole, beside their windows with values."""
+    return f"{form} whole" if n >= window else form
+
+
 def item_windows(own: Templates, key: tuple, text: str | None) -> list[tuple]:
     """The index rows of one item.  A template that comes again is used at its first place only."""
     own.read([text])
@@ -294,40 +313,36 @@ def item_windows(own: Templates, key: tuple, text: str | None) -> list[tuple]:
     for form in ("plain", "named"):
         if form == "named" and not own.caps.any():
             continue
-        n = min(size, own.window)
-        literal = own.forms[form].at
-        firsts: dict[int, int] = {}
-        if size < own.window:
-            start, hashes = own.short(form, size)
-            firsts = {h: s for s, h in zip(start.tolist(), hashes.tolist())}
-            rows = [(s, h) for h, s in firsts.items()]
-        elif len(literal) >= MIN_LITERALS:
+        n, literal = own.window, own.forms[form].at
+        rows, short = [], []
+        if size < n or len(literal) < MIN_LITERALS:
+            start, hashes = own.whole(form, size)
+            short = list(zip(start.tolist(), hashes.tolist()))
+        else:
             taken: dict[int, int] = {}
             for start, hashes in own.forms[form].widened(own.starts(n), n):
                 for s, h in zip(start.tolist(), hashes.tolist()):
                     taken.setdefault(s, h)
+            firsts: dict[int, int] = {}
             for s in sorted(taken):
                 firsts.setdefault(taken[s], s)
             rows = [(s, h) for h, s in firsts.items()]
-        else:
-            rows = []
-        if form == "plain" and size >= own.window:
-            few = [s for s in (sorted(firsts.values()) if firsts else range(size - n + 1))
-                   if own.forms["plain"].literals(np.array([s]), n)[0] < MIN_LITERALS]
+        if form == "plain" and size >= n:
+            few = np.array(sorted(s for s, _ in rows) or range(size - n + 1), np.int64)
+            few = few[own.forms["plain"].literals(few, n) < MIN_LITERALS]
             exact: dict[int, int] = {}
-            for s, h in zip(few, own.forms["raw"].hash(np.array(few, np.int64), np.array(few, np.int64) + n).tolist()):
+            for s, h in zip(few.tolist(), own.forms["raw"].hash(few, few + n).tolist()):
                 exact.setdefault(h, s)
             rows += [(s, h) for h, s in exact.items()]
-        if not rows:
-            continue
-        inside = {s + i for s, _ in rows for i in range(n)}
-        literals = len(inside & set(literal.tolist()))
-        names = sum(kinds[i] >= NAME for i in inside) if form == "named" else 0
-        proof = max(-(-4 * literals // 5), min(MIN_PROOF, -(-(literals + names) // 2)))
-        for s, h in rows:
-            places = own.slots(s, n, form)
-            out.append((*key, form, n, s, h - (1 << 64) if h >> 63 else h, own.values(s, places), [s + i for i in places],
-                        [kinds[s + i] for i in places], len({s for s, _ in rows}), proof))
+        for n, label, rows in ((n, form, rows), (size, whole_form(form, size, n), short)):
+            inside = {s + i for s, _ in rows for i in range(n)}
+            literals = len(inside & set(literal.tolist()))
+            names = sum(kinds[i] >= NAME for i in inside) if form == "named" else 0
+            proof = max(-(-4 * literals // 5), min(MIN_PROOF, -(-(literals + names) // 2)))
+            for s, h in rows:
+                places = own.slots(s, n, form)
+                out.append((*key, label, n, s, h - (1 << 64) if h >> 63 else h, own.values(s, places), [s + i for i in places],
+                            [kinds[s + i] for i in places], len({s for s, _ in rows}), proof))
     return out
 
 
@@ -354,13 +369,13 @@ def window_rows(df: DataFrame, window: int, lengths: list[int], seen) -> DataFra
         def rows(part: list[tuple]) -> Iterator[tuple]:
             own.read([t for *_, t in part])
             for form in ("plain", "named"):
-                sets = [(window, *found) for found in own.windows(form)]
-                sets += [(n, *own.short(form, n)) for n in lengths if n < window]
-                for n, start, hashes in sets:
+                sets = [(form, window, *found) for found in own.windows(form)]
+                sets += [(whole_form(form, n, window), n, *own.whole(form, n)) for n in lengths]
+                for label, n, start, hashes in sets:
                     pick = in_bitmap(bm, hashes)
                     for s, h in zip(start[pick].tolist(), hashes[pick].astype(np.int64).tolist()):
                         d = int(own.doc[s])
-                        yield (*part[d][:3], form, n, s - int(own.offsets[d]), h, own.values(s, own.slots(s, n, form)))
+                        yield (*part[d][:3], label, n, s - int(own.offsets[d]), h, own.values(s, own.slots(s, n, form)))
 
         for batch in batches:
             for part in parts(batch):
@@ -443,8 +458,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     spark = docs.sparkSession
     items = benchmark.select(*content_key(item_id, item_text), F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
     index = stored(item_rows(items.dropDuplicates(["k1", "k2"]), window), "item_index")
-    stats = index.agg(F.count("*").alias("n"), F.collect_set("n").alias("lengths")).first()
-    lengths = sorted(stats["lengths"]) or [window]
+    stats = index.agg(F.count("*").alias("n"), F.collect_set(F.when((F.col("n") < window) | F.col("form").endswith("whole"), F.col("n"))).alias("lengths")).first()
+    lengths = sorted(stats["lengths"])
     seen = spark.sparkContext.broadcast(bitmap(index, "wh", stats["n"]))
 
     rows = docs.select(*content_key(doc_id, text), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))

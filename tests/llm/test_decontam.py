@@ -139,3 +139,16 @@ def test_variants_whose_numbers_coincide(spark, make_docs):
     numbers = lambda *v: [(i, i, ["2"], [x], [i], [decontam.NUM], 1) for i, x in enumerate(v)]
     assert decontam.covered(numbers("7", "8", "7"), 3, 10) == 3
     assert decontam.covered([*numbers("7", "8"), (5, 1, ["2"], ["9"], [1], [decontam.NUM], 1)], 2, 10) == 2
+
+
+def test_questions_of_numbers_and_units(spark, make_docs):
+    items = [(1, "Convert 5 km to miles"), (2, "How many cm are in 3 m"), (3, "Calculate 12 + 7 - 3"), (4, "Add 4 lb and 3 oz, in all 2 times."),
+             (5, "Is a plank of 3 in by 4 in in the box?"), (6, "7 8 9 10 11 12")]
+    bench = spark.createDataFrame(items, ITEMS)
+    docs = [(1, "Now convert 12 km to miles please"), (2, "How many mm are in 7 km?"), (3, "So: calculate 15 + 2 - 9 now"),
+            (4, "Add 9 kg and 12 g, in all 5 times."), (5, "Is a plank of 30 cm by 5 cm in the box?"), (6, "see 7 8 9 10 11 12 there"),
+            (7, "Convert 12 km and miles"), (8, "They are in 3 m of snow"), (9, "1 2 3 4 5 6 7 8 9"), (10, "the box by the sea in 4 in")]
+    assert found(make_docs(docs), bench) == {(i, i) for i in range(1, 7)}
+    own = decontam.Templates()
+    own.read(["in 3 in the box in 4", "in five In."])
+    assert own.kinds.tolist() == [0, decontam.NUM, decontam.UNIT, 0, 0, 0, decontam.NUM, 0, decontam.NUM, decontam.UNIT]
