@@ -14,6 +14,8 @@ either form.  A window with fewer than ``MIN_LITERALS`` literal words says nothi
 a template together with the nearest literal words around it, and in the plain form also with its values.
 An item with fewer literal words, but one, matches if its whole template agrees.
 
+A document that holds ``STRETCH`` tokens of an item in a row is a match too, whatever the item's length.
+
 Besides its windows a match needs proof: literal words (or equal values) at places of the item, 0.8 of its
 literal words and, up to six, half of its literal words and names.  A capital that opens a sentence is
 no name by itself: function words never are, and other openers only if the item has them as names
@@ -26,6 +28,7 @@ is carried through; empty tables on either side give no matches.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -40,6 +43,8 @@ from astroframe.llm.common import bitmap, content_key, in_bitmap, stored
 
 WINDOW = 5
 MIN_COVER = 0.8
+#: so many tokens of an item in a row are a match whatever the rest of the item
+STRETCH = 13
 #: a window of template tokens must have this many literal words, or is widened to have them
 MIN_LITERALS = 3
 #: names may outnumber literal words when this many places of the item are proven
@@ -419,9 +424,23 @@ def proven(hits: list[tuple]) -> int:
     return len(out)
 
 
-def covered(hits: list[tuple], need: int, reach: int, proof: int = 0, windows: int = 0) -> int:
+def longest(hits: list[tuple], proof: int) -> int:
+    """Most tokens of the item in a row that windows at one shift cover, with ``proof`` places proven."""
+    best, run, end = 0, [], (0, 0)
+    for h in sorted(hits, key=lambda h: (h[0] - h[1], h[1])):
+        if run and (h[0] - h[1] != end[0] or h[1] > end[1]):
+            run = []
+        end = (h[0] - h[1], max(h[1] + h[6], end[1] if run else 0))
+        run.append(h)
+        if end[1] - run[0][1] > best and proven(run) >= proof:
+            best = end[1] - run[0][1]
+    return best
+
+
+def covered(hits: list[tuple], need: int, reach: int, proof: int = 0, windows: int = 0, stretch: int = 0) -> int:
     """Most item windows that one stretch of the document covers with consistent slots; 0 if fewer than ``need``
-    or if fewer than ``proof`` places of the item are proven.
+    or if fewer than ``proof`` places of the item are proven, unless ``stretch`` tokens of the item are covered in a
+    row at one shift, 0.8 of as many of them proven.
 
     ``hits`` are (document place, item place, item slots, document slots), and where names are told apart
     or proof is needed also (slot places, slot kinds, length).  A stretch holds hits whose shift (document
@@ -442,12 +461,16 @@ def covered(hits: list[tuple], need: int, reach: int, proof: int = 0, windows: i
                 count = len({h[1] for h in good})
                 if count >= enough and proven(good) >= proof:
                     best = max(best, count)
+        if stretch and not best:
+            good = consistent(ordered[lo:hi])
+            if longest(good, math.ceil(MIN_COVER * stretch)) >= stretch:
+                best = len({h[1] for h in good})
         lo = step
     return best
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-            item_text: str = "text", window: int = WINDOW, min_cover: float = MIN_COVER) -> DataFrame:
+            item_text: str = "text", window: int = WINDOW, min_cover: float = MIN_COVER, stretch: int = STRETCH) -> DataFrame:
     """Contaminated documents: one row per document key and item: k1, k2, doc_id, item_id, windows, item_windows, form.
 
     The documents' windows meet a bitmap of the benchmark's hashes first (at most 16 MiB, no
@@ -468,12 +491,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     hits = hits.groupBy("k1", "k2", "id", "i1", "i2", "item_id", "form", "item_windows", "proof").agg(
         F.collect_set(F.struct("pos", "ipos", "islots", "slots", "places", "kinds", "n")).alias("hits"))
     need = F.ceil(F.col("item_windows") * F.lit(min_cover)).cast("int")
-    hits = hits.withColumn("need", need).where(F.size(F.array_distinct(F.transform("hits", lambda h: h["ipos"]))) >= F.col("need"))
+    least = F.least(F.col("need"), F.lit(-(-stretch // window) if stretch else 1 << 30))
+    hits = hits.withColumn("need", need).where(F.size(F.array_distinct(F.transform("hits", lambda h: h["ipos"]))) >= least)
 
     @F.pandas_udf("int")
     def verified(found: pd.Series, needs: pd.Series, proofs: pd.Series, totals: pd.Series) -> pd.Series:
         return pd.Series([covered([(h["pos"], h["ipos"], list(h["islots"]), list(h["slots"]), list(h["places"]), list(h["kinds"]), h["n"])
-                                   for h in hs], int(n), 2 * window, int(p), int(w))
+                                   for h in hs], int(n), 2 * window, int(p), int(w), stretch)
                           for hs, n, p, w in zip(found, needs, proofs, totals)], dtype="int32")
 
     out = hits.withColumn("windows", verified("hits", "need", "proof", "item_windows")).where(F.col("windows") > 0)

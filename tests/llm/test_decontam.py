@@ -152,3 +152,12 @@ def test_questions_of_numbers_and_units(spark, make_docs):
     own = decontam.Templates()
     own.read(["in 3 in the box in 4", "in five In."])
     assert own.kinds.tolist() == [0, decontam.NUM, decontam.UNIT, 0, 0, 0, decontam.NUM, 0, decontam.NUM, decontam.UNIT]
+
+
+def test_a_long_part_of_an_item_is_found(spark, make_docs):
+    text = " ".join(f"w{j}" for j in range(60))
+    bench = spark.createDataFrame([(1, text), (2, QUESTION)], ITEMS)
+    part = lambda a, b: "so " + " ".join(text.split()[a:b]) + " end"
+    docs = [(1, part(10, 50)), (2, part(20, 33)), (3, part(20, 32)), (4, part(0, 10) + " x y z " + part(12, 22)),
+            (5, " ".join(QUESTION.replace("12 dollars", "30 euros").split()[4:20])), (6, "1 2 3 4 5 6 7 8 9 10 11 12 13 14")]
+    assert found(make_docs(docs), bench) == {(1, 1), (2, 1), (5, 2)}
