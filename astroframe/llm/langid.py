@@ -36,6 +36,12 @@ LETTERS = re.compile(r"[^\W\d_]+")
 CACHE = 200_000
 
 
+def letter_runs(text: str) -> list[str]:
+    """Runs of \\p{L}: the pattern also takes numerics that are no decimal digits, such as a superscript two."""
+    found = LETTERS.findall(text)
+    return [w for x in found for w in ([x] if x.isalpha() else "".join(c if c.isalpha() else " " for c in x).split())]
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 3 is 1; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -84,7 +90,7 @@ class Model:
         return got
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        counts = Counter(LETTERS.findall((text or "").lower()))
+        counts = Counter(letter_runs((text or "").lower()))
         if not counts or not self.langs:
             return UNKNOWN, 0.0
         n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
@@ -113,22 +119,28 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     counts = stored(word_counts(docs, text, lang, doc_id, per_lang), "lang_words")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
 
-    def top(df: DataFrame, bound: int) -> pd.DataFrame:
-        """Keys of each language above the count at which more than ``bound`` would be kept."""
+    def top(df: DataFrame, key: str, bound: int) -> pd.DataFrame:
+        """The ``bound`` most frequent keys of each language; of equal counts, the first by their bytes."""
         sizes = df.groupBy("lang", "n").agg(F.count("*").alias("keys"))
         down = Window.partitionBy("lang").orderBy(F.desc("n"))
-        cut = sizes.withColumn("kept", F.sum("keys").over(down)).where(F.col("kept") <= bound)
-        cut = cut.groupBy("lang").agg(F.min("n").alias("cut"))
-        return df.join(cut, "lang").where(F.col("n") >= F.col("cut")).drop("cut").toPandas()
-
-    words = _rows(top(counts, max_words), langs)
+        cut = sizes.withColumn("kept", F.sum("keys").over(down)).withColumn("room", F.lit(bound) - F.col("kept") + F.col("keys"))
+        cut = cut.where(F.col("room") > 0).groupBy("lang").agg(F.min(F.struct("n", "keys", "room")).alias("cut"))
+        found = stored(df.join(cut, "lang").where(F.col("n") >= F.col("cut.n")), "lang_top")
+        crossing = (F.col("n") == F.col("cut.n")) & (F.col("cut.keys") > F.col("cut.room"))
+        # the tied keys of one language, cut to what it has room for, a partition at a time before they meet
+        ties = found.where(crossing).withColumn("part", F.spark_partition_id())
+        for by in (["lang", "part"], ["lang"]):
+            ties = ties.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(key))).where(F.col("place") <= F.col("cut.room"))
+        return found.where(~crossing).select("lang", key, "n").unionByName(ties.select("lang", key, "n")).toPandas()
+
+    words = _rows(top(counts, "word", max_words), langs)
     tables = []
     for n in range(max_n, 0, -1):
         marked = F.concat(F.lit("^"), F.col("word"), F.lit("$")) if n > 1 else F.col("word")
         spots = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - (n - 1))).otherwise(F.array().cast("array<int>"))
         grams = counts.select("lang", "n", F.explode(F.transform(spots, lambda i: F.substring(marked, i, F.lit(n)))).alias("gram"))
         grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        tables.append({"n": n, "rows": _rows(top(grams, max_grams), langs)})
+        tables.append({"n": n, "rows": _rows(top(grams, "gram", max_grams), langs)})
     return Model(langs, words, tables)
 
 

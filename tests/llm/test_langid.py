@@ -64,3 +64,17 @@ def test_defined_cases(make_docs):
     none = langid.train(make_docs([(1, "abc", None)]))
     assert none.langs == [] and none.predict("abc") == ("und", 0.0)
     assert langid.train(make_docs([])).langs == []
+
+
+def test_ties_at_the_bound_keep_exactly_the_bound(make_docs):
+    docs = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} often", "en") for i in range(3000)]
+    model = langid.train(make_docs(docs), max_words=5, max_grams=7)
+    every = sorted(w for i, t, _ in docs if zlib.crc32(str(i).encode()) % 3 != 1 for w in [t.split()[0]])
+    assert sorted(model.words) == sorted(["often", *every[:4]])
+    assert all(len(t["rows"]) == 7 for t in model.grams)
+
+
+def test_numerics_are_no_letters():
+    model = langid.Model(["a", "b"], {"x": np.array([-5, 0], np.float32)}, [])
+    assert model.predict("\u00b2 \u00bd \u2167") == ("und", 0.0)
+    assert langid.letter_runs("x\u00b2y a1b_c \u65e5\u672c") == ["x", "y", "a", "b", "c", "\u65e5\u672c"]
