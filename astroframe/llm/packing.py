@@ -4,7 +4,7 @@ Method: texts are encoded with a public tokenizer's rank file; documents longer
 split into pieces (losslessly: a piece knows its document and first token); the pieces, longest first,
 each go to the open row with the least sufficient room, which a segment tree over the
 capacities finds in log(capacity) steps.  Rows leave as packed id matrices with cumulative
-segment lengths and position resets.
+segment lengths and position resets; ``write_packs`` and ``read_packs`` keep them as Parquet.
 
 Packing runs in groups of about ``group_tokens`` tokens, dealt by a hash, so that it is parallel and
 a task holds a few megabytes of ids; within a group the result is exactly best-fit decreasing.
@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from astroframe.llm.common import stored
@@ -42,6 +42,7 @@ SAFE_CUT = re.compile(r"(?<=\S)(?= [^\W\d_])")
 PIECES = "doc_id long, row long, piece int, first long, n int, ids binary"
 PACKS = ("group int, pack int, n_tokens int, input_ids binary, position_ids binary, cu_seqlens array<int>, "
          "doc_ids array<long>, pieces array<int>, firsts array<long>")
+PACK_COLUMNS = [c.split()[0] for c in PACKS.split(", ")]
 
 
 @lru_cache(maxsize=2)
@@ -168,7 +169,7 @@ def pack_group(pieces: pd.DataFrame, group: int, capacity: int, kind: np.dtype)
         place[:total] = np.concatenate([np.arange(n[i]) for i in members])
         out.append((group, pack, total, line.tobytes(), place.tobytes(), [0, *ends.tolist()],
                     [None if pd.isna(docs[i]) else int(docs[i]) for i in members], [piece[i] for i in members], [first[i] for i in members]))
-    return pd.DataFrame(out, columns=[c.split()[0] for c in PACKS.split(", ")])
+    return pd.DataFrame(out, columns=PACK_COLUMNS)
 
 
 def pack(docs: DataFrame, rank_file: str = TOKENIZER, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -192,6 +193,16 @@ def pack(docs: DataFrame, rank_file: str = TOKENIZER, doc_id: str = "doc_id", te
     return dealt.groupBy("group").applyInPandas(run, PACKS)
 
 
+def write_packs(packs: DataFrame, path: str) -> None:
+    """Writes packed rows (id and position matrices, segment bounds and sources) as Parquet; the path must be new."""
+    packs.select(*PACK_COLUMNS).write.parquet(path)
+
+
+def read_packs(spark: SparkSession, path: str) -> DataFrame:
+    """The packed rows that ``write_packs`` wrote."""
+    return spark.read.schema(PACKS).parquet(path)
+
+
 def unpack(packs: DataFrame, rank_file: str = TOKENIZER) -> DataFrame:
     """The pieces back from packed rows: doc_id, piece, first, ids (array<int>)."""
     with open(rank_file, "rb") as f:

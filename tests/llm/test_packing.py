@@ -80,3 +80,15 @@ def test_defined_cases(make_docs):
     assert own.decode([i for p in sorted(found[4]) for i in p[2]]) == "word " * 30_000
     assert rows(packing.pack(make_docs([]))) == []
     assert rows(packing.pack(make_docs([(1, None), (2, "")]))) == []
+
+
+def test_written_packs_come_back(spark, make_docs):
+    from astroframe.session import scratch_path
+
+    path = scratch_path(spark, "packs")
+    packs = packing.pack(make_docs([(1, "some text here"), (2, "word " * 3000), (None, "no id"), (3, None)]), capacity=256, group_tokens=2000).cache()
+    packing.write_packs(packs, path)
+    back = packing.read_packs(spark, path)
+    assert back.columns == packs.columns and sorted(map(tuple, rows(back)), key=str) == sorted(map(tuple, rows(packs)), key=str)
+    found, own = joined(back), packing.encoder(RANKS)
+    assert own.decode([i for p in sorted(found[2]) for i in p[2]]) == "word " * 3000 and set(found) == {1, 2, None}
