@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm import decontam, langid, linededup, merkle, mixing, packing, quality, sharding, simhash, substrings, warc
+from astroframe.llm import decontam, langid, linededup, merkle, mixing, packing, quality, search, sharding, simhash, substrings, warc
 from astroframe.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +226,26 @@ SELECT *, folded_root = root AS verified FROM out
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = merkle.verified_manifest(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+SQL_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SQL_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{SQL_UPPER}', '{SQL_LOWER}'), '{SQL_TERM}')"
+SQL_SEARCH = f"""
+WITH occurs AS (SELECT rid, doc_id, unnest({SQL_TERMS}) AS t FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)),
+freq AS (SELECT rid, any_value(doc_id) AS doc_id, t, count(*) AS tf FROM occurs GROUP BY rid, t),
+sizes AS (SELECT rid, CAST(sum(tf) AS BIGINT) AS n FROM freq GROUP BY rid),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+asked AS (SELECT DISTINCT iid, item_id, unnest({SQL_TERMS}) AS t FROM (SELECT row_number() OVER () AS iid, item_id, text FROM benchmark)),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT t, count(*) AS df FROM freq WHERE t IN (SELECT t FROM asked) GROUP BY t), total),
+parts AS (SELECT f.*, 50 + (50 * n * docs) // terms AS m FROM freq f JOIN sizes s ON f.rid = s.rid, total),
+scores AS (SELECT iid, item_id, rid, p.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+           FROM asked a JOIN weights w ON a.t = w.t JOIN parts p ON p.t = a.t GROUP BY iid, item_id, rid, p.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+@register("op11_ranked_search", SQL_SEARCH)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
