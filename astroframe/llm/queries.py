@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm import decontam, langid, linededup, merkle, mixing, packing, quality, search, sharding, simhash, substrings, warc
+from astroframe.llm import bpe, decontam, langid, linededup, merkle, mixing, packing, quality, search, sharding, simhash, substrings, warc
 from astroframe.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -249,3 +250,9 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r
 @register("op11_ranked_search", SQL_SEARCH)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@register("op13_bpe_round_trip")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), carry=["doc_id"])
+    return out.select("doc.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
