@@ -12,8 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, MultilayerPerceptronClassifier, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from astroframe.constants import DNN_LAYERS, ML_PARAMS, SVM_MAX_ROWS, VALIDATION_SHARE
+from astroframe.models.boosting import fit_boosted_trees, predict_boosted
 from astroframe.operators.sampling import cap_rows, holdout_split
 
 
@@ -93,13 +93,10 @@ def svm_classify(train: DataFrame, test: DataFrame, id_col: str, cols: Sequence[
 
 
 def boosted_classify(train: DataFrame, test: DataFrame, id_col: str, rounds: int = ML_PARAMS["xgb_n_estimators"],
-                     depth: int = ML_PARAMS["xgb_max_depth"], rate: float = ML_PARAMS["xgb_learning_rate"],
-                     seed: int = 42) -> DataFrame:
-    """Gradient-boosted trees, one-vs-rest over the classes (Spark's GBT is binary)."""
-    gbt = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, labelCol="label",
-                        featuresCol="features")
-    model = OneVsRest(classifier=gbt, labelCol="label", featuresCol="features", parallelism=4).fit(train)
-    return _predictions(model, test, id_col)
+                     depth: int = ML_PARAMS["xgb_max_depth"], rate: float = ML_PARAMS["xgb_learning_rate"]) -> DataFrame:
+    """Gradient-boosted trees over all classes at once (one softmax ensemble; see ``models.boosting``)."""
+    model = fit_boosted_trees(train, rounds, depth, rate)
+    return predict_boosted(model, test).select(id_col, "label", "prediction")
 
 
 def mlp_classify(train: DataFrame, test: DataFrame, id_col: str, n_features: int, n_classes: int,
