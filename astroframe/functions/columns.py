@@ -62,3 +62,11 @@ def rounded(c: str | Column, places: int = 6) -> Column:
     scale = float(10 ** places)
     r = F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale) + F.lit(0.0)
     return F.when(F.abs(x) * F.lit(scale) < float(1 << 52), r).otherwise(x)
+
+
+def fresh_name(df, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -13,14 +13,14 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from astroframe.constants import DNN_LAYERS, ML_PARAMS, SVM_MAX_ROWS, VALIDATION_SHARE
 from astroframe.models.boosting import fit_boosted_trees, predict_boosted
+from astroframe.operators.comoments import comoments, principal_axes
+from astroframe.models.kmeans import fit_kmeans
 from astroframe.operators.sampling import cap_rows, holdout_split
 
 
@@ -127,33 +127,30 @@ def mlp_classify(train: DataFrame, test: DataFrame, id_col: str, n_features: int
 
 
 def pca_project(df: DataFrame, k: int = ML_PARAMS["pca_components"], features: str = "features"):
-    """PCA scores pc1..pck (sign fixed: largest-magnitude loading positive) and explained ratios."""
-    model = PCA(k=k, inputCol=features, outputCol="_pc").fit(df)
-    comp = model.pc.toArray()
-    signs = [1.0 if comp[np.argmax(np.abs(comp[:, j])), j] >= 0 else -1.0 for j in range(k)]
-    arr = vector_to_array(F.col("_pc"))
-    out = model.transform(df).withColumns({f"pc{j + 1}": arr[j] * F.lit(signs[j]) for j in range(k)}).drop("_pc")
-    return out, list(model.explainedVariance.toArray())
+    """PCA scores pc1..pck of the centred features (sign fixed: largest-magnitude loading positive) and explained shares.
+
+    The axes are those of the co-moment matrix, from one pass over the rows; the scores are plain column arithmetic.
+    """
+    arr = vector_to_array(F.col(features))
+    width = df.select(F.size(arr).alias("w")).first()
+    if width is None:
+        raise ValueError("no rows to project")
+    x = [f"x{i}" for i in range(width["w"])]
+    state = comoments(df.select(*[arr[i].alias(c) for i, c in enumerate(x)]), x)
+    axes, shares = principal_axes(state)
+    terms = [[(arr[i] - F.lit(float(state.mean[i]))) * F.lit(float(axes[i, j])) for i in range(len(x))] for j in range(k)]
+    return df.withColumns({f"pc{j + 1}": sum(t[1:], t[0]) for j, t in enumerate(terms)}), [float(v) for v in shares[:k]]
 
 
 def kmeans_cluster(df: DataFrame, k: int = ML_PARAMS["n_clusters"], starts: int = 10, seed: int = 42,
                    features: str = "features", out: str = "cluster"):
-    """k-means with ``starts`` seeded restarts, keeping the lowest training cost.
+    """Rows with the nearest of the best centres, the centres and their cost; ``starts`` seeded starts in the same scans."""
+    centres, cost = fit_kmeans(df, k, starts, seed, features)
+    shared = df.sparkSession.sparkContext.broadcast(centres)
 
-    The feature frame is persisted once for all restarts.
-    """
-    from pyspark import StorageLevel
-
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        best = None
-        for s in range(starts):
-            m = KMeans(k=k, seed=seed + s, featuresCol=features, predictionCol=out).fit(cached)
-            cost = m.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, m)
-    finally:
-        cached.unpersist()
-    model = best[1]
-    centres = [list(c) for c in model.clusterCenters()]
-    return model.transform(df).withColumn(out, F.col(out).cast("int")), centres, best[0]
+    @F.pandas_udf("int")
+    def nearest(x: pd.Series) -> pd.Series:
+        rows = np.stack(x.to_numpy())
+        return pd.Series(((rows[:, None, :] - shared.value) ** 2).sum(axis=2).argmin(axis=1).astype(np.int32))
+
+    return df.withColumn(out, nearest(vector_to_array(F.col(features)))), [list(map(float, c)) for c in centres], cost

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from astroframe.operators.comoments import comoments
 from astroframe.operators.quantiles import exact_quantiles
 
 
@@ -78,12 +79,14 @@ def moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]
 
 
 def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long-form population covariance of every column pair (i <= j), one aggregate."""
-    pairs = [(a, b) for n, a in enumerate(cols) for b in cols[n:]]
-    one = df.agg(*[F.covar_pop(a, b).alias(f"c{n}") for n, (a, b) in enumerate(pairs)])
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("col_i"), F.lit(b).alias("col_j"), F.col(f"c{n}").alias("cov"))
-        for n, (a, b) in enumerate(pairs)])))
+    """Long-form population covariance of every column pair (i <= j), from one pass over the complete rows.
+
+    NULL where no row is complete.
+    """
+    state = comoments(df, cols)
+    cov = state.covariance()
+    rows = [(a, b, float(cov[i, j]) if state.n else None) for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
+    return df.sparkSession.createDataFrame(rows, "col_i string, col_j string, cov double")
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:

@@ -2,21 +2,20 @@
 
 Spark's exact ``percentile``/``median`` keeps every distinct value of the
 group in one aggregation buffer -- for a global aggregate that is a single
-task holding the whole column.  Here the k-th smallest value is found by
-narrowing a bracket of values, all columns in the same pass:
-
-1. one aggregate: count, min and max per column;
-2. an approximate percentile sketch (bounded, mergeable) gives two of the
-   bracket's own values just below and above the wanted rank;
-3. one aggregate counts the rows below, at, between and above the two values,
-   with min and max of each part; the part that holds the rank is the new
-   bracket.  Both values are settled by their own counts, so every round
-   takes at least them out and usually leaves a few thousandths;
-4. a bracket of at most ``GATHER`` rows is gathered (bounded) and read off.
+task holding the whole column.  Here all columns go through three scans:
+
+1. one aggregate of mergeable quantile sketches with a guaranteed rank error
+   (``percentile_approx``: at most n / ``SKETCH`` ranks) and the counts gives, per column,
+   two of its own values below and above the wanted rank;
+2. one aggregate counts the rows below, at and between the two values; ranks
+   on one of the two are read off;
+3. the rows between them, about 4 n / ``SKETCH``, are read: gathered if a column has
+   at most ``GATHER`` of them, else range-sorted and looked up by rank, so that
+   nothing on the driver grows with the data.
 
 Only comparisons are used, so infinities and any spread of finite values are
-ordinary values.  There is no bound on the rounds.  The interpolation is the
-linear one of numpy / SQL ``quantile_cont``.
+ordinary values.  The interpolation is the linear one of numpy /
+SQL ``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -24,127 +23,113 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SKETCH = 1000
-GATHER = 4096
-
-
-class _Probe:
-    """The value wanted at ``rank`` (from 0) of a column, known to lie in [lo, hi], with ``below`` rows under lo."""
-
-    __slots__ = ("col", "rank", "lo", "hi", "below", "count", "value")
-
-    def __init__(self, col, rank, lo, hi, below, count):
-        self.col, self.rank, self.lo, self.hi = col, rank, lo, hi
-        self.below, self.count, self.value = below, count, None
-
-    def bracket(self) -> tuple:
-        return self.col, self.lo, self.hi, self.below, self.count
-
-    def narrow(self, lo, hi, below, count) -> None:
-        if count == self.count and (lo, hi) == (self.lo, self.hi):
-            raise RuntimeError(f"no progress on {self.col}: {count} rows in [{lo}, {hi}]")
-        self.lo, self.hi, self.below, self.count = lo, hi, below, count
-        if lo == hi:
-            self.value = lo
-
+from astroframe.operators.ordering import in_order, part_starts
+from astroframe.session import stored
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], p: float, persist: bool = True) -> dict[str, float | None]:
-    """Exact linear-interpolated quantile ``p`` of every column (NULL/NaN ignored).
-
-    With ``persist`` the projected columns are kept (memory, spilling to
-    disk) for the few passes and released afterwards; a lost executor's
-    blocks are recomputed from lineage.
-    """
-    df = df.select(*[F.when(~F.isnan(F.col(c)), F.col(c).cast("double")).alias(c) for c in cols])
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _quantiles(df, cols, p)
-    finally:
-        if persist:
-            df.unpersist()
+SKETCH = 10_000
+GATHER = 4096
+#: ranks, in units of the sketch's error, between the wanted rank and the bracket's ends
+MARGIN = 2.0
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], p: float) -> dict[str, float | None]:
+    """Exact linear-interpolated quantile ``p`` of every column (NULL/NaN ignored); scans ``df`` three times at most."""
+    cols = list(dict.fromkeys(cols))
+    if not cols:
+        return {}
+    values = df.select(*[F.when(~F.isnan(F.col(c)), F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
+    names = {f"x{i}": c for i, c in enumerate(cols)}
+    ranks: dict[str, tuple[int, int]] = {}
+    found: dict[tuple[str, int], float] = {}
+    pending, margin = list(names), MARGIN
+    while pending:
+        pending = _three_scans(values, pending, p, margin, ranks, found)
+        margin *= 16  # not seen, as the sketch's error is guaranteed; the last bracket is the whole column
+    out: dict[str, float | None] = {}
+    for x, c in names.items():
+        out[c] = None
+        if x in ranks:
+            k, after, h = ranks[x]
+            lo, hi = found[x, k], found[x, after]
+            out[c] = lo if lo == hi or h == k else lo + (h - k) * (hi - lo)
+    return out
 
 
-def _quantiles(df: DataFrame, cols: Sequence[str], p: float) -> dict[str, float | None]:
-    first = df.agg(*[e for c in cols for e in (
-        F.count(c).alias(f"n_{c}"), F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]).first()
-    probes: dict[tuple[str, int], _Probe] = {}
-    out: dict[str, float | None] = {c: None for c in cols}
-    for c in cols:
-        n = first[f"n_{c}"]
-        if n:
-            k = math.floor((n - 1) * p)
-            for rank in (k, min(k + 1, n - 1)):
-                probe = probes.setdefault((c, rank), _Probe(c, rank, first[f"lo_{c}"], first[f"hi_{c}"], 0, n))
-                probe.value = probe.lo if probe.lo == probe.hi else None
-    while pending := [q for q in probes.values() if q.value is None]:
-        brackets: dict[tuple, list[_Probe]] = {}
-        for q in pending:
-            brackets.setdefault(q.bracket(), []).append(q)
-        _split(df, [qs for b, qs in brackets.items() if b[4] > GATHER])
-        _gather(df, [qs for b, qs in brackets.items() if b[4] <= GATHER])
-    for c in cols:
-        n = first[f"n_{c}"]
+def _three_scans(values: DataFrame, cols: list[str], p: float, margin: float, ranks: dict, found: dict) -> list[str]:
+    """Fills ``ranks`` (two ranks and the fractional one) and ``found`` (value at a rank); returns columns whose bracket missed."""
+    aims = [max(0.0, p - margin / SKETCH), min(1.0, p + margin / SKETCH)]
+    first = values.agg(*[e for x in cols for e in (F.count(x).alias(f"n_{x}"), F.percentile_approx(x, aims, SKETCH).alias(f"m_{x}"))]).first()
+    marks = {}
+    for x in cols:
+        n = first[f"n_{x}"]
         if n:
             h = (n - 1) * p
             k = math.floor(h)
-            lo, hi = probes[c, k].value, probes[c, min(k + 1, n - 1)].value
-            out[c] = lo if lo == hi or h == k else lo + (h - k) * (hi - lo)
+            ranks[x] = k, min(k + 1, n - 1), h
+            marks[x] = tuple(first[f"m_{x}"]) if n > GATHER else (-math.inf, math.inf)  # small: all values are gathered
+    if not marks:
+        return []
+    counts = values.agg(*[e for x, (u, v) in marks.items() for e in (
+        F.count_if(F.col(x) < F.lit(u)).alias(f"under_{x}"), F.count_if(F.col(x) == F.lit(u)).alias(f"low_{x}"),
+        F.count_if((F.col(x) > F.lit(u)) & (F.col(x) < F.lit(v))).alias(f"mid_{x}"),
+        F.count_if((F.col(x) == F.lit(v)) & F.lit(v > u)).alias(f"high_{x}"))]).first()
+    inside: dict[str, list[tuple[int, int]]] = {}  # column -> (rank, its place between the two values)
+    missed = []
+    for x, (u, v) in marks.items():
+        start = counts[f"under_{x}"]
+        mid = start + counts[f"low_{x}"]
+        high = mid + counts[f"mid_{x}"]
+        wanted = set(ranks[x][:2])
+        if min(wanted) < start or max(wanted) >= high + counts[f"high_{x}"]:
+            missed.append(x)
+            continue
+        found.update({(x, rank): u if rank < mid else v for rank in wanted if rank < mid or rank >= high})
+        if between := [(rank, rank - mid) for rank in wanted if mid <= rank < high]:
+            inside[x] = between
+    small = {x: want for x, want in inside.items() if counts[f"mid_{x}"] <= GATHER}
+    found.update(_gathered(values, marks, small))
+    for x in inside.keys() - small.keys():
+        found.update(_looked_up(values, x, marks[x], inside[x]))
+    return missed
+
+
+def _between(x: str, marks: tuple[float, float]) -> Column:
+    u, v = marks
+    return F.when((F.col(x) > F.lit(u)) & (F.col(x) < F.lit(v)), F.col(x))
+
+
+def _gathered(values: DataFrame, marks: dict, inside: dict[str, list[tuple[int, int]]]) -> dict[tuple[str, int], float]:
+    """Ranks in brackets of at most ``GATHER`` rows each: one scan for all columns."""
+    if not inside:
+        return {}
+    items = [F.when(_between(x, marks[x]).isNotNull(), F.struct(F.lit(x).alias("x"), F.col(x).alias("v"))) for x in inside]
+    rows = values.select(F.explode(F.array_compact(F.array(*items))).alias("s")).select("s.*")
+    held: dict[str, list[float]] = {x: [] for x in inside}
+    for r in rows.collect():
+        held[r["x"]].append(r["v"])
+    out = {}
+    for x, want in inside.items():
+        ordered = sorted(held[x])
+        out |= {(x, rank): ordered[place] for rank, place in want}
     return out
 
 
-def _inside(q: _Probe) -> Column:
-    return F.when((F.col(q.col) >= F.lit(q.lo)) & (F.col(q.col) <= F.lit(q.hi)), F.col(q.col))
-
-
-def _split(df: DataFrame, brackets: list[list[_Probe]]) -> None:
-    """Cut each bracket at two of its values around the wanted ranks."""
-    if not brackets:
-        return
-    aims = []
-    for qs in brackets:
-        n, ranks = qs[0].count, [q.rank - qs[0].below for q in qs]
-        aims.append([max(0.0, min(ranks) / n - 2 / SKETCH), min(1.0, (max(ranks) + 1) / n + 2 / SKETCH)])
-    marks = df.agg(*[F.percentile_approx(_inside(qs[0]), aim, SKETCH).alias(f"m{i}")
-                     for i, (qs, aim) in enumerate(zip(brackets, aims))]).first()
-    parts = []
-    for i, qs in enumerate(brackets):
-        u, v = marks[f"m{i}"]
-        x = _inside(qs[0])
-        for j, cond in enumerate((x < u, x == u, (x > u) & (x < v), (x == v) & F.lit(v > u), x > F.lit(v))):
-            part = F.when(cond, x)
-            parts += [F.count(part).alias(f"n{i}_{j}"), F.min(part).alias(f"lo{i}_{j}"), F.max(part).alias(f"hi{i}_{j}")]
-    got = df.agg(*parts).first()
-    for i, qs in enumerate(brackets):
-        for q in qs:
-            below = q.below
-            for j in range(5):
-                n = got[f"n{i}_{j}"]
-                if q.rank < below + n:
-                    q.narrow(got[f"lo{i}_{j}"], got[f"hi{i}_{j}"], below, n)
-                    break
-                below += n
-
-
-def _gather(df: DataFrame, brackets: list[list[_Probe]]) -> None:
-    """Read small brackets (at most ``GATHER`` rows each) and look the ranks up."""
-    if not brackets:
-        return
-    items = [F.when(_inside(qs[0]).isNotNull(), F.struct(F.lit(i).alias("i"), F.col(qs[0].col).alias("v")))
-             for i, qs in enumerate(brackets)]
-    some = F.coalesce(*[_inside(qs[0]) for qs in brackets]).isNotNull()
-    rows = df.where(some).select(F.explode(F.array_compact(F.array(*items))).alias("s")).select("s.*")
-    found: dict[int, list[float]] = {}
-    for r in rows.collect():
-        found.setdefault(r["i"], []).append(r["v"])
-    for i, qs in enumerate(brackets):
-        values = sorted(found[i])
-        for q in qs:
-            q.value = values[q.rank - q.below]
+def _looked_up(values: DataFrame, x: str, marks: tuple[float, float], want: list[tuple[int, int]]) -> dict[tuple[str, int], float]:
+    """Ranks in a bracket of any size: its rows are range-sorted, and the rows at the wanted places read."""
+    rows = values.select(_between(x, marks).alias("v")).where(F.col("v").isNotNull())
+    placed = stored(in_order(rows, "v", F.monotonically_increasing_id()), "quantile_bracket")
+    starts = part_starts(placed)
+    at = {}
+    for rank, place in want:
+        part, begin, _ = next(s for s in starts if s[1] <= place < s[1] + s[2])
+        at[part, place - begin] = rank
+    hit = F.lit(False)
+    for part, idx in at:
+        hit = hit | ((F.col("part") == part) & (F.col("idx") == idx))
+    return {(x, at[r["part"], r["idx"]]): r["v"] for r in placed.where(hit).collect()}
 
 
 def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:

@@ -42,14 +42,17 @@ def trailing_aggregates(df: DataFrame, key: str, order: Sequence[str], value: st
     order columns are NULL come last, as SQL orders NULLs.
     """
     spark = df.sparkSession
-    sort = [F.col(c).asc_nulls_last() for c in (key, *order)]
-    placed = stored(in_order(df, *sort, parts=partitions), "slices")
+    sort = [f"s{i}" for i in range(1 + len(order))]
+    # the row travels in one struct, so its columns cannot clash with those of the slices
+    rows = df.select(F.struct(*df.columns).alias("row"), F.col(value).alias("v"), *[F.col(c).alias(s) for s, c in zip(sort, (key, *order))])
+    placed = stored(in_order(rows, *[F.col(s).asc_nulls_last() for s in sort], parts=partitions), "slices")
     starts = part_starts(placed)
     ranked = with_rank(placed.withColumn("slice", F.col("part")), starts)
     pairs = spark.createDataFrame(halo_pairs(starts, n), "slice int, target int, low long, high long")
     halo = ranked.join(F.broadcast(pairs), "slice").where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     halo = halo.withColumn("slice", F.col("target")).drop("target", "low", "high")
     rows = ranked.withColumn("own", F.lit(True)).unionByName(halo.withColumn("own", F.lit(False)))
-    frame = Window.partitionBy("slice", key).orderBy("rank").rowsBetween(-n, 0)
-    rows = rows.withColumns({f"{value}_{a}": AGGS[a](value).over(frame) for a in aggs})
-    return rows.where("own").drop("slice", "rank", "own")
+    frame = Window.partitionBy("slice", "s0").orderBy("rank").rowsBetween(-n, 0)
+    rows = rows.withColumns({f"a{i}": AGGS[a]("v").over(frame) for i, a in enumerate(aggs)}).where("own")
+    taken = {f"{value}_{a}": F.col(f"a{i}").alias(f"{value}_{a}") for i, a in enumerate(aggs)}
+    return rows.select(*[F.col("row")[c].alias(c) for c in df.columns if c not in taken], *taken.values())

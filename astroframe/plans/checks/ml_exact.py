@@ -14,6 +14,7 @@ from astroframe.plans.checks.aggregate import _PRF
 from astroframe.plans.checks.etl import processed
 from astroframe.plans.oracle_views import add_view
 from astroframe.plans.registry import query
+from astroframe.session import stored
 from astroframe.sources.fixtures import galaxies
 from astroframe.sources.tables import table
 
@@ -57,7 +58,8 @@ add_view("valid_scaled", "SELECT spkid, " + ", ".join(
 
 
 def imputed(spark, sf):
-    return P.impute_median(processed(spark, sf).select("spkid", "object_type", *FEATS), FEATS)
+    rows = stored(processed(spark, sf).select("spkid", "object_type", *FEATS), "features")  # read by each fit
+    return P.impute_median(rows, FEATS)
 
 
 def scaled(spark, sf):

@@ -282,3 +282,80 @@ def test_evaluation_dict_matches_spark_aggregate(spark):
     for k in ("accuracy", "precision", "recall", "f1"):
         assert a[k] == pytest.approx(b[k], abs=1e-12)
     assert sum(map(sum, b["confusion_matrix"])) == 500 and len(b["confusion_matrix"]) == 5
+
+
+def test_fixed_cuts_with_hot_and_small_groups(spark, monkeypatch):
+    """A hot group, groups at and under k, repeated ids within the cut, and a margin that leaves groups short."""
+    rows = [("hot", i) for i in range(8000)] + [("edge", 10_000 + i) for i in range(50)] + [("small", 20_000 + i) for i in range(7)]
+    rows += [(f"g{i % 40}", 30_000 + i) for i in range(4000)] + [(None, 90_000 + i) for i in range(30)]
+    df = spark.createDataFrame(rows, "g string, id long").repartition(5)
+
+    def first(k):
+        got = S.sample_per_group(df, "g", "id", k).collect()
+        by = {}
+        for r in got:
+            by.setdefault(r["g"], set()).add(r["id"])
+        return by
+
+    groups = {g: [i for h, i in rows if h == g] for g in {g for g, _ in rows if g}}
+    want = {g: set(_md5_order(ids)[:50]) for g, ids in groups.items()}
+    assert first(50) == want
+    monkeypatch.setattr(S.math, "sqrt", lambda v: -v / 6 - 15)  # bounds far too low: every group is widened
+    assert first(50) == want
+
+
+def test_fixed_cuts_do_not_sort_the_table(spark, monkeypatch):
+    monkeypatch.setattr(S, "in_order", None)  # the range sort that shares need
+    df = spark.range(5000).withColumn("g", F.lit("a"))
+    assert S.sample_per_group(df, "g", "id", 10).count() == S.cap_rows(df, "id", 10).count() == 10
+
+
+def test_repeated_ids_on_a_cut_raise(spark):
+    df = spark.createDataFrame([(1, "a")] * 500 + [(2, "a")], "id long, g string")
+    with pytest.raises(ValueError, match="not unique"):
+        S.sample_per_group(df, "g", "id", 100).collect()
+
+
+def test_selection_and_windows_keep_columns_of_any_name(spark):
+    from astroframe.operators.windows import trailing_aggregates
+
+    names = ["base", "part", "idx", "slice", "rank", "own", "row", "v", "s0", "tg", "cut", "first", "_first", "_tg", "_cut", "target", "low"]
+    df = spark.range(200).select("id", F.lit("k").alias("g"), F.col("id").cast("double").alias("x"), *[F.lit(n).alias(n) for n in names])
+    for out in (S.stratified_split(df, "g", "id"), S.holdout_split(df, "id"), S.sample_per_group(df, "g", "id", 20), S.cap_rows(df, "id", 20),
+                trailing_aggregates(df, "g", ["id"], "x", 3)):
+        assert set(df.columns) <= set(out.columns)
+        row = out.first()
+        assert all(row[n] == n for n in names)
+
+
+@pytest.mark.parametrize("margin", [2.0, -1.0])
+def test_quantiles_of_large_brackets(spark, monkeypatch, margin):
+    """A coarse sketch: brackets too large to gather are looked up by rank; brackets that miss are widened."""
+    from astroframe.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "SKETCH", 20)
+    monkeypatch.setattr(Q, "GATHER", 30)
+    monkeypatch.setattr(Q, "MARGIN", margin if margin > 0 else 1e-9)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=2000), np.full(700, 0.25), [1e308, -1e300] * 20])
+    df = spark.createDataFrame(pd.DataFrame({"x": rng.permutation(x), "y": np.arange(len(x), dtype=float)})).repartition(4)
+    for p in (0.0, 0.3, 0.5, 0.61, 0.97, 1.0):
+        got = exact_quantiles(df, ["x", "y", "x"], p)
+        assert got["x"] == pytest.approx(np.quantile(x, p), nan_ok=True) and got["y"] == pytest.approx(np.quantile(np.arange(len(x)), p))
+
+
+def test_quantiles_scan_three_times_and_persist_nothing(spark):
+    from astroframe.operators import quantiles as Q
+
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        reads.add(1)
+        return v
+
+    n = 20_000
+    df = spark.range(n).select(seen(F.rand(3)).alias("x"))
+    exact_quantiles(df, ["x"], 0.5)
+    assert reads.value == 3 * n and n > Q.GATHER
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
