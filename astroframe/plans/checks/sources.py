@@ -17,6 +17,7 @@ from astroframe.plans.registry import query
 from astroframe.plans.runs import run_comparison
 from astroframe.session import scratch_path
 from astroframe.sources import catalog_io as IO
+from astroframe.sources.payload import read_positional_payload, write_positional_payload
 from astroframe.sources.fixtures import bodies, ephemeris, galaxies, model_runs
 
 
@@ -116,10 +117,10 @@ def q_sink_result_json(spark, sf):
 
 @query("json_positional_rows", "SELECT *, CAST(NULL AS VARCHAR) AS absent FROM bodies", views=["bodies"])
 def q_json_positional_rows(spark, sf):
+    """The whole catalogue as one document, read back by byte ranges."""
     path = scratch_path(spark, "payload")
-    IO.write_result_json(IO.positional_payload(bodies(spark, sf), CATALOGUE_FIELDS, 1000), path)
-    payload = spark.read.schema(SC.POSITIONAL_PAYLOAD).json(path)
-    rows = IO.positional_rows(payload, "fields", "data", [*CATALOGUE_FIELDS, "absent"])
+    write_positional_payload(bodies(spark, sf), path, CATALOGUE_FIELDS, "spkid")
+    rows = read_positional_payload(spark, path, [*CATALOGUE_FIELDS, "absent"])
     return cast_numeric(rows, _RAW_DOUBLES)
 
 

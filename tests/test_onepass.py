@@ -66,7 +66,7 @@ def test_starts_advance_as_single_fits_would(spark):
     rng = np.random.default_rng(3)
     x = np.vstack([rng.normal(m, 0.4, size=(80, 2)) for m in ((0, 0), (3, 0), (0, 3), (4, 4), (8, 1))])
     df, _ = frame(spark, x)
-    centres, cost = fit_kmeans(df, 5, 6, 42)
+    centres, cost = fit_kmeans(df, 5, 6, 42, tolerance=1e-12)
     sample = np.array(sorted(map(tuple, x)))
     alone = [lloyd(x, seeds(sample, 5, np.random.default_rng([42, s]))) for s in range(6)]
     assert cost == pytest.approx(min(alone), rel=1e-6)
