@@ -33,8 +33,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -272,6 +272,10 @@ def openers(text: str) -> list[bool]:
     return out
 
 
+#: a hit, in the order that ``covered`` reads
+HIT_FIELDS = ["pos", "ipos", "islots", "slots", "places", "kinds", "n"]
+#: groups of one document and item whose hits are looked at together
+GROUPS_AT_ONCE = 64
 HIT_SCHEMA = "k1 long, k2 long, id long, form string, n int, pos int, wh long, slots array<string>"
 ITEM_SCHEMA = ("i1 long, i2 long, item_id long, form string, n int, ipos int, wh long, islots array<string>, places array<int>, "
                "kinds array<int>, item_windows int, proof int")
@@ -489,18 +493,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     hits = window_rows(rows, window, lengths, seen)
     hits = hits.join(index, ["form", "n", "wh"])
     hits = hits.groupBy("k1", "k2", "id", "i1", "i2", "item_id", "form", "item_windows", "proof").agg(
-        F.collect_set(F.struct("pos", "ipos", "islots", "slots", "places", "kinds", "n")).alias("hits"))
+        F.collect_set(F.struct(*HIT_FIELDS)).alias("hits"))
     need = F.ceil(F.col("item_windows") * F.lit(min_cover)).cast("int")
     least = F.least(F.col("need"), F.lit(-(-stretch // window) if stretch else 1 << 30))
     hits = hits.withColumn("need", need).where(F.size(F.array_distinct(F.transform("hits", lambda h: h["ipos"]))) >= least)
 
-    @F.pandas_udf("int")
-    def verified(found: pd.Series, needs: pd.Series, proofs: pd.Series, totals: pd.Series) -> pd.Series:
-        return pd.Series([covered([(h["pos"], h["ipos"], list(h["islots"]), list(h["slots"]), list(h["places"]), list(h["kinds"]), h["n"])
-                                   for h in hs], int(n), 2 * window, int(p), int(w), stretch)
-                          for hs, n, p, w in zip(found, needs, proofs, totals)], dtype="int32")
+    keys = ["k1", "k2", "id", "i1", "i2", "item_id", "form", "item_windows"]
+    schema = hits.select(*keys).schema.add("windows", "integer")
 
-    out = hits.withColumn("windows", verified("hits", "need", "proof", "item_windows")).where(F.col("windows") > 0)
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUPS_AT_ONCE):  # only these groups' hits become Python objects
+                part = batch.slice(at, GROUPS_AT_ONCE)
+                counts = [covered([tuple(h.values()) for h in found], need, 2 * window, proof, windows, stretch)
+                          for found, need, proof, windows in zip(*(part.column(c).to_pylist() for c in ("hits", "need", "proof", "item_windows")))]
+                out = pa.RecordBatch.from_arrays([*(part.column(c) for c in keys), pa.array(counts, pa.int32())], names=[*keys, "windows"])
+                yield out.filter(pc.greater(out.column("windows"), 0))
+
+    out = hits.select(*keys, "need", "proof", "hits").mapInArrow(verified, schema)
     best = F.max(F.struct("windows", "form", "item_windows"))
     out = out.groupBy("k1", "k2", F.col("id").alias("doc_id"), "i1", "i2", "item_id").agg(best.alias("b"))
     return out.select("k1", "k2", "doc_id", "item_id", "b.windows", "b.item_windows", "b.form")
