@@ -12,15 +12,17 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from astroframe.constants import DNN_LAYERS, ML_PARAMS, SVM_MAX_ROWS, VALIDATION_SHARE
+from astroframe.constants import CNN_FILTERS, DNN_LAYERS, DROPOUT, ML_PARAMS, SVM_MAX_ROWS, VALIDATION_SHARE
 from astroframe.models.boosting import fit_boosted_trees, predict_boosted
 from astroframe.operators.comoments import comoments, principal_axes
+from astroframe.functions.columns import fresh_name
 from astroframe.models.kmeans import fit_kmeans
+from astroframe.models.network import dense_classifier, fit_network, predict_network, sequence_classifier
 from astroframe.operators.sampling import cap_rows, holdout_split
 
 
@@ -99,31 +101,33 @@ def boosted_classify(train: DataFrame, test: DataFrame, id_col: str, rounds: int
     return predict_boosted(model, test).select(id_col, "label", "prediction")
 
 
+def _trained(net, train: DataFrame, test: DataFrame, id_col: str, features: str, validation: float, seed: int, with_history: bool, **options):
+    part = fresh_name(train, "part")
+    parts = holdout_split(train, id_col, validation, seed, part)
+    net, record = fit_network(net, parts.where(F.col(part) == "train"), parts.where(F.col(part) == "test"), features, F.col("label"), seed=seed, **options)
+    pred = predict_network(net, test, features, "prediction").select(id_col, "label", "prediction")
+    return (pred, record) if with_history else pred
+
+
 def mlp_classify(train: DataFrame, test: DataFrame, id_col: str, n_features: int, n_classes: int,
-                 hidden: Sequence[int] = tuple(DNN_LAYERS), iters: int = 50, seed: int = 42,
-                 with_history: bool = False, features: str = "features", validation: float = VALIDATION_SHARE):
-    """Dense network (sigmoid hidden layers, softmax output, L-BFGS) on the feature vector.
-
-    A ``validation`` share of the training rows (in hash order) is held out.
-    With ``with_history`` also returns the training record: loss per
-    iteration, the held-out rows' final loss and accuracy, iterations run
-    and the number of weights.
+                 hidden: Sequence[int] = tuple(DNN_LAYERS), dropout: float = DROPOUT, seed: int = 42, with_history: bool = False,
+                 features: str = "features", validation: float = VALIDATION_SHARE, **options):
+    """Dense network (ReLU, batch normalisation, dropout, softmax), trained by ``models.network``.
+
+    A ``validation`` share of the training rows (in hash order) is held out and judged after each epoch.  With
+    ``with_history`` also returns the training record: loss, accuracy and their held-out values per epoch, the epochs
+    trained and the number of weights.
     """
-    parts = holdout_split(train.drop("split"), id_col, validation, seed, "part")
-    fit, held = parts.where(F.col("part") == "train"), parts.where(F.col("part") == "test")
-    mlp = MultilayerPerceptronClassifier(layers=[n_features, *hidden, n_classes], maxIter=iters, seed=seed,
-                                         labelCol="label", featuresCol=features)
-    model = mlp.fit(fit)
-    pred = _predictions(model, test, id_col)
-    if not with_history:
-        return pred
-    summary = model.summary() if callable(model.summary) else model.summary
-    loss = [float(v) for v in summary.objectiveHistory]
-    p = vector_to_array("probability")[F.col("label").cast("int")]
-    val = model.transform(held).agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15)))).alias("loss"),
-                                    F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")).first()
-    return pred, {"history": {"loss": loss, "val_loss": [val["loss"]], "val_accuracy": [val["accuracy"]]},
-                  "epochs_trained": len(loss), "total_params": int(model.weights.size)}
+    net = dense_classifier(n_features, n_classes, hidden, dropout)
+    return _trained(net, train, test, id_col, features, validation, seed, with_history, **{"plateau": True, **options})
+
+
+def cnn_classify(train: DataFrame, test: DataFrame, id_col: str, length: int, n_classes: int, filters: Sequence[int] = tuple(CNN_FILTERS),
+                 dense: int = 64, dropout: float = DROPOUT, seed: int = 42, with_history: bool = False, features: str = "features",
+                 validation: float = VALIDATION_SHARE, **options):
+    """Convolutional network over the features as a sequence (two convolutions of kernel two, mean, dense layer, softmax)."""
+    net = sequence_classifier(length, n_classes, filters, dense, dropout)
+    return _trained(net, train, test, id_col, features, validation, seed, with_history, **options)
 
 
 def pca_project(df: DataFrame, k: int = ML_PARAMS["pca_components"], features: str = "features"):

@@ -22,7 +22,7 @@ from astroframe.models import anomaly as AN
 from astroframe.models import classifiers as M
 from astroframe.models.distance import silhouette
 from astroframe.models.evaluate import evaluation_dict
-from astroframe.models.frames import SEQUENCE_FEATURES, anomaly_frame, classification_frame, spectral_frame
+from astroframe.models.frames import anomaly_frame, classification_frame, spectral_frame
 from astroframe.operators import reshape as R
 from astroframe.operators.aggregate import all_detected, count_by
 from astroframe.operators.features import etl_full
@@ -99,7 +99,7 @@ def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int =
     classical = {"task": RESULT_TASKS["task2"], "method": ANOMALY_MODELS["ML"], "n_anomalies": summary["n"],
                  "silhouette": sil, "pca_variance": ratios, "train_time": t,
                  "interstellar_detected": summary["det"]}
-    (rec, thr), t = _timed(AN.reconstruction_anomaly, df, cols, F.col("object_type").isin(*NORMAL_TYPES))
+    (rec, thr, record), t = _timed(AN.reconstruction_anomaly, df, cols, F.col("object_type").isin(*NORMAL_TYPES))
     s2 = rec.agg(F.sum("recon_anomaly").alias("n"),
                  all_detected(F.col("recon_anomaly") == 1, iso).alias("det")).first()
     if out_path:
@@ -107,19 +107,18 @@ def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int =
                               F.col("recon_anomaly").alias("ae_anomaly")) \
            .write.mode("overwrite").json(f"{out_path}/interstellar_errors")
     net = {"task": RESULT_TASKS["task2"], "method": ANOMALY_MODELS["DL"], "n_anomalies": int(s2["n"] or 0),
-           "threshold": thr, "train_time": t, "interstellar_detected": s2["det"]}
+           "threshold": thr, "train_time": t, "interstellar_detected": s2["det"], **record}
     return classical, net
 
 
 def run_spectral(galaxies: DataFrame, trees: int = ML_PARAMS["rf_n_estimators"]) -> tuple[dict, dict]:
-    """Task 3: redshift classes from colours -- forest (depth 15) and a small network."""
+    """Task 3: redshift classes from colours -- forest (depth 15) and a convolutional network."""
     train, test, cols, classes = spectral_frame(galaxies)
     judged, imp = _judged(M.rf_classify, train, test, "gal_id", trees, 15)
     classical = {"task": RESULT_TASKS["task3"], "method": "Random Forest", **judged, "class_names": classes,
                  "feature_importance": dict(zip(cols, imp))}
-    judged, record = _judged(M.mlp_classify, train, test, "gal_id", 2 * len(cols) - 1, len(classes), (64, 32), 100,
-                             with_history=True, features=SEQUENCE_FEATURES)
-    net = {"task": RESULT_TASKS["task3"], "method": "MLP", **judged, "class_names": classes, **record}
+    judged, record = _judged(M.cnn_classify, train, test, "gal_id", len(cols), len(classes), with_history=True)
+    net = {"task": RESULT_TASKS["task3"], "method": "1D-CNN", **judged, "class_names": classes, **record}
     return classical, net
 
 
