@@ -26,6 +26,7 @@ from astroframe.models.frames import anomaly_frame, classification_frame, spectr
 from astroframe.operators import reshape as R
 from astroframe.operators.aggregate import all_detected, count_by
 from astroframe.operators.features import etl_full
+from astroframe.plans.manifest import RunManifest, digest
 from astroframe.session import scratch_path
 from astroframe.sources import catalog_io as IO
 
@@ -82,7 +83,7 @@ def run_classification(processed: DataFrame, rf=None, gbt=None, svm=None, mlp=No
     return classical, net
 
 
-def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int = 10) -> tuple[dict, dict]:
+def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int = 10, net: dict | None = None) -> tuple[dict, dict]:
     """Task 2: PCA + k-means + silhouette + isolation forest; reconstruction anomaly."""
     df, cols = anomaly_frame(processed)
     coords, ratios = M.pca_project(df, ML_PARAMS["pca_components"])
@@ -99,7 +100,7 @@ def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int =
     classical = {"task": RESULT_TASKS["task2"], "method": ANOMALY_MODELS["ML"], "n_anomalies": summary["n"],
                  "silhouette": sil, "pca_variance": ratios, "train_time": t,
                  "interstellar_detected": summary["det"]}
-    (rec, thr, record), t = _timed(AN.reconstruction_anomaly, df, cols, F.col("object_type").isin(*NORMAL_TYPES))
+    (rec, thr, record), t = _timed(AN.reconstruction_anomaly, df, cols, F.col("object_type").isin(*NORMAL_TYPES), **(net or {}))
     s2 = rec.agg(F.sum("recon_anomaly").alias("n"),
                  all_detected(F.col("recon_anomaly") == 1, iso).alias("det")).first()
     if out_path:
@@ -111,13 +112,13 @@ def run_anomaly(processed: DataFrame, out_path: str | None = None, starts: int =
     return classical, net
 
 
-def run_spectral(galaxies: DataFrame, trees: int = ML_PARAMS["rf_n_estimators"]) -> tuple[dict, dict]:
+def run_spectral(galaxies: DataFrame, trees: int = ML_PARAMS["rf_n_estimators"], net: dict | None = None) -> tuple[dict, dict]:
     """Task 3: redshift classes from colours -- forest (depth 15) and a convolutional network."""
     train, test, cols, classes = spectral_frame(galaxies)
     judged, imp = _judged(M.rf_classify, train, test, "gal_id", trees, 15)
     classical = {"task": RESULT_TASKS["task3"], "method": "Random Forest", **judged, "class_names": classes,
                  "feature_importance": dict(zip(cols, imp))}
-    judged, record = _judged(M.cnn_classify, train, test, "gal_id", len(cols), len(classes), with_history=True)
+    judged, record = _judged(M.cnn_classify, train, test, "gal_id", len(cols), len(classes), with_history=True, **(net or {}))
     net = {"task": RESULT_TASKS["task3"], "method": "1D-CNN", **judged, "class_names": classes, **record}
     return classical, net
 
@@ -133,42 +134,62 @@ def run_comparison(spark: SparkSession, classical_path: str, network_path: str)
 
 
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str, light: bool = False) -> dict:
-    """Every step in order; a failing step is reported and the later steps go on."""
+    """Every step in order; a failing step is reported and the later steps that do not need it go on.
+
+    Each step that ends is entered in ``out_dir``/manifest; a second call with the same inputs and settings runs only
+    what is missing.  ``light`` is for trials: smaller forests, fewer rounds, starts and epochs.
+    """
     from astroframe.sources.fixtures import bodies, galaxies
 
+    manifest = RunManifest(spark, f"{out_dir}/manifest")
+    forest, starts = ({"trees": 50, "depth": 12}, 3) if light else ({"trees": ML_PARAMS["rf_n_estimators"], "depth": ML_PARAMS["rf_max_depth"]}, 10)
+    boost = {"rounds": 10, "depth": 5} if light else {"rounds": ML_PARAMS["xgb_n_estimators"], "depth": ML_PARAMS["xgb_max_depth"]}
+    net = {"epochs": 5} if light else {}
     report: dict = {}
-    state: dict = {"ml": {}, "dl": {}}
-    tuning = dict(rf={"trees": 50, "depth": 12}, gbt={"rounds": 10, "depth": 5}) if light else {}
+    done: dict[str, dict] = {}
 
-    def step(name, fn):
-        try:
-            t0 = time.time()
-            fn()
-            report[name] = {"ok": True, "seconds": round(time.time() - t0, 2)}
-        except Exception as ex:  # noqa: BLE001 - keep going, like the reference
-            report[name] = {"ok": False, "error": str(ex)[:500], "trace": traceback.format_exc()[-1500:]}
+    def processed() -> DataFrame:
+        return spark.read.schema(SC.PROCESSED).parquet(f"{out_dir}/processed")
 
-    def etl():
-        state["processed"], report["etl_stats"] = run_etl(bodies(spark, sf_dir), f"{out_dir}/processed")
+    def etl() -> dict:
+        return run_etl(bodies(spark, sf_dir), f"{out_dir}/processed")[1]
 
-    def classification():
-        state["ml"]["task1"], state["dl"]["task1"] = run_classification(state["processed"], **tuning)
+    def classification() -> dict:
+        return dict(zip(("ml", "dl"), run_classification(processed(), rf=forest, gbt=boost, mlp=net)))
 
-    def anomaly():
-        state["ml"]["task2"], state["dl"]["task2"] = run_anomaly(state["processed"], f"{out_dir}/anomaly",
-                                                                 3 if light else 10)
+    def anomaly() -> dict:
+        return dict(zip(("ml", "dl"), run_anomaly(processed(), f"{out_dir}/anomaly", starts, net)))
 
-    def spectral():
-        state["ml"]["task3"], state["dl"]["task3"] = run_spectral(galaxies(spark, sf_dir), 50 if light else 200)
+    def spectral() -> dict:
+        return dict(zip(("ml", "dl"), run_spectral(galaxies(spark, sf_dir), forest["trees"], net)))
 
-    def comparison():
-        _write_doc(spark, state["ml"], f"{out_dir}/ml_results")
-        _write_doc(spark, state["dl"], f"{out_dir}/dl_results")
+    def comparison() -> dict:
+        for kind in ("ml", "dl"):
+            tasks = {f"task{i}": done[name][kind] for i, name in enumerate(("classification", "anomaly", "spectral"), 1) if name in done}
+            _write_doc(spark, tasks, f"{out_dir}/{kind}_results")
         table, recs = run_comparison(spark, f"{out_dir}/ml_results", f"{out_dir}/dl_results")
         table.write.mode("overwrite").json(f"{out_dir}/comparison_table")
         recs.write.mode("overwrite").json(f"{out_dir}/recommendations")
-
-    for name, fn in (("etl", etl), ("classification", classification), ("anomaly", anomaly),
-                     ("spectral", spectral), ("comparison", comparison)):
-        step(name, fn)
+        return {"models": spark.read.json(f"{out_dir}/comparison_table").count()}
+
+    def written(*paths: str):
+        return lambda _: all(IO.path_exists(spark, f"{out_dir}/{p}/_SUCCESS") for p in paths)
+
+    tables = manifest.inputs([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("orders", "embeddings")])
+    steps = [("etl", etl, [], {}, written("processed")), ("classification", classification, ["etl"], {"rf": forest, "gbt": boost, **net}, None),
+             ("anomaly", anomaly, ["etl"], {"starts": starts, **net}, written("anomaly/pca_coords", "anomaly/interstellar_errors")),
+             ("spectral", spectral, [], {"trees": forest["trees"], **net}, None),
+             ("comparison", comparison, ["classification", "anomaly", "spectral"], {}, written("comparison_table", "recommendations"))]
+    for name, fn, needs, parameters, still_there in steps:
+        t0 = time.time()
+        try:
+            if missing := [n for n in needs if n not in done and name != "comparison"]:
+                raise RuntimeError(f"needs {', '.join(missing)}")
+            seen = digest([tables, {n: done.get(n) for n in needs}])
+            done[name], ran = manifest.step(name, seen, parameters, fn, still_there)
+            report[name] = {"ok": True, "ran": ran, "seconds": round(time.time() - t0, 2)}
+        except Exception as ex:  # noqa: BLE001 - keep going, like the reference
+            report[name] = {"ok": False, "error": str(ex)[:500], "trace": traceback.format_exc()[-1500:]}
+    if "etl" in done:
+        report["etl_stats"] = done["etl"]
     return report

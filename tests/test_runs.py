@@ -46,6 +46,8 @@ def test_run_all_light(spark):
     report = run_all(spark, SF_SMALL, out, light=True)
     failed = {k: v for k, v in report.items() if isinstance(v, dict) and v.get("ok") is False}
     assert not failed, failed
+    again = run_all(spark, SF_SMALL, out, light=True)  # everything is committed: nothing is run again
+    assert [s for s, r in again.items() if r.get("ran")] == [] and again["etl_stats"] == report["etl_stats"]
     stats = report["etl_stats"]
     assert stats["total"] == stats["kept"] + stats["dropped"] and stats["types"]["ISO"] > 0
     ml = json.loads(read_text(spark, f"{out}/ml_results"))
@@ -58,9 +60,36 @@ def test_run_all_light(spark):
     assert dl["task1"]["epochs_trained"] == len(dl["task1"]["history"]["loss"]) >= 1
     assert dl["task1"]["total_params"] > 0 and dl["task2"]["method"] == "Autoencoder"
     for t in ("task1", "task3"):
-        assert len(dl[t]["history"]["val_loss"]) == 1 and dl[t]["history"]["val_loss"][0] > 0 and dl[t]["infer_time"] > 0
+        assert len(dl[t]["history"]["val_loss"]) == dl[t]["epochs_trained"] and min(dl[t]["history"]["val_loss"]) > 0 and dl[t]["infer_time"] > 0
     table = spark.read.json(f"{out}/comparison_table")
     assert table.count() == 8 and {"infer_time", "memory_mb", "iso_detected"} <= set(table.columns)
     recs = {r["tarea"] for r in spark.read.json(f"{out}/recommendations").collect()}
     assert "Deteccion de Anomalias (Interestelares)" in recs
     assert spark.read.parquet(f"{out}/processed").count() == stats["kept"]
+
+
+def test_a_run_that_was_killed_goes_on_where_it_stopped(spark, monkeypatch):
+    from astroframe.plans import runs
+
+    ran = []
+
+    def step(name, result):
+        def run(*a, **k):
+            ran.append(name)
+            if name == "anomaly" and ran.count("anomaly") == 1:
+                raise RuntimeError("killed")
+            return result
+        return run
+
+    doc = {"task": "t", "method": "m", "accuracy": 0.5, "train_time": 1.0}
+    for name in ("classification", "anomaly", "spectral"):
+        monkeypatch.setattr(runs, f"run_{name}", step(name, (doc, doc)))
+    monkeypatch.setattr(runs, "run_comparison", lambda *a: (spark.range(1), spark.range(1)))
+    out = scratch_path(spark, "resumed")
+    first = runs.run_all(spark, SF_SMALL, out)
+    assert not first["anomaly"]["ok"] and first["comparison"]["ok"] and ran == ["classification", "anomaly", "spectral"]
+    second = runs.run_all(spark, SF_SMALL, out)
+    assert ran[3:] == ["anomaly"] and second["comparison"]["ran"]
+    assert second["anomaly"]["ok"] and not second["etl"]["ran"] and not second["spectral"]["ran"]
+    runs.run_all(spark, SF_SMALL, out, light=True)  # other settings: the models' steps are run again, the ETL is not
+    assert ran[4:] == ["classification", "anomaly", "spectral"]
