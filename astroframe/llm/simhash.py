@@ -154,8 +154,8 @@ def cluster(prints: DataFrame, doc_id: str = "doc_id", max_bits: int = MAX_BITS,
     linked = components(near_pairs(ids.select("fp"), max_bits, segments, bucket))
     of = ids.join(linked, ids["fp"] == linked["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     of = stored(of, "roots")
-    least = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return of.join(least, "root").select("fp", "root", "component_id")
+    least = stored(of.groupBy("root").agg(F.min("least_id").alias("component_id")), "components")
+    return stored(of.join(least, "root").select("fp", "root", "component_id"), "clusters")  # what it meets is split if a group is large
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
