@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from astroframe.llm.common import scratch_path, shuffle_parts
+from astroframe.llm.common import scratch_path, shuffle_parts, stored
 
 RECORD_END = "\r\n\r\n"
 RECORDS_PER_FILE = 2000
@@ -70,12 +70,13 @@ def base32_sha1(col: Column) -> Column:
 def with_roles(captures: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Adds payload_bytes, payload_digest and ``response_id``: the largest id with this payload.
 
-    The largest id comes from a group maximum, combined before the shuffle; digests, not payloads, are joined.
+    The largest id comes from a group maximum, combined before the shuffle and written, so that the captures of a
+    payload that a third of them have are split at run time when they meet it; digests, not payloads, are joined.
     """
     payload = F.coalesce("payload", F.lit(""))
     own = captures.withColumns({"payload_bytes": F.octet_length(payload).cast("long"), "payload_digest": base32_sha1(payload)})
     largest = own.groupBy("payload_bytes", "payload_digest").agg(F.max("id").alias("response_id"))
-    out = own.join(largest, ["payload_bytes", "payload_digest"])
+    out = own.join(stored(largest, "payloads"), ["payload_bytes", "payload_digest"])
     return out.withColumn("response_id", F.when(F.col("payload_bytes") >= min_bytes, F.col("response_id")).otherwise(F.col("id")))
 
 
