@@ -10,6 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from astroframe.llm import sharding
 from tests.llm.conftest import rows
 from tests.llm.test_decontam import plain_matches
@@ -89,6 +90,18 @@ def test_stages(spark):
     assert rows(corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF)) == []
 
 
+def test_columns_of_any_name_and_long_texts_pass_through(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).cache()
+    names = ["place", "doc", "fp", "rank", "root", "row", "base", "part", "idx", "target"]
+    odd = docs.unionByName(docs.limit(2).withColumns({"doc_id": F.col("doc_id") + 10**6, "text": F.concat_ws(" ", "text", F.sequence(F.lit(1), F.lit(60_000)))}))
+    odd = odd.withColumns({n: F.lit(n) for n in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = rows(stage(spark, odd, SF))
+        assert all(r[n] == n for r in out for n in names)
+    last = corpus_pipeline.STAGES[-1][1](spark, odd, SF)
+    assert last.columns == [*odd.columns, "place_"] and last.count() == odd.count()
+
+
 def test_entry_works_without_the_corpus_operators(tmp_path):
     """A copy of the repository without them still imports and offers its other queries."""
     for f in REPO.rglob("*.py"):
