@@ -3,6 +3,9 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a
 DataFrame.  All stages but the last return the columns of ``documents``; the last adds the
 shard and slot of each document.  Results between stages are written as Parquet and reread.
+
+Every stage takes what its operator takes: nulls in any column, empty and very long texts, ties and
+repeated rows, and columns of any other name pass through; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from astroframe.functions.columns import fresh_name
 from astroframe.llm import decontam, mixing, quality, sharding, simhash
 from astroframe.llm.common import stored
 from astroframe.llm.queries import SHARDS
@@ -37,9 +41,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def shard_assignment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their shard and their slot in it."""
+    """The documents with their shard and their slot in it, in a struct ``place`` (``place_`` where documents have such a column)."""
     out = sharding.shard_documents(docs, SHARDS)
-    return out.select("doc.*", F.struct("size", "text_crc32", "shard", "slot").alias("place"))
+    return out.select("doc.*", F.struct("size", "text_crc32", "shard", "slot").alias(fresh_name(docs, "place")))
 
 
 STAGES = [
