@@ -82,6 +82,6 @@ def test_reconstruction_threshold(spark, anomaly):
 
     df, cols = anomaly
     normal = F.col("object_type").isin("MBA", "NEO")
-    out, thr = reconstruction_anomaly(df, cols, normal, k=3, p=0.99)
+    out, thr, _ = reconstruction_anomaly(df, cols, normal, epochs=4)
     errs = out.where(normal).select("recon_error").toPandas()["recon_error"]
     assert thr == pytest.approx(np.quantile(errs, 0.99), rel=1e-9)

@@ -10,8 +10,8 @@ from tools.oracle_check import digest, type_diffs
 
 SQLS = E.oracle_sql()
 QUERIES = E.queries()
-#: chains of other checked queries, run by tools/oracle_check.py and tests/test_runs.py
-CHAINS = {"run_all", "run_classification"}
+#: chains of other checked queries, and 200 rounds of boosting: run by tools/oracle_check.py, tests/test_runs.py and tests/test_boosting.py
+CHAINS = {"run_all", "run_classification", "boosted_classify"}
 
 
 @pytest.fixture(scope="module")
