@@ -143,7 +143,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", carry: list[str] | None = N
     places = stored(places, "places")
     out = keyed.join(places, ["k1", "k2"], "left").select(
         "doc", text_lines("_text").alias("_lines"), F.coalesce("_drop", F.array().cast("array<int>")).alias("_drop"))
-    kept = F.when(F.size("_drop") == 0, F.col("_lines")).otherwise(
-        F.filter("_lines", lambda x, i: ~F.array_contains(F.col("_drop"), i)))
+    # the places that stay come from one hash set a row, so a text of many lines costs no more than their number
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
+    kept = F.when(F.size("_drop") == 0, F.col("_lines")).otherwise(F.transform(stay, lambda i: F.get("_lines", i)))
     return out.select("doc", F.size("_lines").cast("long").alias("n_lines"), F.size("_drop").cast("long").alias("n_dropped"),
                       F.array_join(kept, "\n").alias("kept_text"))

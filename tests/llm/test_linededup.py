@@ -83,3 +83,14 @@ def test_batch_joins_the_runs_without_exchange(spark):
 def test_main_path_has_no_python(make_docs):
     plan = linededup.dedup_lines(make_docs([(1, "a\nb")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_a_text_of_very_many_lines(make_docs):
+    """Half of 200,000 lines of one text go: linear in their number."""
+    common = [f"common {i}" for i in range(50)]
+    long = "\n".join(common[i % 50] if i % 2 else f"own {i}" for i in range(200_000))
+    docs = [(0, long)] + [(i, "\n".join(common)) for i in range(1, 11)]
+    got = {r["doc"]["doc_id"]: r for r in linededup.dedup_lines(make_docs(docs)).collect()}
+    assert got[0]["n_lines"] == 200_000 and got[0]["n_dropped"] == 100_000
+    assert got[0]["kept_text"] == "\n".join(f"own {i}" for i in range(0, 200_000, 2))
+    assert got[3]["kept_text"] == "" and got[3]["n_dropped"] == 50
