@@ -22,14 +22,14 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from astroframe.llm.common import in_order, stored, with_rank
+from astroframe.llm.common import in_order, stored
 
 #: heights that one block climbs: 2**10 leaves a block
 BLOCK = 10
