@@ -7,13 +7,12 @@ back by position.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +20,7 @@ from astroframe.constants import CNN_FILTERS, DNN_LAYERS, DROPOUT, ML_PARAMS, SV
 from astroframe.models.boosting import fit_boosted_trees, predict_boosted
 from astroframe.operators.comoments import comoments, principal_axes
 from astroframe.functions.columns import fresh_name
+from astroframe.models.kernel import LANDMARKS, fit_kernel_machine, predict_kernel_machine
 from astroframe.models.kmeans import fit_kmeans
 from astroframe.models.network import dense_classifier, fit_network, predict_network, sequence_classifier
 from astroframe.operators.sampling import cap_rows, holdout_split
@@ -47,51 +47,14 @@ def importance_table(spark, names: Sequence[str], values: Sequence[float]) -> Da
     return spark.createDataFrame([(n, float(v)) for n, v in zip(names, values)], "feature string, importance double")
 
 
-def fourier_features(df: DataFrame, cols: Sequence[str], n_features: int = 256, gamma: float | None = None,
-                     seed: int = 42, out: str = "features") -> DataFrame:
-    """Random Fourier features for the RBF kernel (Rahimi & Recht 2007).
+def svm_classify(train: DataFrame, test: DataFrame, id_col: str, c: float = ML_PARAMS["svm_C"], landmarks: int = LANDMARKS,
+                 cap: int = SVM_MAX_ROWS, seed: int = 42, **options) -> DataFrame:
+    """RBF kernel machine, one class against one (see ``models.kernel``).
 
-    z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi).
-    gamma defaults to 1 / d (scikit-learn's 'scale' on standardised data).
-    W is d x D numbers, shipped with the task; the product runs in numpy
-    per Arrow batch.
+    Training rows are capped at ``cap`` (hash order), as the reference caps its kernel solver.
     """
-    d = len(cols)
-    gamma = gamma if gamma is not None else 1.0 / d
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(d, n_features))
-    b = rng.uniform(0.0, 2.0 * math.pi, size=n_features)
-    scale = math.sqrt(2.0 / n_features)
-    cols = list(cols)
-
-    @F.pandas_udf("array<double>")
-    def rff(*xs: pd.Series) -> pd.Series:
-        x = np.column_stack([s.to_numpy(dtype=float) for s in xs])
-        z = scale * np.cos(x @ w + b)
-        return pd.Series(list(z))
-
-    return df.withColumn(out, array_to_vector(rff(*[F.col(c) for c in cols])))
-
-
-def svm_classify(train: DataFrame, test: DataFrame, id_col: str, cols: Sequence[str], c: float = ML_PARAMS["svm_C"],
-                 n_fourier: int = 256, cap: int = SVM_MAX_ROWS, iters: int = 50, seed: int = 42) -> DataFrame:
-    """Kernel SVM via random Fourier features + one-vs-rest linear SVC (hinge loss).
-
-    Training rows are capped at ``cap`` (hash order), as the reference caps
-    its kernel solver; regParam = 1 / (C n).
-    """
-    from astroframe.session import checkpoint_dir
-
-    tr = cap_rows(train, id_col, cap, seed)
-    # the capped, transformed training set (<= cap rows) is written once so the
-    # solver's many passes do not recompute the Fourier projection
-    checkpoint_dir(train.sparkSession)
-    tr = fourier_features(tr.select(id_col, "label", *cols), cols, n_fourier, seed=seed).checkpoint(eager=True)
-    n = tr.count()
-    te = fourier_features(test, cols, n_fourier, seed=seed)
-    svc = LinearSVC(regParam=1.0 / (c * max(n, 1)), maxIter=iters, labelCol="label", featuresCol="features")
-    model = OneVsRest(classifier=svc, labelCol="label", featuresCol="features", parallelism=4).fit(tr)
-    return _predictions(model, te, id_col)
+    model = fit_kernel_machine(cap_rows(train, id_col, cap, seed), id_col, c, landmarks, seed=seed, **options)
+    return predict_kernel_machine(model, test).select(id_col, "label", "prediction")
 
 
 def boosted_classify(train: DataFrame, test: DataFrame, id_col: str, rounds: int = ML_PARAMS["xgb_n_estimators"],

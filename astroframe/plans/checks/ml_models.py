@@ -102,7 +102,7 @@ def q_rf_spectral(spark, sf):
 @query("svm_classify", BODY_TEST, views=["body_test"])
 def q_svm_classify(spark, sf):
     train, test, cols, classes = cls_frames(spark, sf)
-    return answers(M.svm_classify(train, test, "spkid", cols), "spkid", classes)
+    return answers(M.svm_classify(train, test, "spkid"), "spkid", classes)
 
 
 @query("boosted_classify", BODY_TEST, views=["body_test"])

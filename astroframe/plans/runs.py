@@ -75,7 +75,7 @@ def run_classification(processed: DataFrame, rf=None, gbt=None, svm=None, mlp=No
     results = {}
     results["Random Forest"], imp = _judged(M.rf_classify, train, test, "spkid", **rf)
     importance = dict(sorted(zip(cols, imp), key=lambda kv: -kv[1]))
-    results["SVM"], _ = _judged(M.svm_classify, train, test, "spkid", cols, **(svm or {}))
+    results["SVM"], _ = _judged(M.svm_classify, train, test, "spkid", **(svm or {}))
     results["Gradient Boosting"], _ = _judged(M.boosted_classify, train, test, "spkid", **gbt)
     judged, record = _judged(M.mlp_classify, train, test, "spkid", len(cols), len(classes), with_history=True, **(mlp or {}))
     net = {"task": RESULT_TASKS["task1"], "method": "DNN", **judged, **record}
