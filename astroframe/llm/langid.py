@@ -6,34 +6,37 @@ their mean log frequency.  A text's score is the sum over its words; the best la
 and its softmax share over the mean word score is reported.
 
 The model is counted in Spark over a seeded sample of at most about ``per_lang`` labelled rows of
-each language (the documented bound of the fit); predictions read every row and whole texts.
+each language (the documented bound of the fit) and keeps every word and n-gram of that sample, with
+an entry for each language that has it; predictions read every row and whole texts.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; so is every text if no
 labelled row can be learned from; rows with null language or null id are predicted and never
-learned from; ties go to the smallest language code; an empty table gives an empty result.
+learned from; ties go to the smallest language code; repeated rows count and are predicted each; a very
+long text is read whole (its distinct words are held at once); columns ``lang_pred`` and ``score`` of the
+input are replaced, others pass through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from astroframe.functions.columns import fresh_name
 from astroframe.llm.common import stored
 
 PER_LANG = 4000
-MAX_WORDS = 40_000
-MAX_GRAMS = 10_000
 MAX_N = 4
 UNKNOWN = "und"
 #: a word is a run of letters; n-grams of two letters and more see a mark at both ends
 LETTERS = re.compile(r"[^\W\d_]+")
-CACHE = 200_000
+#: numbers that a task's cache of word scores holds (one per word and language)
+CACHE = 800_000
 
 
 def letter_runs(text: str) -> list[str]:
@@ -62,33 +65,69 @@ def word_counts(docs: DataFrame, text: str, lang: str, doc_id: str, per_lang: in
     return found.groupBy("lang", "word").agg(F.count("*").alias("n"))
 
 
+class LogFrequencies(Mapping):
+    """key -> add-one log frequency per language, of counted (lang, key, n) rows.
+
+    A language that lacks a key gives it log(1 / (total + keys)); one that has it n times adds log(n + 1).  Only the
+    latter is kept for a key, so the size follows the counted rows, not keys x languages.
+    """
+
+    def __init__(self, counted: pd.DataFrame, key: str, langs: list[str]):
+        n = counted["n"].to_numpy(dtype=np.float64)
+        lang = counted["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=np.int64)
+        codes, keys = pd.factorize(counted[key])
+        order = np.argsort(codes, kind="stable")
+        self.row = dict(zip(keys, range(len(keys))))
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(keys)))]).astype(np.int64)
+        self.lang, self.add = lang[order].astype(np.int32), np.log(n[order] + 1).astype(np.float32)
+        totals = np.bincount(lang, weights=n, minlength=len(langs))
+        self.least = -np.log(totals + max(1, len(keys))).astype(np.float32)
+
+    def __getitem__(self, key: str) -> np.ndarray:
+        row = self.row[key]
+        at = slice(self.start[row], self.start[row + 1])
+        out = self.least.copy()
+        out[self.lang[at]] += self.add[at]
+        return out
+
+    def __contains__(self, key: object) -> bool:
+        return key in self.row
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.row)
+
+    def __len__(self) -> int:
+        return len(self.row)
+
+
 class Model:
-    """Log frequencies of words and n-grams: one float32 row per known word or n-gram, one column per language."""
+    """Log frequencies of words and n-grams (each a mapping to one float32 per language)."""
 
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: list[dict[str, np.ndarray]]):
+    def __init__(self, langs: list[str], words: Mapping[str, np.ndarray], grams: list[dict]):
         self.langs, self.words, self.grams = langs, words, grams
         self.cache: dict[str, np.ndarray] = {}
 
     def word(self, w: str) -> np.ndarray:
         """Scores of a lower-case word, by backoff."""
-        known = self.words.get(w)
-        if known is not None:
-            return known
         got = self.cache.get(w)
         if got is None:
-            got = np.zeros(len(self.langs), np.float32)
-            for table in self.grams:
-                n = table["n"]
-                marked = f"^{w}$" if n > 1 else w
-                found = [table["rows"][g] for i in range(len(marked) - n + 1) if (g := marked[i:i + n]) in table["rows"]]
-                if found:
-                    got = np.mean(found, axis=0, dtype=np.float32)
-                    break
-            if len(self.cache) >= CACHE:
+            got = self.backed_off(w)
+            if len(self.cache) * len(self.langs) >= CACHE:
                 self.cache.clear()
             self.cache[w] = got
         return got
 
+    def backed_off(self, w: str) -> np.ndarray:
+        if w in self.words:
+            return self.words[w]
+        for table in self.grams:
+            n = table["n"]
+            marked = f"^{w}$" if n > 1 else w
+            found = [table["rows"][g] for i in range(len(marked) - n + 1) if (g := marked[i:i + n]) in table["rows"]]
+            if found:
+                return np.mean(found, axis=0, dtype=np.float32)
+        return np.zeros(len(self.langs), np.float32)
+
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(letter_runs((text or "").lower()))
         if not counts or not self.langs:
@@ -100,52 +139,24 @@ class Model:
         return self.langs[best], float(share[best] / share.sum())
 
 
-def _rows(counted: pd.DataFrame, langs: list[str]) -> dict[str, np.ndarray]:
-    """word -> add-one log frequency per language."""
-    at = {x: i for i, x in enumerate(langs)}
-    totals = np.zeros(len(langs))
-    np.add.at(totals, counted["lang"].map(at).to_numpy(dtype=np.int64), counted["n"].to_numpy(dtype=np.float64))
-    out: dict[str, np.ndarray] = {}
-    key_column = next(c for c in counted.columns if c not in ("lang", "n"))
-    for lang, key, n in zip(counted["lang"], counted[key_column], counted["n"]):
-        out.setdefault(key, np.zeros(len(langs)))[at[lang]] += n
-    vocab = max(1, len(out))
-    return {k: np.log((v + 1) / (totals + vocab)).astype(np.float32) for k, v in out.items()}
-
-
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_lang: int = PER_LANG,
-          max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, max_n: int = MAX_N) -> Model:
-    """Count words and n-grams in Spark; the driver gathers only the most frequent of each language (the bounds)."""
+          max_n: int = MAX_N) -> Model:
+    """Counts words and n-grams of the sample in Spark; the driver gathers the counts, whose number the sample bounds."""
     counts = stored(word_counts(docs, text, lang, doc_id, per_lang), "lang_words")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-
-    def top(df: DataFrame, key: str, bound: int) -> pd.DataFrame:
-        """The ``bound`` most frequent keys of each language; of equal counts, the first by their bytes."""
-        sizes = df.groupBy("lang", "n").agg(F.count("*").alias("keys"))
-        down = Window.partitionBy("lang").orderBy(F.desc("n"))
-        cut = sizes.withColumn("kept", F.sum("keys").over(down)).withColumn("room", F.lit(bound) - F.col("kept") + F.col("keys"))
-        cut = cut.where(F.col("room") > 0).groupBy("lang").agg(F.min(F.struct("n", "keys", "room")).alias("cut"))
-        found = stored(df.join(cut, "lang").where(F.col("n") >= F.col("cut.n")), "lang_top")
-        crossing = (F.col("n") == F.col("cut.n")) & (F.col("cut.keys") > F.col("cut.room"))
-        # the tied keys of one language, cut to what it has room for, a partition at a time before they meet
-        ties = found.where(crossing).withColumn("part", F.spark_partition_id())
-        for by in (["lang", "part"], ["lang"]):
-            ties = ties.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(key))).where(F.col("place") <= F.col("cut.room"))
-        return found.where(~crossing).select("lang", key, "n").unionByName(ties.select("lang", key, "n")).toPandas()
-
-    words = _rows(top(counts, "word", max_words), langs)
+    words = LogFrequencies(counts.toPandas(), "word", langs)
     tables = []
     for n in range(max_n, 0, -1):
         marked = F.concat(F.lit("^"), F.col("word"), F.lit("$")) if n > 1 else F.col("word")
         spots = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - (n - 1))).otherwise(F.array().cast("array<int>"))
         grams = counts.select("lang", "n", F.explode(F.transform(spots, lambda i: F.substring(marked, i, F.lit(n)))).alias("gram"))
         grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        tables.append({"n": n, "rows": _rows(top(grams, "gram", max_grams), langs)})
+        tables.append({"n": n, "rows": LogFrequencies(grams.toPandas(), "gram", langs)})
     return Model(langs, words, tables)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score``; the model (bounded by its parameters) is broadcast."""
+    """Adds ``lang_pred`` and ``score``; the model (bounded by the sample it was counted over) is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -155,5 +166,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"]).astype(
                 {"lang_pred": "object", "score": "float64"})
 
-    out = docs.withColumn("_found", predict(F.col(text)))
-    return out.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
+    found = fresh_name(docs, "found")
+    out = docs.withColumn(found, predict(F.col(text)))
+    return out.withColumns({"lang_pred": F.col(f"{found}.lang_pred"), "score": F.col(f"{found}.score")}).drop(found)

@@ -1,6 +1,7 @@
 """Language id: held-out accuracy, what it learns from, backoff order, defined cases."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -48,16 +49,18 @@ def test_training_is_bounded_per_language(make_docs):
     table = make_docs(docs)
     used = rows(langid.word_counts(table, "text", "lang", "doc_id", 200))
     assert 100 < sum(r["n"] for r in used) < 320
-    model = langid.train(table, per_lang=1000, max_words=5, max_grams=5)
-    assert len(model.words) <= 5 and all(len(t["rows"]) <= 5 for t in model.grams)
+    # nothing of the sample is left out
+    assert set(langid.train(table, per_lang=200).words) == {r["word"] for r in used}
 
 
 def test_defined_cases(make_docs):
     docs = [(i, "the cat and the dog", "en") for i in range(40)] + [(100 + i, "le chat et le chien", "fr") for i in range(40)]
     model = langid.train(make_docs(docs))
     odd = [(1, None), (2, ""), (3, "123 !? _"), (None, "the dog"), (4, "le chien " * 100_000), (5, "日本"), (5, "日本")]
-    table = make_docs(odd).withColumn("lang_pred", F.lit("clash")).withColumn("score", F.lit("clash"))
-    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in rows(langid.identify(table, model))}
+    table = make_docs(odd).withColumn("lang_pred", F.lit("clash")).withColumn("score", F.lit("clash")).withColumn("found", F.lit("kept"))
+    named = rows(langid.identify(table, model))
+    assert {r["found"] for r in named} == {"kept"}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in named}
     assert got[1] == got[2] == got[3] == ("und", 0.0)
     assert got[None][0] == "en" and got[4][0] == "fr" and got[5][0] == "en"
     assert rows(langid.identify(make_docs([]), model)) == []
@@ -66,12 +69,43 @@ def test_defined_cases(make_docs):
     assert langid.train(make_docs([])).langs == []
 
 
-def test_ties_at_the_bound_keep_exactly_the_bound(make_docs):
-    docs = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} often", "en") for i in range(3000)]
-    model = langid.train(make_docs(docs), max_words=5, max_grams=7)
-    every = sorted(w for i, t, _ in docs if zlib.crc32(str(i).encode()) % 3 != 1 for w in [t.split()[0]])
-    assert sorted(model.words) == sorted(["often", *every[:4]])
-    assert all(len(t["rows"]) == 7 for t in model.grams)
+def test_scores_against_plain_recomputation(make_docs):
+    """Every word and n-gram counts; scores from plain dictionaries, over three languages that share words."""
+    stems = {"aa": ["kora", "miv", "sul"], "bb": ["kora", "tenda", "wix"], "cc": ["miv", "wix", "obra"]}
+    docs = [(100 * j + i, " ".join(f"{w}{chr(97 + i % 7)}" if i % 3 else w for w in words), lang)
+            for j, (lang, words) in enumerate(stems.items()) for i in range(90)]
+    model = langid.train(make_docs(docs))
+    counts = {k: Counter() for k in stems}
+    for i, text, lang in docs:
+        if zlib.crc32(str(i).encode()) % 3 != 1:
+            counts[lang].update(text.split())
+
+    def table(n):
+        out = {k: Counter() for k in stems}
+        for k, c in counts.items():
+            for w, m in c.items():
+                marked = w if n == 0 else f"^{w}$" if n > 1 else w
+                for g in [marked] if n == 0 else [marked[i:i + n] for i in range(len(marked) - n + 1)]:
+                    out[k][g] += m
+        keys = set().union(*out.values())
+        return {g: [np.log((c[g] + 1) / (sum(c.values()) + len(keys))) for c in out.values()] for g in keys}
+
+    tables = [table(n) for n in (0, 4, 3, 2, 1)]
+    assert [set(model.words), *(set(t["rows"]) for t in model.grams)] == [set(t) for t in tables]
+
+    def score(w):
+        for n, t in zip((0, 4, 3, 2, 1), tables):
+            marked = f"^{w}$" if n > 1 else w
+            found = [t[g] for g in ([w] if n == 0 else [marked[i:i + n] for i in range(len(marked) - n + 1)]) if g in t]
+            if found:
+                return np.mean(found, axis=0)
+        return np.zeros(3)
+
+    for text in ("kora miv", "korax tend wi", "zzz obr", "sul sul wixa", "qñ"):
+        total = sum(score(w) for w in text.split())
+        share = np.exp((total - total.max()) / len(text.split()))
+        lang, got = model.predict(text)
+        assert lang == model.langs[int(total.argmax())] and np.isclose(got, share.max() / share.sum(), atol=1e-5)
 
 
 def test_numerics_are_no_letters():
