@@ -21,9 +21,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,16 +74,22 @@ class LogFrequencies(Mapping):
     latter is kept for a key, so the size follows the counted rows, not keys x languages.
     """
 
-    def __init__(self, counted: pd.DataFrame, key: str, langs: list[str]):
-        n = counted["n"].to_numpy(dtype=np.float64)
-        lang = counted["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=np.int64)
-        codes, keys = pd.factorize(counted[key])
+    def __init__(self, counted: pa.Table, key: str, langs: list[str]):
+        n = counted["n"].to_numpy().astype(np.float64)
+        named, coded = (counted[c].combine_chunks().dictionary_encode() for c in ("lang", key))
+        at = {x: i for i, x in enumerate(langs)}
+        lang = np.array([at[x] for x in named.dictionary.to_pylist()], dtype=np.int32)[named.indices.to_numpy()]
+        codes, self.keys = coded.indices.to_numpy(), coded.dictionary
         order = np.argsort(codes, kind="stable")
-        self.row = dict(zip(keys, range(len(keys))))
-        self.start = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(keys)))]).astype(np.int64)
-        self.lang, self.add = lang[order].astype(np.int32), np.log(n[order] + 1).astype(np.float32)
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(self.keys)))]).astype(np.int64)
+        self.lang, self.add = lang[order], np.log(n[order] + 1).astype(np.float32)
         totals = np.bincount(lang, weights=n, minlength=len(langs))
-        self.least = -np.log(totals + max(1, len(keys))).astype(np.float32)
+        self.least = -np.log(totals + max(1, len(self.keys))).astype(np.float32)
+
+    @cached_property
+    def row(self) -> dict[str, int]:
+        """Place of each key; built where it is first used, so the driver gathers and sends Arrow strings alone."""
+        return dict(zip(self.keys.to_pylist(), range(len(self.keys))))
 
     def __getitem__(self, key: str) -> np.ndarray:
         row = self.row[key]
@@ -97,7 +105,7 @@ class LogFrequencies(Mapping):
         return iter(self.row)
 
     def __len__(self) -> int:
-        return len(self.row)
+        return len(self.keys)
 
 
 class Model:
@@ -144,14 +152,14 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     """Counts words and n-grams of the sample in Spark; the driver gathers the counts, whose number the sample bounds."""
     counts = stored(word_counts(docs, text, lang, doc_id, per_lang), "lang_words")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    words = LogFrequencies(counts.toPandas(), "word", langs)
+    words = LogFrequencies(counts.toArrow(), "word", langs)
     tables = []
     for n in range(max_n, 0, -1):
         marked = F.concat(F.lit("^"), F.col("word"), F.lit("$")) if n > 1 else F.col("word")
         spots = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - (n - 1))).otherwise(F.array().cast("array<int>"))
         grams = counts.select("lang", "n", F.explode(F.transform(spots, lambda i: F.substring(marked, i, F.lit(n)))).alias("gram"))
         grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        tables.append({"n": n, "rows": LogFrequencies(grams.toPandas(), "gram", langs)})
+        tables.append({"n": n, "rows": LogFrequencies(grams.toArrow(), "gram", langs)})
     return Model(langs, words, tables)
 
 
