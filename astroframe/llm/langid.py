@@ -98,6 +98,14 @@ class LogFrequencies(Mapping):
         out[self.lang[at]] += self.add[at]
         return out
 
+    def total(self, keys: list[str], n: np.ndarray) -> np.ndarray:
+        """Sum of the keys' scores, each ``n`` times, without a vector for each."""
+        rows = np.fromiter((self.row[k] for k in keys), dtype=np.int64, count=len(keys))
+        size = self.start[rows + 1] - self.start[rows]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[rows] - (ends - size), size)
+        return self.least * n.sum() + np.bincount(self.lang[at], weights=self.add[at] * np.repeat(n, size), minlength=len(self.least))
+
     def __contains__(self, key: object) -> bool:
         return key in self.row
 
@@ -141,7 +149,13 @@ class Model:
         if not counts or not self.langs:
             return UNKNOWN, 0.0
         n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
-        total = n @ np.array([self.word(w) for w in counts], dtype=np.float64)
+        if isinstance(self.words, LogFrequencies):
+            known = np.fromiter((w in self.words.row for w in counts), dtype=bool, count=len(counts))
+            total = self.words.total([w for w, yes in zip(counts, known) if yes], n[known])
+            for w, times in zip((w for w, yes in zip(counts, known) if not yes), n[~known]):
+                total = total + times * self.word(w)
+        else:
+            total = n @ np.array([self.word(w) for w in counts], dtype=np.float64)
         share = np.exp((total - total.max()) / max(1.0, n.sum()))
         best = int(total.argmax())
         return self.langs[best], float(share[best] / share.sum())
