@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from astroframe.session import stored
+from astroframe.session import checkpoint_dir, stored
 
 HEADER = r'"fields"\s*:\s*\['
 FIRST = r'"data"\s*:\s*\['
+#: rows of a range of the key that one task sorts before a document is written
+RANGE_ROWS = 200_000
 
 
 def quotes(text: Column) -> Column:
@@ -75,13 +77,21 @@ def read_positional_payload(spark: SparkSession, path: str, out_cols: list[str])
     return rows.select(*[F.try_element_at("values", F.nullif(F.array_position("names", F.lit(c)).cast("int"), F.lit(0))).alias(c) for c in out_cols])
 
 
+def in_ranges(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The ``n`` rows sorted by the keys, written to the checkpoint folder in ranges of about ``RANGE_ROWS`` rows, a task each."""
+    checkpoint_dir(rows.sparkSession)
+    return rows.repartitionByRange(-(-n // RANGE_ROWS), *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+
+
 def write_positional_payload(df: DataFrame, path: str, cols: list[str], key: str) -> None:
-    """The rows as one document in one file, in the order of ``key`` (one task writes it, line by line)."""
-    first = df.agg(F.min(key)).first()[0]
+    """The rows as one document in one file, in the order of ``key``.
+
+    One task writes it, line by line: it takes the sorted ranges one after the other, the one with the head first, and sorts nothing.
+    """
+    first, n = df.agg(F.min(key), F.count(F.lit(1))).first()
     values = F.to_json(F.array(*[F.col(c).cast("string") for c in cols]))
     rows = df.select(F.lit(1).alias("part"), F.col(key).alias("key"), F.concat(F.when(F.col(key) == F.lit(first), "").otherwise(","), values).alias("value"))
     spark = df.sparkSession
     head = '{"fields": [' + ", ".join(f'"{c}"' for c in cols) + '], "data": ['
     ends = spark.createDataFrame([(0, head), (2, "]}")], "part int, value string").select("part", F.lit(None).cast(rows.schema["key"].dataType).alias("key"), "value")
-    rows.unionByName(ends).coalesce(1).sortWithinPartitions("part", "key").select("value").write.mode("overwrite").text(path)
-
+    in_ranges(rows.unionByName(ends), n + 2, "part", "key").select("value").coalesce(1).write.mode("overwrite").text(path)

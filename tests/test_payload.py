@@ -4,7 +4,9 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from astroframe.sources import payload
 from astroframe.sources.payload import read_positional_payload, write_positional_payload
 
 
@@ -63,3 +65,14 @@ def test_written_documents_come_back(spark, small_splits, tmp_path):
     small_splits(500)
     back = read_positional_payload(spark, str(tmp_path / "doc"), ["k", "s", "x"]).collect()
     assert sorted((int(r["k"]), r["s"], float(r["x"])) for r in back) == sorted(rows, key=lambda r: r[0])
+
+
+def test_a_document_is_in_the_order_of_its_key_and_no_task_sorts_all_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(payload, "RANGE_ROWS", 1000)
+    df = spark.range(30_000).select(F.expr("(id * 7919) % 30000").alias("k"), F.repeat(F.lit("x"), 20).alias("s")).repartition(5)
+    ranges = payload.in_ranges(df, 30_000, "k")
+    sizes = ranges.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] < 3000 and sizes[1] > 10
+    write_positional_payload(df, str(tmp_path / "doc"), ["k", "s"], "k")
+    [line] = spark.read.text(str(tmp_path / "doc"), wholetext=True).collect()
+    assert [int(r[0]) for r in json.loads(line.value)["data"]] == list(range(30_000))
