@@ -18,3 +18,10 @@ def make_docs(spark: SparkSession):
 
 def rows(df) -> list[Row]:
     return df.collect()
+
+
+@pytest.fixture(autouse=True, scope="module")
+def nothing_cached_after(spark):
+    """Tables that a module's tests cache are released at its end; later tests look at what is persisted."""
+    yield
+    spark.catalog.clearCache()
