@@ -51,8 +51,9 @@ def encoder(rank_file: bytes) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
 def token_type(rank_file: bytes) -> np.dtype:
-    """Little-endian unsigned type of the ids: two bytes if they fit, else four."""
+    """Little-endian unsigned type of the ids: two bytes if they fit, else four (kept: the count reads the whole file)."""
     return np.dtype("<u2" if rank_file.count(b"\n") < 1 << 16 else "<u4")
 
 

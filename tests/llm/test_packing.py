@@ -92,3 +92,17 @@ def test_written_packs_come_back(spark, make_docs):
     assert back.columns == packs.columns and sorted(map(tuple, rows(back)), key=str) == sorted(map(tuple, rows(packs)), key=str)
     found, own = joined(back), packing.encoder(RANKS)
     assert own.decode([i for p in sorted(found[2]) for i in p[2]]) == "word " * 3000 and set(found) == {1, 2, None}
+
+
+def test_the_rank_file_is_counted_once_not_for_every_text():
+    class Counted(bytes):
+        scans = 0
+
+        def count(self, *args):
+            Counted.scans += 1
+            return super().count(*args)
+
+    ranks = Counted(RANKS)
+    for text in ("one", "two words", "", None, "three"):
+        assert packing.encoder(RANKS).decode(packing.encode(text, ranks).tolist()) == (text or "")
+    assert Counted.scans <= 1
