@@ -12,20 +12,25 @@ an entry for each language that has it; predictions read every row and whole tex
 Defined cases: a null text or one without a letter is ``und`` with score 0; so is every text if no
 labelled row can be learned from; rows with null language or null id are predicted and never
 learned from; ties go to the smallest language code; repeated rows count and are predicted each; a very
-long text is read whole (its distinct words are held at once); columns ``lang_pred`` and ``score`` of the
-input are replaced, others pass through; an empty table gives an empty result.
+long text is read whole, in parts; columns ``lang_pred`` and ``score`` of the input are replaced, others
+pass through; an empty table gives an empty result.
+
+A task scores the different words of some megabytes of texts at once, in arrays: a word that many texts share is looked
+up, and an unseen one backed off, once for all of them.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator, Mapping
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +42,11 @@ MAX_N = 4
 UNKNOWN = "und"
 #: a word is a run of letters; n-grams of two letters and more see a mark at both ends
 LETTERS = re.compile(r"[^\W\d_]+")
-#: numbers that a task's cache of word scores holds (one per word and language)
+NO_LETTER = re.compile(r"[\W\d_]")
+#: numbers that the cache of word scores of a model of plain mappings holds (one per word and language)
 CACHE = 800_000
+#: characters of texts whose different words are scored at once
+CHUNK = 1 << 21
 
 
 def letter_runs(text: str) -> list[str]:
@@ -67,6 +75,48 @@ def word_counts(docs: DataFrame, text: str, lang: str, doc_id: str, per_lang: in
     return found.groupBy("lang", "word").agg(F.count("*").alias("n"))
 
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def numbered(digits: np.ndarray, n: int, base: int) -> np.ndarray:
+    """Each run of ``n`` digits, read as a number."""
+    out = np.zeros(max(0, len(digits) - n + 1), dtype=np.int64)
+    for i in range(n):
+        out = out * base + digits[i:i + len(out)]
+    return out
+
+
+@lru_cache(maxsize=1)
+def is_letter() -> np.ndarray:
+    """For each code point, whether it is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), dtype=bool, count=sys.maxunicode + 1)
+
+
+def parts(text: str, size: int) -> Iterator[str]:
+    """The text in parts of about ``size`` characters, none of which cuts a run of letters."""
+    at = 0
+    while len(text) - at > size and (cut := NO_LETTER.search(text, at + size)):
+        yield text[at:cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def word_array(texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """``letter_runs`` of all texts in one array, and the number of each one's text."""
+    points = code_points("\n".join(texts))
+    letter = is_letter()[points]
+    edge = np.flatnonzero(np.diff(letter, prepend=False, append=False))
+    first, last = edge[::2], edge[1::2]
+    kept = points[letter]
+    size = 1 + (kept >= 0x80).astype(np.int32) + (kept >= 0x800) + (kept >= 0x10000)
+    place = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    offsets = place[np.concatenate([[0], np.cumsum(last - first)])]
+    data = kept.tobytes().decode("utf-32-le").encode()
+    words = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data))
+    return words, np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), first, side="right")
+
+
 class LogFrequencies(Mapping):
     """key -> add-one log frequency per language, of counted (lang, key, n) rows.
 
@@ -98,13 +148,30 @@ class LogFrequencies(Mapping):
         out[self.lang[at]] += self.add[at]
         return out
 
-    def total(self, keys: list[str], n: np.ndarray) -> np.ndarray:
-        """Sum of the keys' scores, each ``n`` times, without a vector for each."""
-        rows = np.fromiter((self.row[k] for k in keys), dtype=np.int64, count=len(keys))
+    def dense(self, rows: np.ndarray, kind: type = np.float32) -> np.ndarray:
+        """The scores of the keys at these places, one line per key."""
+        out = np.tile(self.least.astype(kind), (len(rows), 1))
         size = self.start[rows + 1] - self.start[rows]
         ends = np.cumsum(size)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[rows] - (ends - size), size)
-        return self.least * n.sum() + np.bincount(self.lang[at], weights=self.add[at] * np.repeat(n, size), minlength=len(self.least))
+        out[np.repeat(np.arange(len(rows)), size), self.lang[at]] += self.add[at]
+        return out
+
+    def places(self, keys: pa.StringArray) -> np.ndarray:
+        """Place of each key, -1 if it has none."""
+        return pc.index_in(keys, value_set=self.keys).fill_null(-1).to_numpy(zero_copy_only=False)
+
+    @cached_property
+    def numbers(self) -> tuple[np.ndarray, pa.Array] | None:
+        """For keys of one length in characters: the characters in use, and each key as one number with a digit per
+        character (from 1); None if 63 bits do not hold it."""
+        if not len(self.keys):
+            return np.empty(0, np.uint32), pa.array([], pa.int64())
+        points = code_points("".join(self.keys.to_pylist())).reshape(len(self.keys), -1)
+        used = np.unique(points)
+        if (len(used) + 1) ** points.shape[1] >= 1 << 63:
+            return None
+        return used, pa.array(numbered(np.searchsorted(used, points.ravel()) + 1, points.shape[1], len(used) + 1)[::points.shape[1]])
 
     def __contains__(self, key: object) -> bool:
         return key in self.row
@@ -144,21 +211,83 @@ class Model:
                 return np.mean(found, axis=0, dtype=np.float32)
         return np.zeros(len(self.langs), np.float32)
 
+    def word_scores(self, words: pa.StringArray) -> np.ndarray:
+        """Scores of many different words at once, a line each; the same backoff as for one."""
+        places = self.words.places(words)
+        out = np.zeros((len(words), len(self.langs)))
+        known, left = np.flatnonzero(places >= 0), np.flatnonzero(places < 0)
+        out[known] = self.words.dense(places[known], np.float64)
+        for table in self.grams:
+            if not len(left):
+                break
+            n, rows = table["n"], table["rows"]
+            if rows.numbers is None:
+                out[left] = [self.backed_off(w) for w in words.take(pa.array(left)).to_pylist()]
+                break
+            used, keys = rows.numbers
+            points = code_points(f"^{'$^'.join(words.take(pa.array(left)).to_pylist())}$")
+            word = np.cumsum(points == ord("^")) - 1
+            if n == 1:  # without the marks
+                inner = (points != ord("^")) & (points != ord("$"))
+                points, word = points[inner], word[inner]
+            digits = np.searchsorted(used, points)
+            digits = np.where(np.append(used, 0)[digits] == points, digits + 1, 0)
+            spots = numbered(digits, n, len(used) + 1)
+            at = pc.index_in(pa.array(spots), value_set=keys).fill_null(-1).to_numpy(zero_copy_only=False)
+            hit = np.flatnonzero((at >= 0) & (word[:len(spots)] == word[n - 1:]))
+            grams, gram = np.unique(at[hit], return_inverse=True)
+            owner, value = word[hit], rows.dense(grams)
+            count = np.bincount(owner, minlength=len(left))
+            total = np.zeros((len(self.langs), len(left)), np.float32)
+            for i, line in enumerate(total):
+                np.add.at(line, owner, value[gram, i])
+            found = count > 0
+            out[left[found]] = (total[:, found] / count[found].astype(np.float32)).T
+            left = left[~found]
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
+        if isinstance(self.words, LogFrequencies):
+            return self.predict_all([text])[0]
         counts = Counter(letter_runs((text or "").lower()))
-        if not counts or not self.langs:
-            return UNKNOWN, 0.0
         n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
-        if isinstance(self.words, LogFrequencies):
-            known = np.fromiter((w in self.words.row for w in counts), dtype=bool, count=len(counts))
-            total = self.words.total([w for w, yes in zip(counts, known) if yes], n[known])
-            for w, times in zip((w for w, yes in zip(counts, known) if not yes), n[~known]):
-                total = total + times * self.word(w)
-        else:
-            total = n @ np.array([self.word(w) for w in counts], dtype=np.float64)
-        share = np.exp((total - total.max()) / max(1.0, n.sum()))
-        best = int(total.argmax())
-        return self.langs[best], float(share[best] / share.sum())
+        total = n @ np.array([self.word(w) for w in counts], dtype=np.float64).reshape(len(counts), len(self.langs))
+        return self.verdicts(total[None], n.sum(keepdims=True))[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The texts' languages and scores; about ``CHUNK`` characters at a time have their different words scored once."""
+        if not self.langs:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        total, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        held: list[tuple[int, str]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for part in parts((text or "").lower(), CHUNK):
+                if held and size + len(part) > CHUNK:
+                    self.count_in(held, total, n)
+                    held, size = [], 0
+                held.append((i, part))
+                size += len(part)
+        if held:
+            self.count_in(held, total, n)
+        return self.verdicts(total, n)
+
+    def count_in(self, held: list[tuple[int, str]], total: np.ndarray, n: np.ndarray) -> None:
+        """Adds the words of parts of texts to their texts' sums."""
+        words, part = word_array([t for _, t in held])
+        coded = words.dictionary_encode()
+        code, text = coded.indices.to_numpy(), np.array([i for i, _ in held])[part]
+        n += np.bincount(text, minlength=len(n))
+        for i, line in enumerate(self.word_scores(coded.dictionary).T):
+            total[:, i] += np.bincount(text, weights=line[code], minlength=len(n))
+
+    def verdicts(self, total: np.ndarray, n: np.ndarray) -> list[tuple[str, float]]:
+        if not self.langs:
+            return [(UNKNOWN, 0.0)] * len(n)
+        share = np.exp((total - total.max(axis=1, keepdims=True)) / np.maximum(1.0, n)[:, None])
+        best = total.argmax(axis=1)
+        score = share[np.arange(len(n)), best] / share.sum(axis=1)
+        return [(self.langs[b], s) if m else (UNKNOWN, 0.0) for b, s, m in zip(best.tolist(), score.tolist(), n.tolist())]
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_lang: int = PER_LANG,
@@ -185,7 +314,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = shared.value
         for texts in batches:
-            yield pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"]).astype(
+            yield pd.DataFrame(own.predict_all(texts.tolist()), columns=["lang_pred", "score"]).astype(
                 {"lang_pred": "object", "score": "float64"})
 
     found = fresh_name(docs, "found")

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from astroframe.llm import langid
@@ -112,3 +113,47 @@ def test_numerics_are_no_letters():
     model = langid.Model(["a", "b"], {"x": np.array([-5, 0], np.float32)}, [])
     assert model.predict("\u00b2 \u00bd \u2167") == ("und", 0.0)
     assert langid.letter_runs("x\u00b2y a1b_c \u65e5\u672c") == ["x", "y", "a", "b", "c", "\u65e5\u672c"]
+
+
+def counted_model(counts, top=4):
+    """A model of {language: Counter of words}, its n-grams counted here."""
+    langs = sorted(counts)
+
+    def table(n, key):
+        found = [(k, g, m) for k, c in counts.items() for w, m in c.items()
+                 for x in [w if n < 2 else f"^{w}$"] for g in ([w] if n == 0 else [x[i:i + n] for i in range(len(x) - n + 1)])]
+        sums = Counter()
+        for k, g, m in found:
+            sums[k, g] += m
+        return langid.LogFrequencies(pa.table({"lang": [k for k, _ in sums], key: [g for _, g in sums], "n": pa.array(sums.values(), pa.int64())}), key, langs)
+
+    return langid.Model(langs, table(0, "word"), [{"n": n, "rows": table(n, "gram")} for n in range(top, 0, -1)])
+
+
+TEXTS = ["kora miv SULZ", "korax tendq wi\u00b2 zzz", None, "", "12 !", "\u0130stanbul \u0391\u03a3 \u65e5\u672c tenda", "x" * 50 + " sul", "$^ kor^a $ten", "\U00020000x q1w2e_r",
+         "kora " * 700 + "tend"]
+
+
+def test_texts_at_once_are_scored_as_word_by_word(monkeypatch):
+    counts = {"aa": Counter(kora=5, miv=2, sul=1, ας=1), "bb": Counter(kora=1, tenda=4, wix=2), "cc": Counter(miv=3, wix=2, obra=7)}
+    model = counted_model(counts)
+    plain = langid.Model(model.langs, dict(model.words.items()), [{"n": t["n"], "rows": dict(t["rows"].items())} for t in model.grams])
+    want = [plain.predict(t) for t in TEXTS]
+    for chunk in (langid.CHUNK, 100, 1):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        got = model.predict_all(TEXTS)
+        assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-6)
+    words, text = langid.word_array([t or "" for t in TEXTS])
+    assert list(zip(text.tolist(), words.to_pylist())) == [(i, w) for i, t in enumerate(TEXTS) for w in langid.letter_runs(t or "")]
+    # n-grams too long for one number each go word by word
+    model.grams[0]["rows"].numbers = None
+    assert np.allclose([g[1] for g in model.predict_all(TEXTS)], [w[1] for w in want], atol=1e-6)
+
+
+def test_a_word_of_many_texts_is_backed_off_once(monkeypatch):
+    model = counted_model({"aa": Counter(kora=5, miv=2), "bb": Counter(tenda=4)})
+    scored = []
+    real = langid.Model.word_scores
+    monkeypatch.setattr(langid.Model, "word_scores", lambda self, words: scored.extend(words.to_pylist()) or real(self, words))
+    model.predict_all(["kora unseen miv"] * 500)
+    assert sorted(scored) == ["kora", "miv", "unseen"]
